@@ -72,14 +72,14 @@ def balance(hist: DataFrame, src: DataFrame, most: float, scratch: Scratch, roun
     return src.join(lam.select("sid", "lam", "mean"), "sid", "left")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, rate, copies (0 to most), taken = copies * size."""
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, rate, copies (0 to most), taken = copies * size, and the columns to carry."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), *carry)
     base = scratch.save(base.withColumn("rid", F.monotonically_increasing_id()), "sizes")
     src = scratch.save(targets(base, weights, float(most)), "targets")
-    base = base.alias("d").join(src.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("doc_id", "d.source", "size", "rid", "sid", "source_size", "target")
+    base = base.alias("d").join(src.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select("doc_id", "d.source", "size", "rid", "sid", "source_size", "target", *carry)
     hist = scratch.save(base.where("size > 0").groupBy("sid", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     solved = scratch.save(balance(hist, src, float(most), scratch), "solved").select("sid", "lam", "mean")
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("lam").isNull(), F.when(F.col("target") > 0, float(most)).otherwise(0.0)).otherwise(F.exp(F.least(F.col("lam") * F.col("size") / F.col("mean"), F.lit(math.log(most)))))
@@ -97,7 +97,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
     after = base.where("range is null or (edge is not null and range > edge)").withColumn("copies", F.col("whole"))
     run = F.sum("size").over(Window.partitionBy("sid").orderBy("order", "doc_id", "rid").rowsBetween(Window.unboundedPreceding, 0))
     inside = base.where("range = edge").withColumn("copies", F.col("whole") + (F.col("before") + run - F.col("size") / 2.0 <= F.col("need")).cast("long"))
-    keep = ["rid", "doc_id", "source", "sid", "size", "source_size", "target", "rate", "copies"]
+    keep = ["rid", "doc_id", "source", "sid", "size", "source_size", "target", "rate", "copies", *carry]
     out = scratch.save(before.unionByName(after).unionByName(inside).select(*keep), "copies0")
     for k in range(1, 4):
         short = out.groupBy("sid").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("short"))
@@ -107,7 +107,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
         moved = out.join(best.select("sid", F.col("b.rid").alias("at"), F.col("b.step").alias("step")), "sid", "left")
         out = scratch.save(moved.withColumn("copies", F.col("copies") + F.when(F.col("rid") == F.col("at"), F.col("step")).otherwise(0)).select(*keep), f"copies{k}")
     scratch.drop("sizes", "copies0", "copies1", "copies2")
-    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"), *carry)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

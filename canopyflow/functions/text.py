@@ -40,7 +40,7 @@ def remedy(kind: Column) -> Column:
 
 
 def size_description(ha: Column) -> Column:
-    return F.when(ha < 1, F.concat(F.lit("about "), F.format_number(F.bround(ha * 10000, 0), 0), F.lit(" square metres"))).when(ha < 10, F.concat(F.lit("roughly "), F.format_string("%.1f", ha), F.lit(" football pitches"))).otherwise(F.concat(F.lit("about "), F.format_string("%.0f", ha), F.lit(" hectares")))
+    return F.when(ha < 1, F.concat(F.lit("about "), F.format_number(F.bround(ha * 10000, 0), 0), F.lit(" square metres"))).when(ha < 10, F.concat(F.lit("roughly "), F.format_string("%.1f", F.bround(ha, 1)), F.lit(" football pitches"))).otherwise(F.concat(F.lit("about "), F.format_string("%.0f", F.bround(ha, 0)), F.lit(" hectares")))
 
 
 def status(notified: Column, confirmations: Column) -> Column:

@@ -203,6 +203,7 @@ def repeated_runs(docs, by_word: bool, k: int, window: int, scratch):
     first = scratch.save(kept.groupBy("h", "c").agg(F.min(F.struct("doc", "sub", "lo")).alias("first")), "first")
     marked_ = kept.join(first, ["h", "c"]).select("h", "doc", "sub", "lo", "n", (F.struct("doc", "sub", "lo") != F.col("first")).alias("later"))
     marked_ = scratch.save(marked_, "marked")
+    scratch.drop("kept")
     several = first.groupBy("h").count().where("count > 1").select("h")
     rest = marked_.where("not later").join(several, "h", "left_semi").select("doc", "sub", "lo", "n")
     return marked_.where("later").select("doc", "sub", "lo", "n"), rest

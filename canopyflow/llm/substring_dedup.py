@@ -39,7 +39,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     spark = docs.sparkSession
     base, scratch = keyed(docs, id_col, text_col), Scratch(spark, "substring")
     joined = with_spans(base, scratch.save(repeated_spans(base, window, scratch), "spans"))
-    scratch.drop("kept", "first", "marked", "windows")
+    scratch.drop("first", "marked", "windows")
 
     def cut(batches):
         import pyarrow as pa

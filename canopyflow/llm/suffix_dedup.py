@@ -23,22 +23,26 @@ from canopyflow.llm._common import NULL_ID, Scratch, keyed
 from canopyflow.llm._repeats import all_windows, marked, repeated_runs, with_spans
 
 
-def ranks(pairs: DataFrame, keys: list[str], scratch: Scratch, name: str) -> DataFrame:
-    """The distinct keys that several rows hold, with the first of their positions and a rank in sorted order.
+def ranks(pairs: DataFrame, keys: list[str], scratch: Scratch, name: str, first: bool = False) -> DataFrame:
+    """The distinct keys that several rows hold, with a rank in sorted order (and the first of their positions).
 
     After a global sort the numbers that Spark gives rows grow with the key; they are written so that later reads see the same ones.
     """
-    several = pairs.groupBy(*keys).agg(F.min(F.struct("doc", "sub", "p")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    return scratch.save(several.orderBy(*keys).select(*keys, "first", F.monotonically_increasing_id().alias("next_rank")), name)
+    held = [F.min(F.struct("doc", "sub", "p")).alias("first")] if first else []
+    several = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"), *held).where("times > 1").drop("times")
+    return scratch.save(several.orderBy(*keys).select("*", F.monotonically_increasing_id().alias("next_rank")), name)
 
 
 def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """(doc, sub, lo, n): n strings from byte lo on that start earlier in keyed documents."""
     later, rest = repeated_runs(docs, False, length // 2, length, scratch)
-    left = scratch.save(all_windows(docs, rest, False, length), "positions")
-    short = ranks(left, ["a"], scratch, "rank1")
-    left = left.join(short.select("a", F.col("next_rank").alias("rank")), "a").select("doc", "sub", "p", "rank", "b")
-    long = ranks(left, ["rank", "b"], scratch, "rank2").select("rank", "b", "first")
+    every = scratch.save(all_windows(docs, rest, False, length), "positions")
+    scratch.drop("first")
+    short = ranks(every, ["a"], scratch, "rank1")
+    left = scratch.save(every.join(short, "a").select("doc", "sub", "p", F.col("next_rank").alias("rank"), "b"), "left")
+    scratch.drop("positions", "rank1")
+    long = ranks(left, ["rank", "b"], scratch, "rank2", first=True)
+    scratch.drop()
     again = left.join(long, ["rank", "b"]).where(F.struct("doc", "sub", "p") != F.col("first"))
     return later.unionByName(again.select("doc", "sub", F.col("p").alias("lo"), F.lit(1).alias("n")))
 
@@ -51,7 +55,7 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     base, scratch = keyed(docs, id_col, text_col), Scratch(spark, "suffix")
     joined = with_spans(base, scratch.save(repeated_spans(base, length, scratch), "spans"))
-    scratch.drop("kept", "first", "marked", "positions", "rank1", "rank2")
+    scratch.drop("marked", "left", "rank2")
 
     def cut(batches):
         import pyarrow as pa

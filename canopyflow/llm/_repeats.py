@@ -154,7 +154,7 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 RUNS = "doc long, sub int, lo int, n int, h long, c long"
-WINDOWS = "doc long, sub int, p int, a long, b long"
+WINDOWS = "doc long, sub int, p int, a long, b int"
 
 
 def all_runs(docs, by_word: bool, k: int, window: int):
@@ -185,7 +185,7 @@ def all_windows(docs, wanted, by_word: bool, window: int):
                 lo, n = (np.array(batch.column(c)[i].as_py(), np.int64) for c in ("lo", "n"))
                 p = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                 a, b = halves(sym[bounds[i] : bounds[i + 1]], p, window)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), d)), pa.array(np.full(len(p), s, np.int32)), pa.array(p.astype(np.int32)), pa.array(a), pa.array(b)], names=["doc", "sub", "p", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), d)), pa.array(np.full(len(p), s, np.int32)), pa.array(p.astype(np.int32)), pa.array(a), pa.array((b >> 32).astype(np.int32))], names=["doc", "sub", "p", "a", "b"])
 
     lists = wanted.groupBy("doc", "sub").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n"))
     return docs.join(lists, ["doc", "sub"]).select("doc", "sub", "text", "lo", "n").mapInArrow(work, WINDOWS)
@@ -201,6 +201,7 @@ def repeated_runs(docs, by_word: bool, k: int, window: int, scratch):
     kept = scratch.save(every.join(twice, "h", "left_semi").select(*every.columns), "kept")
     scratch.drop("runs")
     first = scratch.save(kept.groupBy("h", "c").agg(F.min(F.struct("doc", "sub", "lo")).alias("first")), "first")
+    scratch.drop()
     marked_ = kept.join(first, ["h", "c"]).select("h", "doc", "sub", "lo", "n", (F.struct("doc", "sub", "lo") != F.col("first")).alias("later"))
     marked_ = scratch.save(marked_, "marked")
     scratch.drop("kept")

@@ -6,7 +6,7 @@ contexts, window by window. No candidate survives past the length asked for, as
 
 Defined results: a null or empty text has no words and loses none; a text with fewer words than a window loses none; rows that share a
 doc_id are documents of their own, in order of text; a null doc_id comes before all others; other columns of the input are ignored.
-Windows are compared by 128 bits of hash.
+Windows are compared by 96 bits of hash, whole contexts by 128.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ on every position of what is left: places where repeated passages begin, end or
 
 Defined results: a null or empty text has no bytes and loses none, as does a text shorter than the length; rows that share a doc_id are
 documents of their own, in order of text; a null doc_id comes before all others; other columns of the input are ignored.
-Strings are compared by 128 bits of hash.
+Strings are compared by 96 bits of hash, whole contexts by 128.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     every = scratch.save(all_windows(docs, rest, False, length), "positions")
     scratch.drop("first")
     short = ranks(every, ["a"], scratch, "rank1")
+    scratch.drop()
     left = scratch.save(every.join(short, "a").select("doc", "sub", "p", F.col("next_rank").alias("rank"), "b"), "left")
     scratch.drop("positions", "rank1")
     long = ranks(left, ["rank", "b"], scratch, "rank2", first=True)

@@ -96,14 +96,14 @@ def describe(text: str, start: int, value: str, path: str | None) -> list[float]
     for a, b in zip(kinds, kinds[1:], strict=False):
         run = run + 1 if a == b else 1
         best = max(best, run)
-    near = re.findall(r"[a-z0-9_]+", before)[-3:] + re.findall(r"[a-z0-9_]+", after)[:2]
+    left, right = re.findall(r"[a-z0-9_]+", before)[-2:], re.findall(r"[a-z0-9_]+", after)[:2]
     where = (path or "").lower()
     return [
         len(value), -sum(k / n * math.log2(k / n) for k in counts.values()), sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / n,
         float(np.mean([_BIGRAMS.get(p, -7.0) for p in zip("^" + low, low + "$", strict=True)])),
         sum(len(m) for m in _WORDS.findall(low)) / max(1, len(letters)), kinds.count(0) / n, kinds.count(1) / n, kinds.count(2) / n, kinds.count(3) / n,
         float(all(c in "0123456789abcdef" for c in low)), len(counts) / n, best / n, float(bool(_PREFIX.match(value) or _PEM.match(value))),
-        float(bool(re.search(r"[:=]\s*[\"']?$", before))), float(before.endswith(('"', "'"))), float(any(s in w for w in near for s in SECRET_WORDS)), float(any(w in HARMLESS_WORDS for w in near)),
+        float(bool(re.search(r"[:=]\s*[\"']?$", before))), float(before.endswith(('"', "'"))), float(any(s in w for w in left for s in SECRET_WORDS)), float(any(w in HARMLESS_WORDS for w in left)), float(any(s in w for w in right for s in SECRET_WORDS)), float(any(w in HARMLESS_WORDS for w in right)),
         float(any(p in low for p in PLACEHOLDERS)), float(bool(_UUID.match(value))), float(bool(re.search(r"test|spec|example|fixture|doc|sample|mock", where))), float(bool(re.search(r"\.env|config|settings|deploy|secret|\.ya?ml|\.tf", where))),
     ]
 

@@ -23,6 +23,8 @@ from canopyflow.llm._common import Scratch
 CAPACITY, SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 2048, 16_384, 3, 2, 4, 4, 2
 #: Chunks of text whose ids a worker remembers; beyond that it forgets them all and goes on.
 REMEMBERED = 400_000
+#: By tokenizer file, what this worker remembers from task to task.
+_KNOWN: dict[str, dict[bytes, bytes]] = {}
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -43,7 +45,9 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
-        known: dict[bytes, np.ndarray] = {}
+        from canopyflow.llm import packing as here  # the worker's own module, which outlives a task
+
+        known = here._KNOWN.setdefault(path, {})
         last = np.array([end], np.uint32)
         names = [x.partition(" ")[0] for x in schema.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]

@@ -81,28 +81,32 @@ class Model:
 
 def fit(rows: list[tuple[str | None, int]], penalty: float = 1.0, swaps: int = 3, steps: int = 300, keep: int = FEATURES) -> Model:
     """penalty: weight of the squared score changes under swaps; 0 gives a plain logistic model."""
-    sets, y = [features(t) for t, _ in rows], np.array([int(v) for _, v in rows], float)
+    y = np.array([int(v) for _, v in rows], float)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model({}, float(np.log(share / (1 - share))))
-    seen: dict[str, list[int]] = {}
-    for found, v in zip(sets, y, strict=True):
-        for w in found:
-            seen.setdefault(w, [0, 0])[int(v)] += 1
+    # a text is held as the numbers of its features, as the driver has room for few sets of words
+    number: dict[str, int] = {}
+    sets = [np.array([number.setdefault(w, len(number)) for w in features(t)], np.int32) for t, _ in rows]
+    every, label = np.concatenate(sets), np.repeat(y, [len(x) for x in sets])
+    a, b = (np.bincount(every[label == k], minlength=len(number)).astype(float) for k in (0, 1))
     n1, n0 = y.sum(), len(y) - y.sum()
-    names = [w for w, (a, b) in seen.items() if a + b >= 3]
-    a, b = np.array([seen[w] for w in names], float).reshape(-1, 2).T
+    names, often = list(number), np.flatnonzero(a + b >= 3)
+    a, b = a[often], b[often]
     gap = np.abs(b / n1 - a / n0) / np.sqrt((a + b) / len(y) * (1 - (a + b) / (len(y) + 1)) * (1 / n1 + 1 / n0))
-    best = sorted((i for i in range(len(names)) if gap[i] >= ERRORS), key=lambda i: (-gap[i], names[i]))[:keep]
+    best = sorted((i for i in range(len(often)) if gap[i] >= ERRORS), key=lambda i: (-gap[i], names[often[i]]))[:keep]
     groups = [w for w in sorted(_OTHERS) for w in ((w, "^" + w[:5]) if len(w) > 5 else (w,))]
-    at = {w: i for i, w in enumerate(dict.fromkeys([*(names[i] for i in best), *groups]))}
+    at = {w: i for i, w in enumerate(dict.fromkeys([*(names[often[i]] for i in best), *groups]))}
+    column, kept = np.array([at.get(w, -1) for w in names], np.int64), list(at)
+    del number, names, every, label
 
-    def matrix(those):
-        picked = [sorted(at[w] for w in found if w in at) for found in those]
+    def matrix(picked):
         return np.repeat(np.arange(len(picked)), [len(p) for p in picked]), np.array([i for p in picked for i in p], np.int64), len(picked)
 
+    sets = [np.sort(x[x >= 0]) for x in (column[x] for x in sets)]
     row, col, n = matrix(sets)
-    pairs = [(i, other) for i, found in enumerate(sets) for k in range(swaps) if (other := swapped(found, k)) is not None]
+    # every group's name has a column, so the columns of a text tell which it names
+    pairs = [(i, sorted(at[w] for w in other)) for i, x in enumerate(sets) for k in range(swaps) if (other := swapped({kept[j] for j in x}, k)) is not None]
     pair_of = np.array([i for i, _ in pairs], np.int64)
     row2, col2, n2 = matrix([s for _, s in pairs])
     w, c = np.zeros(len(at)), float(np.log(n1 / n0))

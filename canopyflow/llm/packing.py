@@ -11,7 +11,9 @@ Defined results: a null or empty text is one token, the end mark; documents that
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from random import Random
 
 import numpy as np
@@ -21,10 +23,12 @@ from pyspark.sql import functions as F
 from canopyflow.llm._common import Scratch
 
 CAPACITY, SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 2048, 16_384, 3, 2, 4, 4, 2
-#: Chunks of text whose ids a worker remembers; beyond that it forgets them all and goes on.
+#: Chunks, and words, whose ids a worker remembers; beyond that it keeps those of the texts at hand and goes on.
 REMEMBERED = 400_000
+#: Bytes of text that a worker splits at a time, and of a chunk that it remembers.
+TOGETHER, CHUNK = 1 << 20, 64
 #: By tokenizer file, what this worker remembers from task to task.
-_KNOWN: dict[str, dict[bytes, bytes]] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -33,41 +37,123 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids). The tokenizer's file has to be on every worker.
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself where it prints, else the next one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
+
 
-    The tokenizer drops blanks and never joins across them, so each blank-separated chunk has ids of its own, which are remembered.
+class Encoder:
+    """Token ids, as little-endian unsigned 32-bit numbers, of the blank-separated chunks of texts.
+
+    The tokenizer drops blanks and never joins across them, so a chunk's ids are its own, and are remembered. Where the file names the steps
+    composing, one blank for many, lower case, splitting by a pattern and bytes as letters, a new chunk of Latin letters, on which the first two
+    do nothing, is split here, and only words not met yet go through the merges; any other chunk goes through the whole tokenizer.
     """
+
+    def __init__(self, path: str):
+        import json
+
+        import regex
+        from tokenizers import Tokenizer
+
+        self.tok, self.chunks, self.words = Tokenizer.from_file(path), {}, {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps, cuts = (spec.get("normalizer") or {}).get("normalizers", []), (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        plain = [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+        plain = plain and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and "Regex" in cuts[0]["pattern"] and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+        plain = plain and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+        self.split = regex.compile(cuts[0]["pattern"]["Regex"]).findall if plain else None
+        begins = "".join(regex.escape(x["content"][:1]) for x in spec.get("added_tokens", []))
+        self.latin = regex.compile(f"[\x21-\x7e\xa1-\u012f\u0131-\u024f--[{begins}\u0130]]+", regex.V1).fullmatch
+        self.letters = _byte_letters()
+
+    def learn(self, new: list[bytes]) -> None:
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        whole, chunks, words, cut, latin = [], self.chunks, self.words, self.split, self.latin
+        merge = self.tok.model.tokenize
+        for chunk in new:
+            text = chunk.decode()
+            if cut is None or len(chunk) > CHUNK or not latin(text):
+                whole.append((chunk, text))
+                continue
+            parts = cut(text.lower())
+            for word in parts:
+                if word not in words:
+                    shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                    words[word] = array("I", [t.id for t in merge(shown)]).tobytes()
+            chunks[chunk] = words[parts[0]] if len(parts) == 1 else b"".join([words[w] for w in parts])
+        for i in range(0, len(whole), 5_000):
+            part = whole[i : i + 5_000]
+            for (chunk, _), e in zip(part, self.tok.encode_batch_fast([t for _, t in part], add_special_tokens=False), strict=True):
+                self.chunks[chunk] = np.array(e.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        split = [t.split() for t in texts]
+        every = {c for t in split for c in t}
+        if len(self.chunks) + len(every) > REMEMBERED:
+            self.chunks = {c: self.chunks[c] for c in every if c in self.chunks}
+        self.learn(list(every.difference(self.chunks)))
+        out = [b"".join(map(self.chunks.__getitem__, t)) for t in split]
+        for c in every:
+            if len(c) > CHUNK:
+                del self.chunks[c]
+        return out
+
+
+def _cut(text: bytes, most: int):
+    """Parts of a text, cut before blanks, of about so many bytes."""
+    at = 0
+    while len(text) - at > most and (blank := re.compile(rb"[\x20\x09-\x0D]").search(text, at + most)):
+        yield text[at : blank.start()]
+        at = blank.start()
+    yield text[at:]
+
+
+def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids). The tokenizer's file has to be on every worker."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def work(batches):
+        import os
+
         import pyarrow as pa
-        from tokenizers import Tokenizer
 
-        tok = Tokenizer.from_file(path)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from canopyflow.llm import packing as here  # the worker's own module, which outlives a task
 
-        known = here._KNOWN.setdefault(path, {})
-        last = np.array([end], np.uint32)
+        coder = here._ENCODERS.get(path) or here._ENCODERS.setdefault(path, here.Encoder(path))
+        last = np.array([end], "<u4").tobytes()
         names = [x.partition(" ")[0] for x in schema.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), [t.as_py().split() for t in batch.column("text").fill_null("").cast(pa.large_binary())]
-            new = list({w for t in texts for w in t}.difference(known))
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list({w for t in texts for w in t})
-            for i in range(0, len(new), 20_000):
-                part = new[i : i + 20_000]
-                for w, e in zip(part, tok.encode_batch([x.decode() for x in part], add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
+
+        def emit(ids, texts):
             out = []
-            for doc, chunks in zip(ids, texts, strict=True):
-                got = np.frombuffer(b"".join(map(known.__getitem__, chunks)) + last.astype("<u4").tobytes(), "<u4")
+            for doc, got in zip(ids, texts, strict=True):
+                got = np.frombuffer(got + last, "<u4")
                 for k, s in enumerate(range(0, len(got), capacity)):
                     x = got[s : s + capacity]
                     out.append((doc, k, s, len(x), zlib.crc32(x.tobytes()), *([x.tolist()] if with_ids else [])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)] if out else [pa.array([], k) for k in kinds[: len(names)]], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)] if out else [pa.array([], k) for k in kinds[: len(names)]], names=names)
+
+        for batch in batches:
+            ids, texts, held = [], [], 0
+            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                text = (text.as_py() or "").encode()
+                if len(text) > TOGETHER:
+                    yield emit([doc.as_py()], [b"".join(coder.encode([part])[0] for part in _cut(text, TOGETHER))])
+                    continue
+                ids.append(doc.as_py())
+                texts.append(text)
+                held += len(text)
+                if held > TOGETHER:
+                    yield emit(ids, coder.encode(texts))
+                    ids, texts, held = [], [], 0
+            yield emit(ids, coder.encode(texts))
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, schema)
 

@@ -244,6 +244,22 @@ def test_packing(awkward):
     assert packing.pack_documents(awkward.limit(0), path).count() == 0
 
 
+def test_encoder_equals_tokenizer():
+    from random import Random
+
+    from tokenizers import Tokenizer
+
+    path, rng = packing.tokenizer_path(), Random(3)
+    tok, coder = Tokenizer.from_file(path), packing.Encoder(path)
+    odd = [*map(chr, range(1, 0x600)), *"\u1e9e\u2003\u03a3\u4e00\U0001f600\u200b\u212a\u2126", "'s", "'RE", "<|endoftext|>", "<|StartOfText|>", "x" * 90]
+    plain = list("abc'STRE .,09\u00c9\u0130\u00b2\u0301\n")
+    for _ in range(5_000):
+        text = "".join(rng.choice(odd if rng.random() < 0.5 else plain) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    long = " ".join(f"w{k} \u00e9t\u00e9," for k in range(300)).encode()
+    assert b"".join(coder.encode([x])[0] for x in packing._cut(long, 100)) == coder.encode([long])[0]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -18,12 +18,13 @@ def nearest_within(points: DataFrame, known: DataFrame, radius_m: float = RADIUS
     """points with the nearest known place within a radius (null: none), ties to the smaller id.
 
     Both sides are put into cells a little over a radius wide; a point looks into its nine, so the join is an equi-join that grows with the input.
+    Of known places that coincide only the smallest id can win, so it alone is joined.
     """
     cell = radius_m / METRES_PER_DEGREE * 1.01
     band = lambda lat: F.floor(lat / cell)
     # longitude cells widen with the band's latitude, the same for all points of a band
     col = lambda lon, b: F.floor(lon * F.greatest(F.cos(F.radians((F.abs(b) + 2) * cell)), F.lit(1e-3)) / cell)
-    k = known.select(F.col(known_id).alias("_k"), F.col("lon").alias("_klon"), F.col("lat").alias("_klat")).withColumn("_b", band(F.col("_klat"))).withColumn("_c", col(F.col("_klon"), F.col("_b")))
+    k = known.select(F.col(known_id).alias("_k"), F.col("lon").alias("_klon"), F.col("lat").alias("_klat")).groupBy("_klon", "_klat").agg(F.min("_k").alias("_k")).withColumn("_b", band(F.col("_klat"))).withColumn("_c", col(F.col("_klon"), F.col("_b")))
     p = points.select(F.col(point_id).alias("_p"), F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
     p = p.withColumn("_b", F.explode(F.array(*(band(F.col("_lat")) + i for i in (-1, 0, 1)))))
     p = p.withColumn("_c", F.explode(F.array(*(col(F.col("_lon"), F.col("_b")) + i for i in (-1, 0, 1)))))

@@ -1,8 +1,11 @@
 """Embedding near-dedup by sorted projection passes.
 
 Exact copies are joined first. In each pass every vector gets the signs of random projections, joined into one number; Spark sorts the
-vectors by it and each is compared with a bounded window of those after it. Pairs that the cosine confirms are united across passes;
-the number of passes follows from the number of vectors, the window and the recall wanted for pairs just at the threshold. A window can't
+vectors by it and each is compared with a bounded window of those after it. Signs are of the vectors less the mean of all, as a common part
+would make them alike; the cosine is of the vectors themselves. Pairs that it confirms are united across passes. The first passes follow
+from the number of vectors, the window, the cosine left to a pair at the threshold without the mean, and the recall wanted. A bounded set of
+vectors is then compared with all, and passes are added until their partners stand in their components in that share. Where passes would
+come to as many comparisons as all pairs, these are compared block by block instead. A window can't
 hold all partners of a vector in a large group, so links are then counted exactly, block by block, within each component found.
 
 Defined results: a vector that takes no part (see _vectors.valid) links with nothing and is its own component; a null vec_id takes no part
@@ -21,6 +24,8 @@ from canopyflow.llm._common import Scratch, components
 from canopyflow.llm._vectors import matrix, valid
 
 WINDOW, BITS, BLOCK = 64, 48, 512
+#: Passes made together, and vectors compared with all to measure the recall.
+ROUND, QUERIES = 64, 2_048
 #: Members of small components that share a task, about.
 SHARED = 4_096
 
@@ -50,7 +55,83 @@ def _unite(pairs, parent: dict[int, int]):
             yield a, b
 
 
-def candidate_links(vectors: DataFrame, threshold: float, passes: int, window: int, seed: int = 11) -> DataFrame:
+def mean_vector(vectors: DataFrame) -> np.ndarray:
+    """The mean of the vectors, each at length 1."""
+
+    def add(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            if len(pdf):
+                x = matrix(pdf.v)
+                yield pd.DataFrame({"n": [len(x)], "s": [(x / np.sqrt((x * x).sum(1))[:, None]).sum(0)]})
+
+    parts = vectors.select("v").mapInPandas(add, "n long, s array<double>").select("n", F.posexplode("s").alias("i", "s"))
+    sums = parts.groupBy("i").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).orderBy("i").collect()
+    return np.array([r.s / r.n for r in sums])
+
+
+def measured(named: DataFrame, queries: list, threshold: float, window: int) -> float:
+    """The least of two shares of partners that stand in their query's component, for named (node, v, component): of all partners, and the
+    mean over the queries whose partners fit a window, as large groups would outweigh them."""
+    at = {r.node: i for i, r in enumerate(queries)}
+    own = {r.node: r.component for r in named.join(F.broadcast(named.sparkSession.createDataFrame([(k,) for k in at], "node long")), "node").select("node", "component").collect()}
+    ids, q = np.array(list(at)), matrix_of(queries)
+    comp = np.array([own[k] for k in at])
+
+    def count(batches):
+        import pandas as pd
+
+        partners, met = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x, node, c = matrix(pdf.v), pdf.node.to_numpy(), pdf.component.to_numpy()
+            x = x / np.sqrt((x * x).sum(1))[:, None]
+            for s in range(0, len(x), BLOCK):
+                i, j = np.nonzero(x[s : s + BLOCK] @ q.T >= threshold)
+                i += s
+                i, j = i[node[i] != ids[j]], j[node[i] != ids[j]]
+                partners += np.bincount(j, minlength=len(ids))
+                met += np.bincount(j[c[i] == comp[j]], minlength=len(ids))
+        some = np.flatnonzero(partners)
+        yield pd.DataFrame({"i": some, "partners": partners[some], "met": met[some]})
+
+    found = named.select("node", "v", "component").mapInPandas(count, "i long, partners long, met long")
+    found = found.groupBy("i").agg(F.sum("partners").alias("partners"), F.sum("met").alias("met"))
+    few = F.when(F.col("partners") <= window, F.col("met") / F.col("partners"))
+    r = found.agg((F.sum("met") / F.sum("partners")).alias("all"), F.avg(few).alias("few")).first()
+    return min((x for x in (r["all"], r.few) if x is not None), default=1.0)
+
+
+def matrix_of(rows: list) -> np.ndarray:
+    """The vectors of collected rows, each at length 1."""
+    x = np.array([r.v for r in rows], np.float64)
+    return x / np.sqrt((x * x).sum(1))[:, None]
+
+
+def all_links(vectors: DataFrame, threshold: float, n: int, block: int = 4 * BLOCK) -> DataFrame:
+    """(u, v): pairs of (node, v) that unite what any comparison finds; every pair of blocks is a task's."""
+    blocks = -(-n // block)
+    m = vectors.withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def compare(pdf):
+        import pandas as pd
+
+        x, own, ids = matrix(pdf.v), pdf.own.to_numpy(), pdf.node.to_numpy()
+        x = x / np.sqrt((x * x).sum(1))[:, None]
+        links, parent = [], {}
+        for s in range(0, len(x), BLOCK):
+            i, j = np.nonzero(x[s : s + BLOCK] @ x.T >= threshold)
+            i += s
+            use = (i < j) & ((own[i] != own[j]) | (pdf.own.iat[0] == pdf.other.iat[0]))
+            links += _unite(zip(ids[i[use]].tolist(), ids[j[use]].tolist(), strict=True), parent)
+        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+
+    return m.groupBy(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).applyInPandas(compare, "u long, v long")
+
+
+def candidate_links(vectors: DataFrame, threshold: float, passes: range, window: int, mean: np.ndarray, seed: int = 11) -> DataFrame:
     """(u, v): confirmed pairs of (node, v) that unite what the passes find."""
 
     def sign(batches):
@@ -58,7 +139,8 @@ def candidate_links(vectors: DataFrame, threshold: float, passes: int, window: i
 
         for pdf in batches:
             x = matrix(pdf.v)
-            for p in range(passes if len(pdf) else 0):
+            x = x / np.sqrt((x * x).sum(1))[:, None] - mean if len(pdf) else x
+            for p in passes if len(pdf) else ():
                 planes = np.random.default_rng([seed, p]).standard_normal((x.shape[1], BITS))
                 bits = (x @ planes > 0).astype(np.int64) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
                 yield pd.DataFrame({"turn": p, "sig": bits, "node": pdf.node, "v": pdf.v})
@@ -119,15 +201,34 @@ def count_links(members: DataFrame, threshold: float, block: int = BLOCK) -> Dat
     return m.groupBy("task").applyInPandas(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def find_groups(nodes: DataFrame, threshold: float, window: int, recall: float, scratch: Scratch) -> DataFrame:
+    """(id, component) of nodes (node, v) that have a partner, of passes added until the measured recall is reached."""
+    vectors, n = nodes.select("node", "v"), nodes.count()
+    mean = mean_vector(vectors)
+    common = min(float(mean @ mean), 0.999)
+    queries = vectors.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(QUERIES).collect()
+    wanted, done, links, turn = passes_for(n, max(0.0, (threshold - common) / (1 - common)), window, recall), 0, None, 0
+    while True:
+        if wanted * window >= n:
+            return components(scratch.save(all_links(vectors, threshold, n), "links"), scratch)
+        while done < wanted:
+            more = range(done, min(wanted, done + ROUND))
+            got = scratch.save(candidate_links(vectors, threshold, more, window, mean), f"links{done}")
+            links, done = got if links is None else links.unionByName(got), more.stop
+        groups = components(links, scratch, name=f"cc{turn}-")
+        named = vectors.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if measured(named, queries, threshold, window) >= recall:
+            return groups
+        wanted, turn = done + max(8, done // 2), turn + 1
+
+
 def near_dedup(rows: DataFrame, threshold: float = 0.9, window: int = WINDOW, recall: float = 0.999, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     spark = rows.sparkSession
     scratch = Scratch(spark, "projection")
     data = valid(rows, id_col, vec_col)
     nodes = scratch.save(data.groupBy("v").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("weight")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    passes = passes_for(nodes.count(), threshold, window, recall)
-    links = scratch.save(candidate_links(nodes.select("node", "v"), threshold, passes, window), "links")
-    groups = components(links, scratch)
+    groups = find_groups(nodes, threshold, window, recall, scratch)
     counted = count_links(nodes.join(groups.withColumnRenamed("id", "node"), "node").select("component", "node", "weight", "v"), threshold)
     named = nodes.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("low").alias("component_id"))

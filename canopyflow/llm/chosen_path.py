@@ -3,9 +3,9 @@
 Texts become sets of word n-grams, sketched by 64 min-hashes. A run splits all sets recursively: at each node some coordinates are sampled, by a
 hash of the node, and a set goes to the child that its value there (a sampled token of it) names; one coordinate always, a second
 with the chance that keeps the expected number of copies of a similar pair from falling. A node with few sets is a leaf, whose pairs are all compared by sketch.
-A pair at the threshold survives a run with at least threshold ** depth, so runs are repeated until the chance of having met one
-is the recall asked for. Nodes that stay large to the greatest depth hold sets that are nearly all alike: they are cut into chunks, which
-all share the node's first set, anew in each run.
+Runs are repeated until a pair at the threshold has met with the recall asked for, reckoned for the depth really reached (see met). From
+a certain depth on, all sets of a large node are compared with its first one, the pivot: those so like it that all their partners are
+linked to it as well are settled by that, and the others go on down until they lie in leaves. The pivot itself is settled, so this ends.
 
 What the sketches unite (well below the threshold, so as to lose no pair) is a component of candidates. Inside it all pairs are compared
 exactly, on the n-grams of the whole texts, block by block; only counts and the links that unite leave a task.
@@ -28,8 +28,8 @@ from canopyflow.llm._common import Scratch, components
 from canopyflow.llm._repeats import flat, hashes, mix, prefix, words
 from canopyflow.llm.projection_dedup import _unite
 
-#: Coordinates of a sketch, sets of a leaf, greatest depth, runs made together, sets of a chunk of a node that stays large.
-COORDINATES, LEAF, DEPTH, BATCH, CHUNK = 64, 256, 4, 14, 512
+#: Coordinates of a sketch, sets of a leaf, depth from which large nodes have a pivot, runs made together.
+COORDINATES, LEAF, DEPTH, BATCH = 64, 256, 4, 14
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
@@ -151,12 +151,39 @@ def leaf_links(rows: DataFrame, floor: float) -> DataFrame:
     return ordered.mapInPandas(work, "u long, v long")
 
 
+def met(threshold: float, depth: int, runs: int) -> float:
+    """The chance that a pair at the threshold has stood in one node of that depth in some run.
+
+    How many coordinates of the pair's sketches agree is binomial; given that, its copies are a branching process with one or two trials a step.
+    """
+    a = np.arange(COORDINATES + 1) / COORDINATES
+    weight = np.array([math.comb(COORDINATES, k) * threshold**k * (1 - threshold) ** (COORDINATES - k) for k in range(COORDINATES + 1)])
+    second, alive = min(1.0, 1 / threshold - 1) * (1 - 1 / COORDINATES), np.ones(COORDINATES + 1)
+    for _ in range(depth):
+        lost = 1 - a * alive
+        alive = 1 - (1 - second) * lost - second * lost * lost
+    return float((weight * (1 - (1 - alive) ** runs)).sum())
+
+
+def agreement(a: str, b: str):
+    """The share of coordinates whose bytes agree."""
+
+    @F.pandas_udf("double")
+    def share(x: pd.Series, y: pd.Series) -> pd.Series:
+        p, q = (np.frombuffer(b"".join(c), np.uint8).reshape(-1, COORDINATES) for c in (x, y))
+        return pd.Series((p == q).mean(1))
+
+    return share(F.col(a), F.col(b))
+
+
 def candidate_links(sets: DataFrame, threshold: float, recall: float, scratch: Scratch) -> DataFrame:
-    """(u, v) of nodes that some leaf unites, of runs repeated until the recall is reached."""
+    """(u, v) of nodes that some leaf or pivot unites, of runs repeated until the recall is reached."""
     floor, found, runs, deepest = max(0.1, threshold - 0.25), None, 0, 1
+    # a set this like the pivot: sketches of its partners, 3.3 deviations below the threshold at most, still agree with the pivot in the floor
+    settled = 1 - max(0.0, threshold - floor - 3.3 * math.sqrt(threshold * (1 - threshold) / COORDINATES))
     brief = sets.select("node", "brief")
-    while runs == 0 or 1 - (1 - threshold**deepest) ** runs < recall:
-        turn, depth, leaves = range(runs, runs + BATCH), 1, None
+    while runs == 0 or met(threshold, deepest, runs) < recall:
+        turn, depth, leaves, links = range(runs, runs + BATCH), 1, None, []
         paths = scratch.save(descend(sets.select("node", "sketch"), threshold, turn), f"paths{runs}-1")
         while True:
             sizes = scratch.save(paths.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot")).where("size > 1"), f"sizes{runs}-{depth}")
@@ -167,17 +194,18 @@ def candidate_links(sets: DataFrame, threshold: float, recall: float, scratch: S
             deepest = max(deepest, depth)
             if sizes.where(F.col("size") > LEAF).isEmpty():
                 break
-            if depth == DEPTH:
-                chunks = F.ceil(F.col("size") / CHUNK)
-                parts = large.select(F.xxhash64("path", F.pmod(F.xxhash64("node", "run"), chunks)).alias("path"), "node")
-                pivots = sizes.where(F.col("size") > LEAF).select(F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / CHUNK) - 1), lambda k: F.xxhash64("path", k))).alias("path"), F.col("pivot").alias("node"))
-                leaves = leaves.unionByName(parts.unionByName(pivots).distinct())
-                break
+            if depth >= DEPTH:
+                pivots = sizes.where(F.col("size") > LEAF).join(brief.select(F.col("node").alias("pivot"), F.col("brief").alias("first")), "pivot").select("path", "first")
+                large = large.join(pivots, "path").join(brief, "node").withColumn("like", agreement("brief", "first"))
+                large = scratch.save(large.select("run", "path", "node", "pivot", "like"), f"large{runs}-{depth}")
+                links.append(scratch.save(large.where((F.col("like") >= floor) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), f"pivots{runs}-{depth}"))
+                large = large.where(F.col("like") < settled)
             depth += 1
             paths = scratch.save(descend(large.select("run", "path", "node").join(sets.select("node", "sketch"), "node"), threshold), f"paths{runs}-{depth}")
-        got = scratch.save(leaf_links(leaves.join(brief, "node").select("path", "node", "brief"), floor), f"links{runs}")
-        found = got if found is None else found.unionByName(got)
-        scratch.drop(*(f"{what}{runs}-{d}" for what in ("paths", "sizes") for d in range(1, depth + 1)))
+        links.append(scratch.save(leaf_links(leaves.join(brief, "node").select("path", "node", "brief"), floor), f"links{runs}"))
+        for got in links:
+            found = got if found is None else found.unionByName(got)
+        scratch.drop(*(f"{what}{runs}-{d}" for what in ("paths", "sizes", "large") for d in range(1, depth + 1)))
         runs += BATCH
     return found
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from canopyflow.llm import projection_dedup
+from canopyflow.llm import chosen_path, projection_dedup
 
 
 @pytest.mark.parametrize("topics", [1, 2])
@@ -27,3 +27,32 @@ def test_projection_dedup_with_background_cosine(spark, topics):
     got = {r.vec_id: r.n_links for r in projection_dedup.near_dedup(df).collect()}
     found = np.array([got[i] for i in range(len(x))])
     assert (found <= near.sum(1)).all() and found.sum() >= 0.99 * near.sum()
+
+
+def test_jaccard_join_inside_a_frequent_passage(spark, monkeypatch):
+    # 300 texts hold one passage, between words of their own; pairs at 0.8 lie mostly inside it. Small nodes stand in for a large table.
+    for name, value in (("LEAF", 64), ("CHUNK", 2), ("DEPTH", 2)):
+        monkeypatch.setattr(chosen_path, name, value, raising=False)
+    rng = np.random.default_rng(5)
+
+    def fresh(n):
+        return [f"w{x}" for x in rng.integers(0, 10**9, n)]
+
+    passage, texts = fresh(154), {}
+    for i in range(300):
+        texts[i] = passage + fresh(int(rng.integers(130, 180)))
+    for i in range(100):
+        both = passage + fresh(10)
+        texts[10_000 + i], texts[20_000 + i] = both + fresh(16), both + fresh(16)
+    grams = lambda w: {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    for i in range(100):
+        a, b = grams(texts[10_000 + i]), grams(texts[20_000 + i])
+        assert 0.8 <= len(a & b) / len(a | b) < 0.86
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in chosen_path.jaccard_join(df, recall=0.97).collect()}
+    assert sum(got[20_000 + i].class_id != 20_000 + i for i in range(100)) >= 97
+
+
+def test_met_counts_the_depth():
+    assert chosen_path.met(0.8, 4, 14) > 0.999 > chosen_path.met(0.8, 16, 14)
+    assert all(chosen_path.met(0.8, d, 14) > chosen_path.met(0.8, d + 1, 14) for d in range(1, 12))

@@ -1,18 +1,22 @@
 """N-gram Jaccard join by chosen paths.
 
-Texts become sets of word n-grams, sketched by 64 min-hashes. A run splits all sets recursively: at each node some coordinates are sampled, by a
+Texts become sets of word n-grams, sketched by 128 min-hashes. A run splits all sets recursively: at each node some coordinates are sampled, by a
 hash of the node, and a set goes to the child that its value there (a sampled token of it) names; one coordinate always, a second
-with the chance that keeps the expected number of copies of a similar pair from falling. A node with few sets is a leaf, whose pairs are all compared by sketch.
-Runs are repeated until a pair at the threshold has met with the recall asked for, reckoned for the depth really reached (see met). From
-a certain depth on, all sets of a large node are compared with its first one, the pivot: those so like it that all their partners are
-linked to it as well are settled by that, and the others go on down until they lie in leaves. The pivot itself is settled, so this ends.
+with the chance that keeps the expected number of copies of a similar pair from falling. The first steps are taken together; a node with
+few sets is then a leaf, whose pairs are all compared by sketch, and one set alone is dropped before anything is joined to it. A larger node
+goes on down, and all its sets are compared with its first one, the pivot: those so like it that all their partners are linked to it as well
+are settled by that. The deeper a node lies, the less likeness to the pivot is asked for, so that this ends.
+Runs are repeated until a pair at the threshold has met with the recall asked for, reckoned for the depth really reached (see met). After the
+first runs, nodes whose sets are all in one component already are dropped.
 
-What the sketches unite (well below the threshold, so as to lose no pair) is a component of candidates. Inside it all pairs are compared
-exactly, on the n-grams of the whole texts, block by block; only counts and the links that unite leave a task.
+What the sketches unite (four standard deviations below the threshold, so as to lose no pair, and far from what texts that only share a passage
+reach) is a component of candidates. Inside it all pairs are compared exactly, on the n-grams of the whole texts, by blocks of
+bounded bytes; only counts and the links that unite leave a task.
 
 Defined results: texts are compared by their words [^\\x20\\x09-\\x0D]+, unchanged. A text of fewer words than an n-gram has one, all of
 its words. A null text or one without words links with nothing, not even its like. Equal texts link. Rows that share a doc_id are
 documents of their own; of a class, the least doc_id stays (of rows that repeat it, the first by text, once). A null doc_id sorts last and comes back null.
+An empty table gives an empty result; very long texts are hashed a part at a time; columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -28,8 +32,10 @@ from canopyflow.llm._common import Scratch, components
 from canopyflow.llm._repeats import flat, hashes, mix, prefix, words
 from canopyflow.llm.projection_dedup import _unite
 
-#: Coordinates of a sketch, sets of a leaf, depth from which large nodes have a pivot, runs made together.
-COORDINATES, LEAF, DEPTH, BATCH = 64, 256, 4, 14
+#: Coordinates of a sketch, sets of a leaf, steps taken together at first, runs made together at first and later.
+COORDINATES, LEAF, START, FIRST, BATCH = 128, 128, 3, 4, 10
+#: Sets, and bytes of n-gram hashes, that a task of the exact comparison takes from each side.
+BLOCK_SETS, BLOCK_BYTES = 1024, 4 << 20
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
@@ -44,7 +50,7 @@ def gram_hashes(sym: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray
 
 
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, node, sketch): node is the text's hash; rows without words have no sketch."""
+    """(doc_id, node, grams, sketch): node is the text's hash, grams the number of its n-grams; rows without words have no sketch."""
 
     def work(batches):
         import pyarrow as pa
@@ -55,26 +61,16 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
                 sym, bounds = words(data[at[s] : at[e]], at[s : e + 1] - at[s])
                 g, begins = gram_hashes(sym, bounds, n)
                 full = np.flatnonzero(np.diff(begins))
-                out = np.zeros((e - s, COORDINATES), "<u4")
+                out = np.zeros((e - s, COORDINATES), "<u2")
                 if len(full):
-                    for i, odd in enumerate(_ODD):
-                        out[full, i] = np.minimum.reduceat((g * odd) >> np.uint64(32), begins[full])
+                    for i, odd in enumerate(_ODD):  # the low bits of the least product say which gram it is
+                        out[full, i] = np.minimum.reduceat(g * odd, begins[full]) & np.uint64(0xFFFF)
                 some = np.zeros(e - s, bool)
                 some[full] = True
                 col = pa.array([x.tobytes() if k else None for x, k in zip(out, some, strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[s:e], batch.column("node")[s:e], col], names=["doc_id", "node", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[s:e], batch.column("node")[s:e], pa.array(np.diff(begins), pa.int32()), col], names=["doc_id", "node", "grams", "sketch"])
 
-    return docs.select("doc_id", "node", "text").mapInArrow(work, "doc_id long, node long, sketch binary")
-
-
-def low_bytes(column: str):
-    """One byte of every coordinate, enough to tell whether two agree."""
-
-    @F.pandas_udf("binary")
-    def take(sketch: pd.Series) -> pd.Series:
-        return pd.Series([b[::4] for b in sketch])
-
-    return take(F.col(column))
+    return docs.select("doc_id", "node", "text").mapInArrow(work, "doc_id long, node long, grams int, sketch binary")
 
 
 def _parts(at: np.ndarray, size: int = 4 << 20):
@@ -86,6 +82,10 @@ def _parts(at: np.ndarray, size: int = 4 << 20):
         s = e
 
 
+def _matrix(sketch) -> np.ndarray:
+    return np.frombuffer(b"".join(sketch), "<u2").reshape(-1, COORDINATES)
+
+
 def _step(keys: np.ndarray, sketch: np.ndarray, second: float):
     """(row, child key): one coordinate of each row, sampled by its node, and a second one for nodes whose hash says so."""
     rows = np.arange(len(keys))
@@ -98,37 +98,41 @@ def _step(keys: np.ndarray, sketch: np.ndarray, second: float):
 
 
 def descend(sets: DataFrame, threshold: float, runs: range | None = None) -> DataFrame:
-    """(run, path, node): the children of the rows' paths; with runs, the first step of each run from the root."""
+    """(path, node, part): the children of the rows' paths; with runs, what the first steps of each run reach from the root."""
     second = 1 / threshold - 1
 
     def work(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
-            sketch = np.frombuffer(b"".join(pdf.sketch), "<u4").reshape(-1, COORDINATES)
+            sketch, node, part = _matrix(pdf.sketch), pdf.node.to_numpy(), pdf.part.to_numpy()
             for r in [None] if runs is None else runs:
                 keys = pdf.path.to_numpy().view(np.uint64) if r is None else np.full(len(pdf), mix(np.array([r + 1], np.uint64) * _ODD[0])[0])
-                for rows, child in _step(keys, sketch, second):
-                    if len(rows):
-                        yield pd.DataFrame({"run": pdf.run.to_numpy()[rows] if r is None else np.int32(r), "path": child.view(np.int64), "node": pdf.node.to_numpy()[rows]})
+                rows = np.arange(len(pdf))
+                for _ in range(1 if r is None else START):
+                    steps = [(rows[i], child) for i, child in _step(keys, sketch[rows], second)]
+                    rows, keys = (np.concatenate(x) for x in zip(*steps, strict=True))
+                yield pd.DataFrame({"path": keys.view(np.int64), "node": node[rows], "part": part[rows]})
 
-    return sets.mapInPandas(work, "run int, path long, node long")
+    return sets.mapInPandas(work, "path long, node long, part long")
 
 
 def leaf_links(rows: DataFrame, floor: float) -> DataFrame:
-    """(u, v): for (path, node, brief), sorted by path, pairs of one path whose sketches agree in at least that share, as far as they unite."""
+    """(u, v): for (path, node, part, sketch), sorted by path, pairs of one path and of different parts whose sketches agree in at least
+    that share, as far as they unite."""
 
     def work(batches):
         left, parent = None, {}
 
-        def compare(path, node, brief):
+        def compare(path, node, part, sketch):
             links, d = [], 1
             live = np.arange(len(path) - 1) if len(path) else np.zeros(0, np.int64)
             while len(live):
                 live = live[live + d < len(path)]
                 live = live[path[live] == path[live + d]]
-                same = np.concatenate([(brief[i] == brief[i + d]).mean(1) for i in np.array_split(live, len(live) // 65_536 + 1)]) if len(live) else np.zeros(0)
-                hit = live[same >= floor]
+                can = live[part[live] != part[live + d]]
+                same = np.concatenate([np.count_nonzero(sketch[i] == sketch[i + d], axis=1) for i in np.array_split(can, len(can) // 65_536 + 1)]) if len(can) else np.zeros(0)
+                hit = can[same >= floor * COORDINATES]
                 links += list(_unite(zip(node[hit].tolist(), node[hit + d].tolist(), strict=True), parent))
                 d += 1
             return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
@@ -136,7 +140,7 @@ def leaf_links(rows: DataFrame, floor: float) -> DataFrame:
         for pdf in batches:
             if not len(pdf):
                 continue
-            now = (pdf.path.to_numpy(), pdf.node.to_numpy(), np.frombuffer(b"".join(pdf.brief), np.uint8).reshape(-1, COORDINATES))
+            now = (*(pdf[c].to_numpy() for c in ("path", "node", "part")), _matrix(pdf.sketch))
             if left is not None:
                 now = tuple(np.concatenate([a, b]) for a, b in zip(left, now, strict=True))
             cut = int(np.searchsorted(now[0], now[0][-1], "left"))
@@ -166,48 +170,60 @@ def met(threshold: float, depth: int, runs: int) -> float:
 
 
 def agreement(a: str, b: str):
-    """The share of coordinates whose bytes agree."""
+    """The share of coordinates that agree."""
 
     @F.pandas_udf("double")
     def share(x: pd.Series, y: pd.Series) -> pd.Series:
-        p, q = (np.frombuffer(b"".join(c), np.uint8).reshape(-1, COORDINATES) for c in (x, y))
-        return pd.Series((p == q).mean(1))
+        return pd.Series(np.count_nonzero(_matrix(x) == _matrix(y), axis=1) / COORDINATES, dtype="float64")
 
     return share(F.col(a), F.col(b))
 
 
-def candidate_links(sets: DataFrame, threshold: float, recall: float, scratch: Scratch) -> DataFrame:
-    """(u, v) of nodes that some leaf or pivot unites, of runs repeated until the recall is reached."""
-    floor, found, runs, deepest = max(0.1, threshold - 0.25), None, 0, 1
-    # a set this like the pivot: sketches of its partners, 3.3 deviations below the threshold at most, still agree with the pivot in the floor
-    settled = 1 - max(0.0, threshold - floor - 3.3 * math.sqrt(threshold * (1 - threshold) / COORDINATES))
-    brief = sets.select("node", "brief")
+def run_links(sets: DataFrame, groups: DataFrame | None, threshold: float, runs: range, scratch: Scratch, name: str) -> tuple[DataFrame, int]:
+    """(u, v) of nodes that some leaf or pivot of these runs unites, and the depth reached. groups: (node, component) of nodes united before."""
+    deviation = math.sqrt(threshold * (1 - threshold) / COORDINATES)
+    floor = max(0.1, threshold - 4 * deviation)
+    start = sets.select("node", "sketch")
+    start = start.withColumn("part", F.col("node")) if groups is None else start.join(groups, "node", "left").select("node", "sketch", F.coalesce("component", "node").alias("part"))
+    paths, depth, leaves, links = scratch.save(descend(start, threshold, runs), f"{name}-paths{START}"), START, [], []
+    while True:
+        # a node with one set, or with sets that are united already, ends here
+        sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+        sizes = scratch.save(sizes.where("size > 1 and lo < hi").drop("lo", "hi"), f"{name}-sizes{depth}")
+        here = paths.join(sizes, "path")
+        leaves.append(scratch.save(here.where(F.col("size") <= LEAF).select("path", "node", "part"), f"{name}-leaves{depth}"))
+        if sizes.where(F.col("size") > LEAF).isEmpty():
+            break
+        large = here.where(F.col("size") > LEAF).join(sets.select("node", "sketch"), "node")
+        pivots = sizes.where(F.col("size") > LEAF).join(sets.select(F.col("node").alias("pivot"), F.col("sketch").alias("first")), "pivot").select("path", "first")
+        # partners of a set this like the pivot agree with the pivot in `near` themselves, but for 3.3 deviations
+        near = max(0.2, floor - 0.04 * (depth - START))
+        large = scratch.save(large.join(pivots, "path").withColumn("like", agreement("sketch", "first")).drop("first"), f"{name}-large{depth}")
+        links.append(scratch.save(large.where((F.col("like") >= near) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), f"{name}-pivots{depth}"))
+        rest = large.where((F.col("like") < near + 1 - threshold + 3.3 * deviation) & (F.col("node") != F.col("pivot")))
+        paths = scratch.save(descend(rest.select("path", "node", "part", "sketch"), threshold), f"{name}-paths{depth + 1}")
+        scratch.drop(f"{name}-paths{depth}", f"{name}-large{depth}")
+        depth += 1
+    every = leaves[0]
+    for x in leaves[1:]:
+        every = every.unionByName(x)
+    found = scratch.save(leaf_links(every.join(sets.select("node", "sketch"), "node"), floor), f"{name}-links")
+    for x in links:
+        found = found.unionByName(x)
+    scratch.drop(f"{name}-paths{depth}", *(f"{name}-{what}{d}" for what in ("sizes", "leaves") for d in range(START, depth + 1)))
+    return found, depth
+
+
+def candidate_groups(sets: DataFrame, threshold: float, recall: float, scratch: Scratch) -> DataFrame:
+    """(node, component) of sets that may have a partner, of runs repeated until the recall is reached."""
+    groups, runs, deepest = None, 0, START
     while runs == 0 or met(threshold, deepest, runs) < recall:
-        turn, depth, leaves, links = range(runs, runs + BATCH), 1, None, []
-        paths = scratch.save(descend(sets.select("node", "sketch"), threshold, turn), f"paths{runs}-1")
-        while True:
-            sizes = scratch.save(paths.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot")).where("size > 1"), f"sizes{runs}-{depth}")
-            here = paths.join(sizes, "path")
-            small = here.where(F.col("size") <= LEAF).select("path", "node")
-            leaves = small if leaves is None else leaves.unionByName(small)
-            large = here.where(F.col("size") > LEAF)
-            deepest = max(deepest, depth)
-            if sizes.where(F.col("size") > LEAF).isEmpty():
-                break
-            if depth >= DEPTH:
-                pivots = sizes.where(F.col("size") > LEAF).join(brief.select(F.col("node").alias("pivot"), F.col("brief").alias("first")), "pivot").select("path", "first")
-                large = large.join(pivots, "path").join(brief, "node").withColumn("like", agreement("brief", "first"))
-                large = scratch.save(large.select("run", "path", "node", "pivot", "like"), f"large{runs}-{depth}")
-                links.append(scratch.save(large.where((F.col("like") >= floor) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), f"pivots{runs}-{depth}"))
-                large = large.where(F.col("like") < settled)
-            depth += 1
-            paths = scratch.save(descend(large.select("run", "path", "node").join(sets.select("node", "sketch"), "node"), threshold), f"paths{runs}-{depth}")
-        links.append(scratch.save(leaf_links(leaves.join(brief, "node").select("path", "node", "brief"), floor), f"links{runs}"))
-        for got in links:
-            found = got if found is None else found.unionByName(got)
-        scratch.drop(*(f"{what}{runs}-{d}" for what in ("paths", "sizes", "large") for d in range(1, depth + 1)))
-        runs += BATCH
-    return found
+        turn = range(runs, runs + (FIRST if runs == 0 else BATCH))
+        found, depth = run_links(sets, groups, threshold, turn, scratch, f"run{runs}")
+        edges = found if groups is None else found.unionByName(groups.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        groups = components(edges, scratch, name=f"near{runs}-").withColumnRenamed("id", "node")
+        runs, deepest = turn.stop, max(deepest, depth)
+    return groups
 
 
 def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -230,14 +246,16 @@ def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def exact_links(members: DataFrame, threshold: float, block: int = 128) -> DataFrame:
-    """(u, links, v): for (component, node, weight, grams), each node's links (sum of the weights, v null), and links that unite (v not null)."""
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    shared = max(8, sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n // 512)
-    small = F.col("size") <= block
-    m = members.join(sizes, "component").withColumn("blocks", F.when(small, 1).otherwise(F.ceil(F.col("size") / block)).cast("int"))
+def exact_links(members: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """(u, links, v): for (component, node, weight, grams), each node's links (sum of the weights, v null), and links that unite (v not null).
+
+    sizes (component, size, bytes) says how many blocks a component is cut into; every pair of blocks is a task, and small components share tasks.
+    """
+    shared = max(8, -(-sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first().n // BLOCK_BYTES))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_SETS, F.least(F.col("size"), F.col("bytes") / BLOCK_BYTES))).cast("int")
+    m = members.join(sizes.select("component", blocks.alias("blocks")), "component")
     m = m.withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    task = F.when(small, F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")))
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other")))
     m = m.select("component", "node", "weight", "grams", "own", "other", task.alias("task"))
 
     def work(pdf):
@@ -282,11 +300,11 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     text = F.col(text_col).cast("string")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("node"), text.alias("text"))
     rows = scratch.save(sketches(base, n).withColumn("rid", F.monotonically_increasing_id()), "sketches")
-    sets = rows.where("sketch is not null").groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("doc_id").alias("holder"), F.min("sketch").alias("sketch"))
-    sets = scratch.save(sets.withColumn("brief", low_bytes("sketch")), "sets")
-    links = candidate_links(sets, threshold, recall, scratch)
-    near = components(links, scratch, name="near").withColumnRenamed("id", "node")
-    members = scratch.save(sets.select("node", "weight", "holder").join(near, "node"), "members")
+    sets = rows.where("sketch is not null").groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("doc_id").alias("holder"), F.min("grams").alias("grams"), F.min("sketch").alias("sketch"))
+    sets = scratch.save(sets, "sets")
+    near = candidate_groups(sets, threshold, recall, scratch)
+    members = scratch.save(sets.select("node", "weight", "holder", "grams").join(near, "node"), "members")
+    sizes = scratch.save(members.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("grams").cast("long") * 8).alias("bytes")), "sizes")
 
     def grams(batches):
         import pyarrow as pa
@@ -301,7 +319,10 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
 
     # one row holds the text of each node: that of the least doc_id
     holders = base.join(members, (base.node == members.node) & base.doc_id.eqNullSafe(members.holder)).select("component", members.node, "weight", "text")
-    exact = exact_links(holders.mapInArrow(grams, "component long, node long, weight long, grams binary").dropDuplicates(["node"]), threshold)
+    holders = holders.mapInArrow(grams, "component long, node long, weight long, grams binary")
+    if not rows.groupBy("node", "doc_id").count().where("count > 1").isEmpty():
+        holders = holders.dropDuplicates(["node"])
+    exact = exact_links(holders, sizes, threshold)
     exact = scratch.save(exact, "exact")
     counts = exact.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     classes = components(exact.where("v is not null").select("u", "v"), scratch, name="classes").withColumnRenamed("id", "node")

@@ -114,6 +114,10 @@ def test_mixing(awkward):
             break
         open_ -= over
     assert {s: round(x[0], 4) for s, x in per.items()} == {s: round(v, 4) for s, v in want.items()}
+    # the words taken come near: within the source's shortest text; where one text is most of a source, within half of that
+    for s, x in per.items():
+        texts = [r.size for r in got if r.source == s and r.size]
+        assert abs(x[1] - x[0]) <= (max(1, min(texts)) if max(texts) * 10 < x[0] else max(texts) / 2), (s, x)
     assert mixing.mix_sources(awkward.limit(0)).count() == 0
     again = mixing.mix_sources(awkward).collect()
     assert sorted((str(r.doc_id), r.size, r.copies) for r in again) == sorted((str(r.doc_id), r.size, r.copies) for r in got)

@@ -3,11 +3,14 @@
 The tree is grown on a bounded sample; every row is then put into the leaf that it falls to. A query walks the tree with a priority
 queue, always opening the node whose centre promises the largest inner product, and so orders the leaves. How many leaves a search
 visits is calibrated: for some queries the true neighbours are found by brute force (in blocks of rows, each keeping its best), and visits
-widen until the recall asked for is reached, to all leaves if need be. The first leaves give each query a bound; the later ones return only what beats it.
-Leaves that hold many rows, such as copies of one vector, are split into blocks by hash of the id.
-
-Defined results: rows that take no part (see _vectors.valid, and a null id) are neither queries nor candidates; repeated ids are all
-candidates, but a query never finds a row with its own id; with fewer candidates than asked for, all are returned; other columns are ignored.
+widen until the recall asked for is reached, to all leaves if need be. Visits go in rounds of four times as many leaves, and each round returns
+only what beats the bound that a query has from those before: some dozens of rows a query and round, however many leaves.
+Neighbouring leaves are bundled into units of bounded rows, so that a query is sent to a unit once; a leaf that holds more, such as copies of one
+vector, is dealt over several units by hash of the id.
+
+Defined results: rows that take no part (see _vectors.valid, and a null id) are neither queries nor candidates; rows that repeat an id are all
+candidates, but a query finds an id once, by its nearest row, and never its own; queries that share an id find what any of them finds; with
+fewer candidates than asked for, all are returned, and an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ from pyspark.sql import functions as F
 from canopyflow.llm._common import Scratch
 from canopyflow.llm._vectors import matrix, valid
 
-#: Bounds: rows that the tree is grown on, queries that calibrate, rows of a block of a leaf, queries that walk the tree together.
-SAMPLE, CALIBRATE, BLOCK, TOGETHER = 20_000, 128, 2_048, 512
+#: Bounds: rows that the tree is grown on, queries that calibrate, rows of a unit, queries that walk the tree or visit a unit together.
+SAMPLE, CALIBRATE, UNIT, TOGETHER = 20_000, 128, 8_192, 256
+#: Leaves of the first round of visits, and how many times as many each next one takes.
+FIRST, WIDER = 4, 4
 BRANCH, LEAF = 8, 256
 
 
@@ -97,30 +102,31 @@ def grow(x: np.ndarray, per_leaf: int, branch: int = BRANCH, seed: int = 7) -> T
     return tree.finish()
 
 
-def best(q: np.ndarray, qids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, bound: np.ndarray | None = None):
+def best(q: np.ndarray, qids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, bound: np.ndarray | None = None, seen: np.ndarray | None = None):
     """(query row, id, score) of the k largest inner products of each query, ties to the smaller id, none below its bound.
 
-    Scores are summed the same way for every row, so equal vectors have equal scores.
+    seen: which rows a query may look at. Scores are summed the same way for every row, so equal vectors have equal scores.
     """
-    out_q, out_id, out_s = [], [], []
-    for s in range(0, len(q), 256):
-        got = q[s : s + 256] @ x.T
-        for i, row in enumerate(got, s):
-            row = np.where(ids == qids[i], -np.inf, row)
-            least = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
-            if bound is not None:
-                least = max(least, bound[i])
-            pick = np.flatnonzero((row >= least - 1e-9 * max(1.0, abs(least) if np.isfinite(least) else 1.0)) & (row > -np.inf))
-            if not len(pick):
-                continue
-            exact = (x[pick] * q[i]).sum(1)
-            order = np.lexsort((ids[pick], -exact))[:k]
-            out_q.append(np.full(len(order), i))
-            out_id.append(ids[pick[order]])
-            out_s.append(exact[order])
-    if not out_q:
+    out = []
+    for s in range(0, len(q), TOGETHER):
+        got = q[s : s + TOGETHER] @ x.T
+        got[qids[s : s + TOGETHER, None] == ids[None, :]] = -np.inf
+        if seen is not None:
+            got[~seen[s : s + TOGETHER]] = -np.inf
+        least = np.partition(got, len(x) - k, axis=1)[:, len(x) - k] if len(x) > k else np.full(len(got), -np.inf)
+        if bound is not None:
+            least = np.maximum(least, bound[s : s + TOGETHER])
+        slack = 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(least), least, 1.0)))
+        i, j = np.nonzero((got >= (least - slack)[:, None]) & (got > -np.inf))
+        exact = np.concatenate([(x[b] * q[s + a]).sum(1) for a, b in zip(np.array_split(i, len(i) // 65_536 + 1), np.array_split(j, len(j) // 65_536 + 1), strict=True)])
+        order = np.lexsort((ids[j], -exact, i))
+        i, j, exact = i[order], j[order], exact[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        keep = place < k
+        out.append((i[keep] + s, ids[j[keep]], exact[keep]))
+    if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_s)
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 FOUND = "query_id long, vec_id long, score double"
@@ -166,9 +172,11 @@ def nearest(rows: DataFrame, queries, k: int = 20, recall: float = 0.97, id_col:
             yield pdf.assign(leaf=held.value.assign(matrix(pdf.v)) if len(pdf) else np.zeros(0, np.int32))
 
     placed = scratch.save(data.mapInPandas(place, "vec_id long, v array<double>, leaf int"), "placed")
-    blocks = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    index = placed.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("blocks")).cast("int")).drop("blocks")
-    asked = data.where(queries)
+    # a row for each leaf, of which the sample bounds the number
+    units = unit_of_leaf({r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()})
+    dealt = F.broadcast(spark.createDataFrame([(leaf, u, n) for leaf, (u, n) in units.items()], "leaf int, unit int, parts int"))
+    index = placed.join(dealt, "leaf").select("vec_id", "v", "leaf", (F.col("unit") + F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("parts"))).cast("int").alias("unit"))
+    asked = scratch.save(data.where(queries), "asked")
 
     # calibration
     some = scratch.save(asked.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(CALIBRATE), "calibrating")
@@ -176,47 +184,80 @@ def nearest(rows: DataFrame, queries, k: int = 20, recall: float = 0.97, id_col:
     at: dict[int, dict[int, int]] = {r.vec_id: {leaf: n for n, leaf in enumerate(tree.order(np.array(r.v)))} for r in some.collect()}
     needed = np.sort([at[r.query_id][r.leaf] + 1 for r in truth]) if truth else np.array([tree.leaves])
     visits = int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)])
-    first = max(1, min(visits, 4))
 
-    def walk(lo: int, hi: int, bound: bool):
+    def walk(lo: int, hi: int):
+        """(unit, queries, vectors, bounds, leaves): what a group of queries has to visit in a unit, between two places of its walk."""
+
         def work(batches):
             import pandas as pd
 
             for pdf in batches:
                 for s in range(0, len(pdf), TOGETHER):
                     part = pdf.iloc[s : s + TOGETHER]
-                    q = matrix(part.v)
-                    by: dict[int, list[int]] = {}
+                    q, ids, bound = matrix(part.v), part.vec_id.to_numpy(), part.bound.to_numpy()
+                    by: dict[int, dict[int, list[int]]] = {}
                     for i, v in enumerate(q):
                         for leaf in held.value.order(v, hi)[lo:]:
-                            by.setdefault(leaf, []).append(i)
-                    ids, least = part.vec_id.to_numpy(), part.bound.to_numpy() if bound else np.full(len(part), -np.inf)
-                    yield pd.DataFrame([(leaf, ids[i].tobytes(), q[i].tobytes(), least[i].tobytes()) for leaf, i in by.items()], columns=["leaf", "qids", "qs", "bounds"])
+                            u, n = units.get(leaf, (0, 0))
+                            for x in range(u, u + n):
+                                by.setdefault(x, {}).setdefault(i, []).append(leaf)
+                    rows = []
+                    for x, wanted in by.items():
+                        i = list(wanted)
+                        rows.append((x, ids[i].tobytes(), q[i].tobytes(), bound[i].tobytes(), np.array([len(w) for w in wanted.values()], np.int64).tobytes(), np.array([leaf for w in wanted.values() for leaf in w], np.int64).tobytes()))
+                    yield pd.DataFrame(rows, columns=["unit", "qids", "qs", "bounds", "counts", "leaves"])
 
         return work
 
     def visit(key, left, right):
         import pandas as pd
 
-        x, ids, parts = matrix(right.v) if len(right) else None, right.vec_id.to_numpy(), []
-        for r in left.itertuples(index=False) if x is not None else []:
-            qids = np.frombuffer(r.qids, np.int64)
-            i, found, s = best(np.frombuffer(r.qs, np.float64).reshape(len(qids), -1), qids, x, ids, k, np.frombuffer(r.bounds, np.float64))
-            parts.append(pd.DataFrame({"query_id": qids[i], "vec_id": found, "score": s}))
+        parts = []
+        if len(right):
+            x, ids, leaf = matrix(right.v), right.vec_id.to_numpy(), right.leaf.to_numpy()
+            known, where = np.unique(leaf, return_inverse=True)
+            for r in left.itertuples(index=False):
+                qids, counts, leaves = (np.frombuffer(b, np.int64) for b in (r.qids, r.counts, r.leaves))
+                visits = np.zeros((len(qids), len(known)), bool)
+                at = np.minimum(np.searchsorted(known, leaves), len(known) - 1)
+                ok = known[at] == leaves
+                visits[np.repeat(np.arange(len(qids)), counts)[ok], at[ok]] = True
+                i, found, s = best(np.frombuffer(r.qs, np.float64).reshape(len(qids), -1), qids, x, ids, k, np.frombuffer(r.bounds, np.float64), visits[:, where])
+                parts.append(pd.DataFrame({"query_id": qids[i], "vec_id": found, "score": s}))
         return pd.concat(parts) if parts else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
-    def search(q: DataFrame, lo: int, hi: int, bound: bool) -> DataFrame:
-        calls = q.mapInPandas(walk(lo, hi, bound), "leaf int, qids binary, qs binary, bounds binary")
-        calls = calls.join(blocks, "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-        return calls.groupBy("leaf", "block").cogroup(index.groupBy("leaf", "block")).applyInPandas(visit, FOUND)
-
-    out = scratch.save(_top(search(asked, 0, first, False), k).drop("rank"), "near")
-    if visits > first:
-        worst = out.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s")).select(F.col("query_id").alias("vec_id"), F.when(F.col("n") >= k, F.col("s")).otherwise(float("-inf")).alias("bound"))
-        more = search(asked.join(worst, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))), first, visits, True)
-        out = out.unionByName(more)
+    out, lo, hi = None, 0, min(visits, FIRST)
+    while lo < visits:
+        if out is None:
+            q = asked.withColumn("bound", F.lit(float("-inf")))
+        else:
+            worst = out.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s")).select(F.col("query_id").alias("vec_id"), F.when(F.col("n") >= k, F.col("s")).otherwise(float("-inf")).alias("bound"))
+            q = asked.join(worst, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+        # the walk is dealt over tasks by number, which no later planning folds together
+        calls = q.repartition(max(8, -(-total // (20 * TOGETHER))), "vec_id").mapInPandas(walk(lo, hi), "unit int, qids binary, qs binary, bounds binary, counts binary, leaves binary")
+        new = calls.groupBy("unit").cogroup(index.groupBy("unit")).applyInPandas(visit, FOUND)
+        # one of the rows of an id counts, the nearest
+        new = (new if out is None else out.unionByName(new)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        out = scratch.save(_top(new, k).drop("rank"), f"found{hi}")
+        lo, hi = hi, min(visits, hi * WIDER)
     return _top(out, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def unit_of_leaf(rows: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """By leaf its first unit and how many it is dealt over; leaves that follow one another in the tree share a unit while they fit."""
+    out, unit, held = {}, 0, 0
+    for leaf in sorted(rows):
+        n = rows[leaf]
+        if held and held + n > UNIT:
+            unit, held = unit + 1, 0
+        parts = max(1, -(-n // UNIT))
+        out[leaf] = (unit, parts)
+        if parts > 1:
+            unit, held = unit + parts, 0
+        else:
+            held += n
+    return out
+
+
 def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)

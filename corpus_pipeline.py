@@ -43,11 +43,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mixture takes it: its row is repeated, or goes."""
-    keyed = _with_key(docs)
-    copies = mixing.mix_sources(keyed, carry=(_KEY,)).groupBy(F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col(_KEY).alias("__hash")).agg(F.sum("copies").alias("__copies")).where("__copies > 0")
-    one = _once(keyed, "doc_id", "source", _KEY)
-    out = one.join(copies, one.doc_id.eqNullSafe(F.col("__doc")) & one.source.eqNullSafe(F.col("__source")) & (F.col(_KEY) == F.col("__hash")))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    mixed = mixing.mix_sources(docs, prefix="__mix_").where("__mix_copies > 0")
+    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_copies")))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

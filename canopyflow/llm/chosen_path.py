@@ -32,8 +32,8 @@ from canopyflow.llm._common import Scratch, components
 from canopyflow.llm._repeats import flat, hashes, mix, prefix, words
 from canopyflow.llm.projection_dedup import _unite
 
-#: Coordinates of a sketch, sets of a leaf, steps taken together at first, runs made together at first and later.
-COORDINATES, LEAF, START, FIRST, BATCH = 128, 128, 3, 4, 10
+#: Coordinates of a sketch, sets of a leaf, steps taken together at first and later, runs made together at first and later.
+COORDINATES, LEAF, START, STEPS, FIRST, BATCH = 128, 128, 3, 2, 4, 10
 #: Sets, and bytes of n-gram hashes, that a task of the exact comparison takes from each side.
 BLOCK_SETS, BLOCK_BYTES = 1024, 4 << 20
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -98,23 +98,24 @@ def _step(keys: np.ndarray, sketch: np.ndarray, second: float):
 
 
 def descend(sets: DataFrame, threshold: float, runs: range | None = None) -> DataFrame:
-    """(path, node, part): the children of the rows' paths; with runs, what the first steps of each run reach from the root."""
-    second = 1 / threshold - 1
+    """(path, node, part), with runs: what the first steps of each run reach from the root; else (path, node, part, sketch): the rows' paths some steps on."""
+    second, new = 1 / threshold - 1, runs is not None
 
     def work(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
             sketch, node, part = _matrix(pdf.sketch), pdf.node.to_numpy(), pdf.part.to_numpy()
-            for r in [None] if runs is None else runs:
-                keys = pdf.path.to_numpy().view(np.uint64) if r is None else np.full(len(pdf), mix(np.array([r + 1], np.uint64) * _ODD[0])[0])
+            for r in runs if new else [None]:
+                keys = np.full(len(pdf), mix(np.array([r + 1], np.uint64) * _ODD[0])[0]) if new else pdf.path.to_numpy().view(np.uint64)
                 rows = np.arange(len(pdf))
-                for _ in range(1 if r is None else START):
+                for _ in range(START if new else STEPS):
                     steps = [(rows[i], child) for i, child in _step(keys, sketch[rows], second)]
                     rows, keys = (np.concatenate(x) for x in zip(*steps, strict=True))
-                yield pd.DataFrame({"path": keys.view(np.int64), "node": node[rows], "part": part[rows]})
+                out = pd.DataFrame({"path": keys.view(np.int64), "node": node[rows], "part": part[rows]})
+                yield out if new else out.assign(sketch=pdf.sketch.to_numpy()[rows])
 
-    return sets.mapInPandas(work, "path long, node long, part long")
+    return sets.mapInPandas(work, "path long, node long, part long" + ", sketch binary" * (not new))
 
 
 def leaf_links(rows: DataFrame, floor: float) -> DataFrame:
@@ -179,49 +180,65 @@ def agreement(a: str, b: str):
     return share(F.col(a), F.col(b))
 
 
-def run_links(sets: DataFrame, groups: DataFrame | None, threshold: float, runs: range, scratch: Scratch, name: str) -> tuple[DataFrame, int]:
-    """(u, v) of nodes that some leaf or pivot of these runs unites, and the depth reached. groups: (node, component) of nodes united before."""
+def run_links(sets: DataFrame, groups: DataFrame | None, threshold: float, runs: range, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame | None, int]:
+    """(u, v) of nodes that some leaf or pivot of these runs unites, (node) of those that went deeper than the first steps, and the depth reached.
+
+    groups: (node, component) of nodes united before.
+    """
     deviation = math.sqrt(threshold * (1 - threshold) / COORDINATES)
     floor = max(0.1, threshold - 4 * deviation)
     start = sets.select("node", "sketch")
     start = start.withColumn("part", F.col("node")) if groups is None else start.join(groups, "node", "left").select("node", "sketch", F.coalesce("component", "node").alias("part"))
-    paths, depth, leaves, links = scratch.save(descend(start, threshold, runs), f"{name}-paths{START}"), START, [], []
+    deep, paths, depth, leaves, links = None, scratch.save(descend(start, threshold, runs), f"{name}-paths{START}"), START, [], []
     while True:
         # a node with one set, or with sets that are united already, ends here
         sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"), F.min("part").alias("lo"), F.max("part").alias("hi"))
         sizes = scratch.save(sizes.where("size > 1 and lo < hi").drop("lo", "hi"), f"{name}-sizes{depth}")
-        here = paths.join(sizes, "path")
-        leaves.append(scratch.save(here.where(F.col("size") <= LEAF).select("path", "node", "part"), f"{name}-leaves{depth}"))
+        here = scratch.save(paths.join(sizes, "path"), f"{name}-here{depth}")
+        scratch.drop(f"{name}-paths{depth}")
+        small, large = (here.where(x) for x in (F.col("size") <= LEAF, F.col("size") > LEAF))
+        if depth == START:  # from here on the few rows left carry their sketches
+            small, large = (x.join(sets.select("node", "sketch"), "node") for x in (small, large))
+        leaves.append(small.select("path", "node", "part", "sketch"))
         if sizes.where(F.col("size") > LEAF).isEmpty():
             break
-        large = here.where(F.col("size") > LEAF).join(sets.select("node", "sketch"), "node")
-        pivots = sizes.where(F.col("size") > LEAF).join(sets.select(F.col("node").alias("pivot"), F.col("sketch").alias("first")), "pivot").select("path", "first")
+        large = scratch.save(large.select("path", "node", "part", "pivot", "sketch"), f"{name}-large{depth}")
+        deep = scratch.save(large.select("node").distinct(), f"{name}-deep") if deep is None else deep
         # partners of a set this like the pivot agree with the pivot in `near` themselves, but for 3.3 deviations
         near = max(0.2, floor - 0.04 * (depth - START))
-        large = scratch.save(large.join(pivots, "path").withColumn("like", agreement("sketch", "first")).drop("first"), f"{name}-large{depth}")
-        links.append(scratch.save(large.where((F.col("like") >= near) & (F.col("node") != F.col("pivot"))).select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), f"{name}-pivots{depth}"))
-        rest = large.where((F.col("like") < near + 1 - threshold + 3.3 * deviation) & (F.col("node") != F.col("pivot")))
-        paths = scratch.save(descend(rest.select("path", "node", "part", "sketch"), threshold), f"{name}-paths{depth + 1}")
-        scratch.drop(f"{name}-paths{depth}", f"{name}-large{depth}")
-        depth += 1
+        pivots = large.where("node = pivot").select("path", F.col("sketch").alias("first")).dropDuplicates(["path"])
+        large = scratch.save(large.join(pivots, "path").where("node <> pivot").withColumn("like", agreement("sketch", "first")).drop("first"), f"{name}-likes{depth}")
+        links.append(large.where(F.col("like") >= near).select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct())
+        rest = large.where(F.col("like") < near + 1 - threshold + 3.3 * deviation)
+        depth += STEPS
+        paths = scratch.save(descend(rest.select("path", "node", "part", "sketch"), threshold), f"{name}-paths{depth}")
+        scratch.drop(f"{name}-large{depth - STEPS}")
     every = leaves[0]
     for x in leaves[1:]:
         every = every.unionByName(x)
-    found = scratch.save(leaf_links(every.join(sets.select("node", "sketch"), "node"), floor), f"{name}-links")
+    found = leaf_links(every, floor)
     for x in links:
         found = found.unionByName(x)
-    scratch.drop(f"{name}-paths{depth}", *(f"{name}-{what}{d}" for what in ("sizes", "leaves") for d in range(START, depth + 1)))
-    return found, depth
+    found = scratch.save(found, f"{name}-links")
+    scratch.drop(*(f"{name}-{what}{d}" for what in ("sizes", "here", "likes") for d in range(START, depth + 1, STEPS)))
+    return found, deep, depth
 
 
 def candidate_groups(sets: DataFrame, threshold: float, recall: float, scratch: Scratch) -> DataFrame:
-    """(node, component) of sets that may have a partner, of runs repeated until the recall is reached."""
-    groups, runs, deepest = None, 0, START
-    while runs == 0 or met(threshold, deepest, runs) < recall:
+    """(node, component) of sets that may have a partner, of runs repeated until the recall is reached.
+
+    A pair that stands in one node after the first steps has met, unless that node is large, and then both sets go deeper. So all sets take
+    the runs that the first steps ask for, and those the depth reached asks for beyond them are for sets that once went deeper.
+    """
+    groups, runs, deepest, deep = None, 0, START, None
+    while runs == 0 or met(threshold, deepest if deep is not None else START, runs) < recall:
+        enough = runs > 0 and met(threshold, START, runs) >= recall
+        some = scratch.save(sets.join(deep.distinct(), "node", "left_semi"), f"run{runs}-sets") if enough else sets
         turn = range(runs, runs + (FIRST if runs == 0 else BATCH))
-        found, depth = run_links(sets, groups, threshold, turn, scratch, f"run{runs}")
+        found, went, depth = run_links(some, groups, threshold, turn, scratch, f"run{runs}")
         edges = found if groups is None else found.unionByName(groups.select(F.col("node").alias("u"), F.col("component").alias("v")))
         groups = components(edges, scratch, name=f"near{runs}-").withColumnRenamed("id", "node")
+        deep = went if deep is None else deep if went is None else deep.unionByName(went)
         runs, deepest = turn.stop, max(deepest, depth)
     return groups
 

@@ -194,12 +194,13 @@ def run_links(sets: DataFrame, groups: DataFrame | None, threshold: float, runs:
         # a node with one set, or with sets that are united already, ends here
         sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"), F.min("part").alias("lo"), F.max("part").alias("hi"))
         sizes = scratch.save(sizes.where("size > 1 and lo < hi").drop("lo", "hi"), f"{name}-sizes{depth}")
-        here = scratch.save(paths.join(sizes, "path"), f"{name}-here{depth}")
-        scratch.drop(f"{name}-paths{depth}")
-        small, large = (here.where(x) for x in (F.col("size") <= LEAF, F.col("size") > LEAF))
+        here = paths.join(sizes, "path")
         if depth == START:  # from here on the few rows left carry their sketches
-            small, large = (x.join(sets.select("node", "sketch"), "node") for x in (small, large))
-        leaves.append(small.select("path", "node", "part", "sketch"))
+            here = here.join(sets.select("node", "sketch"), "node")
+        here = scratch.save(here, f"{name}-here{depth}")
+        scratch.drop(f"{name}-paths{depth}")
+        leaves.append(here.where(F.col("size") <= LEAF).select("path", "node", "part", "sketch"))
+        large = here.where(F.col("size") > LEAF)
         if sizes.where(F.col("size") > LEAF).isEmpty():
             break
         large = scratch.save(large.select("path", "node", "part", "pivot", "sketch"), f"{name}-large{depth}")
@@ -334,8 +335,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
                 col += [np.unique(g[i:j]).view(np.int64).tobytes() for i, j in zip(begins[:-1], begins[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("component", "node", "weight")), pa.array(col, pa.binary())], names=["component", "node", "weight", "grams"])
 
-    # one row holds the text of each node: that of the least doc_id
-    holders = base.join(members, (base.node == members.node) & base.doc_id.eqNullSafe(members.holder)).select("component", members.node, "weight", "text")
+    # one row holds the text of each node: that of the least doc_id; members grow with the documents, so at no size are they broadcast
+    holders = base.join(members.hint("merge"), (base.node == members.node) & base.doc_id.eqNullSafe(members.holder)).select("component", members.node, "weight", "text")
     holders = holders.mapInArrow(grams, "component long, node long, weight long, grams binary")
     if not rows.groupBy("node", "doc_id").count().where("count > 1").isEmpty():
         holders = holders.dropDuplicates(["node"])

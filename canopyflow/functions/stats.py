@@ -21,7 +21,9 @@ def confusion(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
 
 
 def wilson(k: Column, n: Column, z: float = Z) -> tuple[Column, Column]:
-    """(0, 1) where n is 0."""
+    """(0, 1) where n is 0; negative counts, and more successes than trials, are an error when read."""
+    wrong = F.concat(F.lit("not a share: "), k.cast("string"), F.lit(" of "), n.cast("string"))
+    k = F.when(k.isNull() | ((k >= 0) & (k <= n)), k).otherwise(F.raise_error(wrong).cast("long"))
     p = F.try_divide(k.cast("double"), n.cast("double"))
     d = 1 + F.try_divide(F.lit(z * z), n.cast("double"))
     c = (p + F.try_divide(F.lit(z * z / 2), n.cast("double"))) / d
@@ -41,9 +43,9 @@ def poisson(k: Column) -> tuple[Column, Column]:
 
 
 def size_stratum(ha: Column) -> Column:
-    out = None
+    out = F.when(ha <= 0, F.raise_error(F.concat(F.lit("an area has to be above 0: "), ha.cast("string"))).cast("string"))
     for name, _, high in STRATA:
-        out = F.when(ha < high, name) if out is None else out.when(ha < high, name)
+        out = out.when(ha < high, name)
     return out
 
 

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 def _checkpoint(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="canopyflow-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="canopyflow-"))
     return df.checkpoint()
 
 
@@ -26,9 +29,13 @@ def label_components(cells: DataFrame, tile: int = 512, keys: tuple[str, ...] =
     schema = ", ".join(f"{n} {t}" for n, t in cells.select(*keys).dtypes) + (", " if keys else "") + "r long, c long, local long"
 
     def work(pdf):
-        r, c = pdf.r.to_numpy(np.int64), pdf.c.to_numpy(np.int64)
-        at = {(a, b): i for i, (a, b) in enumerate(zip(r.tolist(), c.tolist(), strict=True))}
-        root = list(range(len(r)))
+        # runs of set pixels in a row, then a union of the runs that touch from one row to the next
+        order = np.lexsort((pdf.c, pdf.r))
+        r, c = pdf.r.to_numpy(np.int64)[order], pdf.c.to_numpy(np.int64)[order]
+        new = np.concatenate([[True], (np.diff(r) != 0) | (np.diff(c) != 1)])
+        run, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        rr, lo, hi = r[first], c[first], c[np.append(first[1:], len(r)) - 1]
+        root = list(range(len(first)))
 
         def find(i):
             while root[i] != i:
@@ -36,15 +43,16 @@ def label_components(cells: DataFrame, tile: int = 512, keys: tuple[str, ...] =
                 i = root[i]
             return i
 
-        label = r * big + c
-        for (a, b), i in at.items():
-            for q in ((a - 1, b - 1), (a - 1, b), (a - 1, b + 1), (a, b - 1)):
-                if q in at:
-                    x, y = find(i), find(at[q])
-                    if x != y:
-                        lo, hi = (x, y) if label[x] < label[y] else (y, x)
-                        root[hi] = lo
-        return pdf.assign(local=label[[find(i) for i in range(len(r))]])[[*keys, "r", "c", "local"]]
+        # runs of the row above that begin no later than one past this run's end and end no earlier than one before its start
+        at = rr * (4 * big) + lo + big
+        begin, end = np.searchsorted(rr * (4 * big) + hi + big, at - 4 * big - 1), np.searchsorted(at, (rr - 1) * (4 * big) + hi + big + 1, "right")
+        for i in np.flatnonzero(begin < end).tolist():
+            for j in range(int(begin[i]), int(end[i])):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+        label = (rr * big + lo)[[find(i) for i in range(len(first))]][run]
+        out = pdf.iloc[order]
+        return out.assign(local=label)[[*keys, "r", "c", "local"]]
 
     rows = cells.select(*keys, F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c")).distinct()
     local = _checkpoint(rows.groupBy(*keys, F.floor(F.col("r") / tile).alias("tr"), F.floor(F.col("c") / tile).alias("tc")).applyInPandas(work, schema))
@@ -69,12 +77,10 @@ def label_components(cells: DataFrame, tile: int = 512, keys: tuple[str, ...] =
 
 
 def component_sizes(cells: DataFrame, **how) -> DataFrame:
-    """Pixels with their component and its size, counted exactly."""
-    from pyspark.sql import Window
-
-    keys = how.get("keys", ())
+    """Pixels with their component and its size, counted exactly; sizes are joined back, so no component meets in one task."""
+    keys = list(how.get("keys", ()))
     out = label_components(cells, **how)
-    return out.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy(*keys, "component")))
+    return out.join(out.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("size")), [*keys, "component"])
 
 
 def drop_small(cells: DataFrame, least: int, **how) -> DataFrame:

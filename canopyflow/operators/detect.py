@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canopyflow.functions.geo import min_clearing_pixels
-from canopyflow.functions.masks import mask_and
+from canopyflow.functions.masks import mask_and, mask_or
+from canopyflow.functions.season import code_of_year as loss_code
 from canopyflow.operators.components import drop_small
 from canopyflow.operators.raster import consecutive_run, minus_landscape
 
@@ -54,14 +55,10 @@ class Radar:
             raise ValueError(f"out of range: {self}")
 
 
-def loss_code(year: Column | int):
-    return year - 2000
-
-
 def forest(treecover: Column, lossyear: Column, datamask: Column, year: int, pct: int = 30) -> Column:
     """Forest at the start of a year: enough cover, not lost before; a null loss year means never lost."""
     lost = F.coalesce(lossyear, F.lit(0))
-    return (treecover >= pct) & ((lost == 0) | (lost >= loss_code(year))) & (datamask == 1)
+    return mask_and(mask_and(treecover >= pct, mask_or(lost == 0, lost >= loss_code(year))), datamask == 1)
 
 
 def loss(lossyear: Column, after: int, through: int) -> Column:
@@ -70,17 +67,17 @@ def loss(lossyear: Column, after: int, through: int) -> Column:
     return F.coalesce(lossyear, F.lit(0)).between(loss_code(after) + 1, loss_code(through))
 
 
-def _large(pixels: DataFrame, least: int, value: list[str]) -> DataFrame:
-    kept = drop_small(pixels.select("r", "c"), least)
-    return pixels.join(kept, ["r", "c"]).select("r", "c", "component", *value)
+def _large(pixels: DataFrame, least: int, value: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
+    kept = drop_small(pixels.select(*keys, "r", "c"), least, keys=keys)
+    return pixels.join(kept, [*keys, "r", "c"]).select(*keys, "r", "c", "component", *value)
 
 
-def embedding_disturbance(pixels: DataFrame, config: Embedding = Embedding(), least: int | None = None) -> DataFrame:  # noqa: B008
+def embedding_disturbance(pixels: DataFrame, config: Embedding = Embedding(), least: int | None = None, keys: tuple[str, ...] = ()) -> DataFrame:  # noqa: B008
     """(r, c, component, distance) of pixels (r, c, distance, forest, greenness_loss) that changed, in large enough patches; the gate comes before the patches."""
     hit = mask_and(F.col("distance") >= config.distance, F.col("forest"))
     if config.gate:
         hit = mask_and(hit, F.col("greenness_loss") > 0)
-    return _large(pixels.where(hit), least or min_clearing_pixels(config.min_ha, config.pixel_m), ["distance"])
+    return _large(pixels.where(hit), least or min_clearing_pixels(config.min_ha, config.pixel_m), ["distance"], keys)
 
 
 def optical_disturbance(pixels: DataFrame, config: Optical = Optical(), normalise: bool = True, least: int | None = None) -> DataFrame:  # noqa: B008
@@ -99,6 +96,6 @@ def radar_drops(passes: DataFrame, baseline: DataFrame, keys: list[str], value:
     return stats.join(runs, keys)
 
 
-def radar_disturbance(drops: DataFrame, least: int) -> DataFrame:
+def radar_disturbance(drops: DataFrame, least: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """(r, c, component, drop_db, n_dropped) of radar drops (r, c, forest, run, ...)."""
-    return _large(drops.where(F.col("run") & F.col("forest")), least, ["drop_db", "n_dropped"])
+    return _large(drops.where(F.col("run") & F.col("forest")), least, ["drop_db", "n_dropped"], keys)

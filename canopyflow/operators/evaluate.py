@@ -41,13 +41,33 @@ def stratified_top(rows: DataFrame, classes: list[str], order: list[Column], n:
 
 def stratified_sample(alerts: list[dict], per_stratum: int = 25, seed: int = 42) -> list[dict]:
     """A reviewer's sample: within each stratum, in order of strata, a seeded draw from the alerts in order of id. For a small store, on the driver."""
+    if per_stratum < 1:
+        raise ValueError(f"a stratum needs a sample of one at least, not {per_stratum}")
     rng, out = Random(seed), []
-    for name, low, high in stats.STRATA:
+    for _, low, high in stats.STRATA:
         some = sorted((a for a in alerts if low <= a["area_ha"] < high), key=lambda a: a["alert_id"])
-        out += some if len(some) <= per_stratum else rng.sample(some, per_stratum)
+        # drawn even where all are taken, as each draw moves the generator on for the strata after it
+        out += rng.sample(some, min(per_stratum, len(some)))
     return out
 
 
+def pooled(report: DataFrame) -> DataFrame:
+    """One row for all strata of a precision report."""
+    out = report.agg(*(F.sum(n).alias(n) for n in ("tp", "fp", "unclear", "judged")))
+    lo, hi = stats.wilson(F.col("tp"), F.col("judged"))
+    return out.select("*", stats.ratio(F.col("tp"), F.col("judged")).alias("precision"), lo.alias("lo"), hi.alias("hi"))
+
+
+def stratum_areas(pixels: DataFrame, keys: list[str], area: str) -> DataFrame:
+    return pixels.groupBy(*keys).agg(F.sum(area).alias("stratum_ha"))
+
+
+def weighted(samples: DataFrame, areas: DataFrame, keys: list[str]) -> DataFrame:
+    """samples with w: their stratum's area, shared by the samples that it really has."""
+    had = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return samples.join(had, keys).join(areas, keys).withColumn("w", F.col("stratum_ha") / F.col("_n")).drop("_n", "stratum_ha")
+
+
 def sweep(samples: DataFrame, thresholds: list[float], least: list[int], score: str = "dist", truth: str = "loss", weight: str = "w", pixels: str = "px", greener: str = "greener") -> DataFrame:
     """Weighted accuracy of every setting (gate, threshold, least pixels): the samples are exploded over the grid of settings and summed map-side."""
     grid = samples.sparkSession.createDataFrame([(g, t, k) for g in (False, True) for t in thresholds for k in least], "gate boolean, threshold double, least int")

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from canopyflow.functions import spectral
+
 
 def composite(scenes: DataFrame, keys: list[str], bands: dict[str, Column], count_of: Column | None = None) -> DataFrame:
     """Per pixel the median of each band (of the index, not an index of medians), and the number of usable looks."""
@@ -33,18 +35,27 @@ def focal_mean(pixels: DataFrame, band: str, radius_m: float = 30.0, pixel_m: fl
     return pixels.join(means, [*keys, "r", "c"], "left")
 
 
-def slope_aspect(dem: DataFrame, band: str = "dem", pixel_m: float = 30.0) -> DataFrame:
-    """Slope and aspect in degrees from the four neighbours; null on the border."""
-    row, col = Window.partitionBy("r").orderBy("c"), Window.partitionBy("c").orderBy("r")
-    dx = (F.lead(band).over(row) - F.lag(band).over(row)) / (2 * pixel_m)
-    dy = (F.lead(band).over(col) - F.lag(band).over(col)) / (2 * pixel_m)
-    out = dem.withColumn("dx", dx).withColumn("dy", dy)
+def slope_aspect(dem: DataFrame, band: str = "dem", pixel_m: float = 30.0, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Slope and aspect in degrees from the four neighbours; null on the border and beside a hole, where a neighbour is missing."""
+
+    def across(along: str, other: str):
+        w = Window.partitionBy(*keys, other).orderBy(along)
+        beside = (F.lead(along).over(w) == F.col(along) + 1) & (F.lag(along).over(w) == F.col(along) - 1)
+        return F.when(beside, (F.lead(band).over(w) - F.lag(band).over(w)) / (2 * pixel_m))
+
+    out = dem.withColumn("dx", across("c", "r")).withColumn("dy", across("r", "c"))
     return out.withColumn("slope", F.degrees(F.atan(F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))))).withColumn("aspect", F.pmod(F.degrees(F.atan2(-F.col("dx"), F.col("dy"))) + 360, F.lit(360.0))).drop("dx", "dy")
 
 
-def overview(pixels: DataFrame, band: str, factor: int) -> DataFrame:
+def overview(pixels: DataFrame, band: str, factor: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """Coarser pixels by mean."""
-    return pixels.groupBy(F.floor(F.col("r") / factor).alias("r"), F.floor(F.col("c") / factor).alias("c")).agg(F.avg(band).alias(band))
+    return pixels.groupBy(*keys, F.floor(F.col("r") / factor).alias("r"), F.floor(F.col("c") / factor).alias("c")).agg(F.avg(band).alias(band))
+
+
+def speckle_filter(pixels: DataFrame, band: str, radius_m: float = 30.0, pixel_m: float = 10.0, keys: tuple[str, ...] = ()) -> DataFrame:
+    """A band in decibels averaged over a disc in linear power, then in decibels again."""
+    linear = focal_mean(pixels.withColumn("_power", spectral.to_linear(F.col(band))), "_power", radius_m, pixel_m, keys)
+    return linear.withColumn(f"{band}_mean", spectral.to_db(F.col("_power_mean"))).drop("_power", "_power_mean")
 
 
 def minus_landscape(pixels: DataFrame, band: str) -> DataFrame:

@@ -50,3 +50,9 @@ def cosine_distance(a: Column, b: Column) -> Column:
 
 def difference(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x - y)
+
+
+def pairs_match(a: Column, b: Column, least: float = 3.0) -> Column:
+    """Whether two grey images show one acquisition: their mean absolute difference is under the bound; a missing one matches nothing."""
+    gap = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x) / F.size(a)
+    return F.coalesce(gap < least, F.lit(False))

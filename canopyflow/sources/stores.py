@@ -44,23 +44,31 @@ def detections(records: DataFrame, observed_on: str, column: str = "record") ->
     return r.select("aoi", "seq", mean(0).alias("lon"), mean(1).alias("lat"), F.coalesce("p.properties.area_ha", "p.area_ha").alias("area_ha"), F.lit(observed_on).alias("observed_on"))
 
 
-def write_worksheet(alerts: DataFrame, path: str) -> None:
-    """alerts with their stratum and links as a CSV of 11 columns, verdict and note blank."""
+def worksheet(alerts: DataFrame) -> DataFrame:
+    """alerts with their stratum and links in 11 columns, verdict and note blank."""
     from canopyflow.functions import geo, stats
 
     c = F.col
-    out = alerts.select("alert_id", stats.size_stratum(c("area_ha")).alias("stratum"), F.format_string("%.3f", "area_ha").alias("area_ha"), F.format_string("%.6f", "lat").alias("lat"), F.format_string("%.6f", "lon").alias("lon"), "first_seen", "confirmations", geo.satellite_url(c("lat"), c("lon")).alias("satellite_view"), geo.map_url(c("lat"), c("lon")).alias("map_view"), F.lit("").alias("verdict"), F.lit("").alias("note"))
+    return alerts.select("alert_id", stats.size_stratum(c("area_ha")).alias("stratum"), F.format_string("%.3f", "area_ha").alias("area_ha"), F.format_string("%.6f", "lat").alias("lat"), F.format_string("%.6f", "lon").alias("lon"), "first_seen", "confirmations", geo.satellite_url(c("lat"), c("lon")).alias("satellite_view"), geo.map_url(c("lat"), c("lon")).alias("map_view"), F.lit("").alias("verdict"), F.lit("").alias("note"))
+
+
+def write_worksheet(alerts: DataFrame, path: str) -> None:
+    out = worksheet(alerts)
     out.coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
-def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
-    """(alert_id, stratum, area_ha, verdict, note) of judged rows, from either layout; an unknown verdict is an error."""
-    rows = spark.read.option("header", True).option("escape", '"').csv(path)
+def judged(rows: DataFrame) -> DataFrame:
+    """Rows with a verdict, in plain form; an unknown one is an error."""
     v = F.trim(F.lower(F.coalesce("verdict", F.lit(""))))
-    rows = rows.select("alert_id", "stratum", F.col("area_ha").cast("double").alias("area_ha"), v.alias("verdict"), F.trim(F.coalesce("note", F.lit(""))).alias("note")).where("verdict <> ''")
+    rows = rows.withColumns({"verdict": v, "note": F.trim(F.coalesce("note", F.lit("")))}).where("verdict <> ''")
     return rows.withColumn("verdict", F.when(F.col("verdict").isin(*VERDICTS), F.col("verdict")).otherwise(F.raise_error(F.concat(F.lit("unknown verdict: "), F.col("verdict")))))
 
 
+def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
+    """(alert_id, stratum, area_ha, verdict, note) of judged rows, from either layout."""
+    return judged(spark.read.option("header", True).option("escape", '"').csv(path)).select("alert_id", "stratum", F.col("area_ha").cast("double").alias("area_ha"), "verdict", "note")
+
+
 def worksheet_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').csv(path).select("alert_id").where("trim(alert_id) <> ''")
 

@@ -92,7 +92,9 @@ class Encoder:
                 self.chunks[chunk] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
+        """The ids of each text; where the tokenizer isn't known to drop blanks, of the text as a whole."""
+        if self.split is None:
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
         split = [t.split() for t in texts]
         every = {c for t in split for c in t}
         if len(self.chunks) + len(every) > REMEMBERED:
@@ -145,7 +147,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
             for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 text = (text.as_py() or "").encode()
                 if len(text) > TOGETHER:
-                    yield emit([doc.as_py()], [b"".join(coder.encode([part])[0] for part in _cut(text, TOGETHER))])
+                    yield emit([doc.as_py()], [b"".join(coder.encode([part])[0] for part in (_cut(text, TOGETHER) if coder.split else [text]))])
                     continue
                 ids.append(doc.as_py())
                 texts.append(text)

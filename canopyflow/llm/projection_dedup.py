@@ -229,6 +229,11 @@ def near_dedup(rows: DataFrame, threshold: float = 0.9, window: int = WINDOW, re
     data = valid(rows, id_col, vec_col)
     nodes = scratch.save(data.groupBy("v").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("weight")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     groups = find_groups(nodes, threshold, window, recall, scratch)
+    again = data.groupBy("vec_id").count().where("count > 1").select("vec_id")
+    if not again.isEmpty():  # rows that share an id lie in one component, whatever their vectors
+        held = scratch.save(data.join(again, "vec_id").join(nodes.select("v", "node"), "v").select("vec_id", "node").distinct(), "shared")
+        ties = held.join(held.groupBy("vec_id").agg(F.min("node").alias("u")), "vec_id").select("u", F.col("node").alias("v")).where("u <> v")
+        groups = components(groups.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(ties), scratch, name="shared-")
     counted = count_links(nodes.join(groups.withColumnRenamed("id", "node"), "node").select("component", "node", "weight", "v"), threshold)
     named = nodes.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("low").alias("component_id"))

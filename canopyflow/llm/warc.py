@@ -110,7 +110,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, written and read back."""
     scratch = Scratch(spark, "warc")
     write_archive(resolve(spark.read.parquet(f"{sf_dir}/pages.parquet")), f"{scratch.root}/archive")
-    return read_archive(spark, f"{scratch.root}/archive").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.coalesce("intact", F.lit(True)).alias("intact"))
+    return read_archive(spark, f"{scratch.root}/archive").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
 OP6_SQL = """
@@ -118,6 +118,6 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 q AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha1(h) AS payload_digest FROM p),
 m AS (SELECT payload_digest, payload_bytes, max(page_id) AS latest FROM q WHERE payload_bytes >= 1000 GROUP BY ALL)
 SELECT page_id, q.payload_bytes, q.payload_digest, CASE WHEN latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN latest <> page_id THEN latest END AS refers_to, true AS intact
+       CASE WHEN latest <> page_id THEN latest END AS refers_to, CASE WHEN latest <> page_id THEN NULL ELSE true END AS intact
 FROM q LEFT JOIN m ON q.payload_digest = m.payload_digest AND q.payload_bytes = m.payload_bytes
 """

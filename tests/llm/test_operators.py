@@ -181,6 +181,10 @@ def test_projection_dedup(spark):
     assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in range(900, 906))
     assert all(got[i].component_id == got[j].component_id for i, j in itertools.product(range(10, 20), repeat=2))
     assert projection_dedup.near_dedup(df.limit(0)).count() == 0
+    one, two = [1.0] + [0.0] * 15, [0.0] * 15 + [1.0]
+    shared = spark.createDataFrame([(3, one, 0, "", 0), (5, one, 0, "", 0), (5, two, 0, "", 0), (7, two, 0, "", 0)], VECS)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in projection_dedup.near_dedup(shared).collect())
+    assert got == [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (7, 1, 3, False)]
 
 
 def test_warc(spark, tmp_path):
@@ -260,6 +264,9 @@ def test_encoder_equals_tokenizer():
     for _ in range(5_000):
         text = "".join(rng.choice(odd if rng.random() < 0.5 else plain) for _ in range(rng.randint(0, 14)))
         assert np.frombuffer(coder.encode([text.encode()])[0], "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    other = packing.Encoder(packing.tokenizer_path("byte_bpe_50k.json"))  # keeps blanks
+    whole = Tokenizer.from_file(packing.tokenizer_path("byte_bpe_50k.json"))
+    assert np.frombuffer(other.encode([b"two  words\n here"])[0], "<u4").tolist() == whole.encode("two  words\n here", add_special_tokens=False).ids
     long = " ".join(f"w{k} \u00e9t\u00e9," for k in range(300)).encode()
     assert b"".join(coder.encode([x])[0] for x in packing._cut(long, 100)) == coder.encode([long])[0]
 

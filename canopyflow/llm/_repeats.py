@@ -118,21 +118,26 @@ def runs(sym: np.ndarray, bounds: np.ndarray, k: int, window: int):
         yield doc, lo + s - bounds[doc], n, gram[anchor].view(np.int64), context.view(np.int64)
 
 
-def halves(sym: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the two halves of the windows that begin at the given places of one text."""
-    half = window // 2
-    a, b = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
-    order = np.argsort(starts, kind="stable")
+def at_places(sym: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of so many symbols from each of the given places of one text on; the places ascend."""
+    out = np.empty(len(starts), np.int64)
     i = 0
-    while i < len(order):
-        s = int(starts[order[i]])
-        j = int(np.searchsorted(starts[order], s + PIECE, "left"))
-        pick = order[i:j]
-        p, at = prefix(sym[s : int(starts[order[j - 1]]) + window]), starts[pick] - s
-        a[pick] = hashes(p, at, at + half).view(np.int64)
-        b[pick] = hashes(p, at + half, at + window).view(np.int64)
+    while i < len(starts):
+        s = int(starts[i])
+        j = int(np.searchsorted(starts, s + PIECE, "left"))
+        p, at = prefix(sym[s : int(starts[j - 1]) + length]), starts[i:j] - s
+        out[i:j] = hashes(p, at, at + length).view(np.int64)
         i = j
-    return a, b
+    return out
+
+
+def offsets(first: int, length: int) -> list[int]:
+    """How far on the other rank of each doubling lies, from strings of the first length to those of the length asked for."""
+    out, have = [], first
+    while have < length:
+        out.append(min(have, length - have))
+        have += out[-1]
+    return out
 
 
 def marked(n: int, starts: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
@@ -154,7 +159,18 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 RUNS = "doc long, sub int, lo int, n int, h long, c long"
-WINDOWS = "doc long, sub int, p int, a long, b int"
+POSITIONS = "doc long, sub int, p int, key long"
+
+
+def pieces(batch):
+    """An Arrow batch in slices of about PIECE bytes of text, so that the arrays of one slice stay small; a longer text is a slice of its own."""
+    import pyarrow.compute as pc
+
+    size = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(size) // PIECE)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(size)], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def all_runs(docs, by_word: bool, k: int, window: int):
@@ -162,7 +178,7 @@ def all_runs(docs, by_word: bool, k: int, window: int):
     import pyarrow as pa
 
     def work(batches):
-        for batch in batches:
+        for batch in (x for whole in batches for x in pieces(whole)):
             data, at = flat(batch.column("text"))
             sym, bounds = words(data, at) if by_word else (BYTE[data], at)
             docs_, subs = (batch.column(i).to_numpy() for i in range(2))
@@ -172,23 +188,64 @@ def all_runs(docs, by_word: bool, k: int, window: int):
     return docs.select("doc", "sub", "text").mapInArrow(work, RUNS)
 
 
-def all_windows(docs, wanted, by_word: bool, window: int):
-    """WINDOWS: one row for each window of the runs wanted, with the hashes of its halves."""
+def positions(docs, wanted, by_word: bool, first: int, length: int):
+    """POSITIONS: the starts of the windows wanted and the places at which the doublings look up another rank, each with the hash of its
+    first symbols; places with fewer symbols left in their text are none."""
     import pyarrow as pa
     from pyspark.sql import functions as F
 
+    reach = {0}
+    for o in offsets(first, length):
+        reach |= {x + o for x in reach}
+
     def work(batches):
-        for batch in batches:
+        for batch in (x for whole in batches for x in pieces(whole)):
             data, at = flat(batch.column("text"))
             sym, bounds = words(data, at) if by_word else (BYTE[data], at)
             for i, (d, s) in enumerate(zip(batch.column("doc").to_numpy(), batch.column("sub").to_numpy(), strict=True)):
                 lo, n = (np.array(batch.column(c)[i].as_py(), np.int64) for c in ("lo", "n"))
-                p = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                a, b = halves(sym[bounds[i] : bounds[i + 1]], p, window)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), d)), pa.array(np.full(len(p), s, np.int32)), pa.array(p.astype(np.int32)), pa.array(a), pa.array((b >> 32).astype(np.int32))], names=["doc", "sub", "p", "a", "b"])
+                x = sym[bounds[i] : bounds[i + 1]]
+                turn = np.zeros(len(x) + 1, np.int32)
+                for o in reach:
+                    np.add.at(turn, lo + o, 1)
+                    np.add.at(turn, lo + n + o, -1)
+                p = np.flatnonzero(np.cumsum(turn)[:-1] > 0)
+                key = at_places(x, p, first)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), d)), pa.array(np.full(len(p), s, np.int32)), pa.array(p.astype(np.int32)), pa.array(key)], names=["doc", "sub", "p", "key"])
 
     lists = wanted.groupBy("doc", "sub").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n"))
-    return docs.join(lists, ["doc", "sub"]).select("doc", "sub", "text", "lo", "n").mapInArrow(work, WINDOWS)
+    return docs.join(lists, ["doc", "sub"]).select("doc", "sub", "text", "lo", "n").mapInArrow(work, POSITIONS)
+
+
+def doubled(docs, wanted, by_word: bool, first: int, length: int, scratch):
+    """(doc, sub, lo, n = 1): the windows wanted that also start earlier, by prefix doubling.
+
+    Positions are ranked by their first symbols: Spark sorts the keys that several positions hold and numbers them in that order; a position
+    whose key is unique is dropped. Then a position's key is the pair of its rank and the rank found, by a join, at the position one offset
+    further; the pairs are sorted and ranked again, and the offset doubles until the length is reached.
+    Places that are looked up only can't do harm: what stands equal and earlier there is equal and earlier.
+    """
+    from pyspark.sql import functions as F
+
+    place = F.struct("doc", "sub", "p")
+    now = scratch.save(positions(docs, wanted, by_word, first, length), "keyed0")
+    scratch.drop("first")
+    keys, steps = ["key"], offsets(first, length)
+    for k, o in enumerate([*steps, None]):
+        held = [] if o else [F.min(place).alias("first")]
+        several = now.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"), *held).where("times > 1").drop("times")
+        if o is None:
+            again = now.join(several, keys).where(place != F.col("first"))
+            return again.select("doc", "sub", F.col("p").alias("lo"), F.lit(1).alias("n"))
+        # after a global sort the numbers that Spark gives rows grow with the key; written, so that later reads see the same ones
+        order = scratch.save(several.orderBy(*keys).select(*keys, F.monotonically_increasing_id().alias("next")), f"order{k}")
+        scratch.drop()
+        ranked = scratch.save(now.join(order, keys).select("doc", "sub", "p", F.col("next").alias("rank")), f"ranked{k}")
+        scratch.drop(f"keyed{k}", f"order{k}")
+        further = ranked.select("doc", "sub", (F.col("p") - o).alias("p"), F.col("rank").alias("further"))
+        now = scratch.save(ranked.join(further, ["doc", "sub", "p"]), f"keyed{k + 1}")
+        scratch.drop(f"ranked{k}")
+        keys = ["rank", "further"]
 
 
 def repeated_runs(docs, by_word: bool, k: int, window: int, scratch):

@@ -1,12 +1,15 @@
 """Substring dedup by level-wise doubling of word windows.
 
-Level 1 takes windows of half the length, only where they are anchors (see _repeats), and drops those that occur once. Those repeated
-are extended to twice that length: first together, with the whole context of a run of windows, then, where an anchor stands in several
-contexts, window by window. No candidate survives past the length asked for, as longer repeats are covered by windows of it.
+Levels take windows of 5, 10 and 20 words (a quarter, a half and the whole of the length asked for). Only windows that several places
+hold at one level are extended to twice the length, by joining each with the repeated window that follows it, until no candidate is left
+to extend: beyond the length asked for none is needed, as longer repeats are covered by windows of it (see _repeats.doubled).
+Before the levels two filters take what needs none: a window whose anchor (see _repeats) stands once in the corpus is unique, and contexts
+that repeat whole leave by their hash.
 
 Defined results: a null or empty text has no words and loses none; a text with fewer words than a window loses none; rows that share a
-doc_id are documents of their own, in order of text; a null doc_id comes before all others; other columns of the input are ignored.
-Windows are compared by 96 bits of hash, whole contexts by 128.
+doc_id are documents of their own, in order of text; a null doc_id comes before all others; very long texts are worked on in overlapping
+pieces; an empty table gives an empty result; other columns of the input are ignored.
+Windows are compared by 64 bits of hash, whole contexts by 128.
 """
 
 from __future__ import annotations
@@ -18,17 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopyflow.llm._common import NULL_ID, Scratch, keyed
-from canopyflow.llm._repeats import all_windows, marked, repeated_runs, with_spans
+from canopyflow.llm._repeats import doubled, marked, repeated_runs, with_spans
 
 
 def repeated_spans(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     """(doc, sub, lo, n): n windows from word lo on that start earlier in keyed documents."""
-    later, rest = repeated_runs(docs, True, window // 2, window, scratch)
-    level = scratch.save(all_windows(docs, rest, True, window), "windows")
-    half = level.groupBy("a").count().where("count > 1").select("a")
-    full = level.join(half, "a", "left_semi").groupBy("a", "b").agg(F.min(F.struct("doc", "sub", "p")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    again = level.join(full, ["a", "b"]).where(F.struct("doc", "sub", "p") != F.col("first")).select("doc", "sub", F.col("p").alias("lo"), F.lit(1).alias("n"))
-    return later.unionByName(again)
+    later, rest = repeated_runs(docs, True, max(window // 2, 1), window, scratch)
+    return later.unionByName(doubled(docs, rest, True, max(window // 4, 1), window, scratch))
 
 
 def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -39,7 +38,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     spark = docs.sparkSession
     base, scratch = keyed(docs, id_col, text_col), Scratch(spark, "substring")
     joined = with_spans(base, scratch.save(repeated_spans(base, window, scratch), "spans"))
-    scratch.drop("first", "marked", "windows")
+    scratch.drop("marked", "keyed2")
 
     def cut(batches):
         import pyarrow as pa

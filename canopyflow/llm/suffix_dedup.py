@@ -1,14 +1,15 @@
 """Suffix-array dedup by distributed prefix doubling.
 
-A position's suffix is ranked by its first 50 bytes, then by its first 100: Spark sorts the distinct pairs (rank at the position, rank
-one offset further) that more than one position holds and numbers them in that order; positions whose pair is unique are dropped before the
-offset doubles, and doubling ends at the length asked for. Ranking starts sparsely: only at anchors (see _repeats), where positions with a
-unique prefix drop out together with every string they stand for. Copies of a whole context then leave in one step, and the doubling runs
-on every position of what is left: places where repeated passages begin, end or differ.
+Positions are ranked by the order of their first 50 bytes' keys, then by their first 100: Spark sorts the pairs (rank at the position, rank
+one offset further, looked up by a join on the position) and numbers them; positions whose key is unique are dropped before the offset
+doubles, and doubling ends at the length asked for (see _repeats.doubled). As a suffix array of every byte would need many times the
+input, the doubling runs on what two filters before it leave: an anchor (see _repeats) that stands once in the corpus drops every string it
+stands for, and contexts that repeat whole leave by their hash. The first key is a hash of the bytes, so equal prefixes get equal
+ranks, but the order of the ranks isn't that of an alphabet, which nothing here depends on.
 
 Defined results: a null or empty text has no bytes and loses none, as does a text shorter than the length; rows that share a doc_id are
-documents of their own, in order of text; a null doc_id comes before all others; other columns of the input are ignored.
-Strings are compared by 96 bits of hash, whole contexts by 128.
+documents of their own, in order of text; a null doc_id comes before all others; very long texts are worked on in overlapping pieces; an
+empty table gives an empty result; other columns of the input are ignored. Prefixes are compared by 64 bits of hash, whole contexts by 128.
 """
 
 from __future__ import annotations
@@ -20,32 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopyflow.llm._common import NULL_ID, Scratch, keyed
-from canopyflow.llm._repeats import all_windows, marked, repeated_runs, with_spans
-
-
-def ranks(pairs: DataFrame, keys: list[str], scratch: Scratch, name: str, first: bool = False) -> DataFrame:
-    """The distinct keys that several rows hold, with a rank in sorted order (and the first of their positions).
-
-    After a global sort the numbers that Spark gives rows grow with the key; they are written so that later reads see the same ones.
-    """
-    held = [F.min(F.struct("doc", "sub", "p")).alias("first")] if first else []
-    several = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"), *held).where("times > 1").drop("times")
-    return scratch.save(several.orderBy(*keys).select("*", F.monotonically_increasing_id().alias("next_rank")), name)
+from canopyflow.llm._repeats import doubled, marked, repeated_runs, with_spans
 
 
 def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """(doc, sub, lo, n): n strings from byte lo on that start earlier in keyed documents."""
-    later, rest = repeated_runs(docs, False, length // 2, length, scratch)
-    every = scratch.save(all_windows(docs, rest, False, length), "positions")
-    scratch.drop("first")
-    short = ranks(every, ["a"], scratch, "rank1")
-    scratch.drop()
-    left = scratch.save(every.join(short, "a").select("doc", "sub", "p", F.col("next_rank").alias("rank"), "b"), "left")
-    scratch.drop("positions", "rank1")
-    long = ranks(left, ["rank", "b"], scratch, "rank2", first=True)
-    scratch.drop()
-    again = left.join(long, ["rank", "b"]).where(F.struct("doc", "sub", "p") != F.col("first"))
-    return later.unionByName(again.select("doc", "sub", F.col("p").alias("lo"), F.lit(1).alias("n")))
+    first = (length + 1) // 2
+    later, rest = repeated_runs(docs, False, first, length, scratch)
+    return later.unionByName(doubled(docs, rest, False, first, length, scratch))
 
 
 def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -56,7 +39,7 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     base, scratch = keyed(docs, id_col, text_col), Scratch(spark, "suffix")
     joined = with_spans(base, scratch.save(repeated_spans(base, length, scratch), "spans"))
-    scratch.drop("marked", "left", "rank2")
+    scratch.drop("marked", "keyed1")
 
     def cut(batches):
         import pyarrow as pa

@@ -159,7 +159,10 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 RUNS = "doc long, sub int, lo int, n int, h long, c long"
-POSITIONS = "doc long, sub int, p int, key long"
+#: A place in a text: its row's number among those that share the id, times 2^32, plus the symbols before it.
+POSITIONS = "doc long, at long, key long"
+#: Joins of positions go through their keys in so many parts, one after another, so that only a part's shuffle lies on the disks.
+PARTS = 4
 
 
 def pieces(batch):
@@ -211,7 +214,7 @@ def positions(docs, wanted, by_word: bool, first: int, length: int):
                     np.add.at(turn, lo + n + o, -1)
                 p = np.flatnonzero(np.cumsum(turn)[:-1] > 0)
                 key = at_places(x, p, first)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), d)), pa.array(np.full(len(p), s, np.int32)), pa.array(p.astype(np.int32)), pa.array(key)], names=["doc", "sub", "p", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), d)), pa.array(p + (int(s) << 32)), pa.array(key)], names=["doc", "at", "key"])
 
     lists = wanted.groupBy("doc", "sub").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n"))
     return docs.join(lists, ["doc", "sub"]).select("doc", "sub", "text", "lo", "n").mapInArrow(work, POSITIONS)
@@ -220,32 +223,55 @@ def positions(docs, wanted, by_word: bool, first: int, length: int):
 def doubled(docs, wanted, by_word: bool, first: int, length: int, scratch):
     """(doc, sub, lo, n = 1): the windows wanted that also start earlier, by prefix doubling.
 
-    Positions are ranked by their first symbols: Spark sorts the keys that several positions hold and numbers them in that order; a position
-    whose key is unique is dropped. Then a position's key is the pair of its rank and the rank found, by a join, at the position one offset
-    further; the pairs are sorted and ranked again, and the offset doubles until the length is reached.
+    A position's first rank is the number that its first symbols hash to; positions whose rank is unique are dropped. Then a position's key is
+    the pair of its rank and the rank found, by a join, at the position one offset further; Spark sorts the pairs that several positions
+    hold and numbers them in that order, which gives the next ranks, and the offset doubles until the length is reached.
     Places that are looked up only can't do harm: what stands equal and earlier there is equal and earlier.
     """
+    from functools import reduce
+
     from pyspark.sql import functions as F
 
-    place = F.struct("doc", "sub", "p")
-    now = scratch.save(positions(docs, wanted, by_word, first, length), "keyed0")
-    scratch.drop("first")
-    keys, steps = ["key"], offsets(first, length)
-    for k, o in enumerate([*steps, None]):
-        held = [] if o else [F.min(place).alias("first")]
-        several = now.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"), *held).where("times > 1").drop("times")
-        if o is None:
-            again = now.join(several, keys).where(place != F.col("first"))
-            return again.select("doc", "sub", F.col("p").alias("lo"), F.lit(1).alias("n"))
-        # after a global sort the numbers that Spark gives rows grow with the key; written, so that later reads see the same ones
-        order = scratch.save(several.orderBy(*keys).select(*keys, F.monotonically_increasing_id().alias("next")), f"order{k}")
-        scratch.drop()
-        ranked = scratch.save(now.join(order, keys).select("doc", "sub", "p", F.col("next").alias("rank")), f"ranked{k}")
-        scratch.drop(f"keyed{k}", f"order{k}")
-        further = ranked.select("doc", "sub", (F.col("p") - o).alias("p"), F.col("rank").alias("further"))
-        now = scratch.save(ranked.join(further, ["doc", "sub", "p"]), f"keyed{k + 1}")
-        scratch.drop(f"ranked{k}")
-        keys = ["rank", "further"]
+    def by_parts(name, old, by, make):
+        """The tables that make(part's condition) gives, one after another; what it was made of goes."""
+        done = []
+        for i in range(PARTS):
+            done.append(scratch.save(make(F.pmod(F.xxhash64(*by), F.lit(PARTS)) == i, i), f"{name}-{i}"))
+            scratch.drop(f"{name}-held-{i}")
+        scratch.drop(*old)
+        return reduce(lambda x, y: x.unionByName(y), done), [f"{name}-{i}" for i in range(PARTS)]
+
+    def held(rows, keys, *aggs):
+        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"), *aggs).where("times > 1").drop("times")
+
+    place, steps = F.struct("doc", "at"), offsets(first, length)
+    keyed0 = scratch.save(positions(docs, wanted, by_word, first, length), "keyed0")
+    scratch.drop()
+
+    def several(mine, i):
+        rows = keyed0.where(mine)
+        return rows.join(scratch.save(held(rows, ["key"]), f"ranked0-held-{i}"), "key", "left_semi").select("doc", "at", F.col("key").alias("rank"))
+
+    ranked, made = by_parts("ranked0", ["keyed0"], ["key"], several)
+    for k, o in enumerate(steps, 1):
+
+        def paired(mine, i, ranked=ranked, o=o):
+            further = ranked.select("doc", (F.col("at") - o).alias("at"), F.col("rank").alias("further"))
+            return ranked.where(mine).join(further.where(mine), ["doc", "at"])
+
+        now, made = by_parts(f"keyed{k}", made, ["doc"], paired)
+        if k < len(steps):
+            order = scratch.save(held(now, ["rank", "further"]), f"held{k}")
+            order = scratch.save(order.orderBy("rank", "further").select("*", F.monotonically_increasing_id().alias("next")), f"order{k}")
+            ranked = scratch.save(now.join(order, ["rank", "further"]).select("doc", "at", F.col("next").alias("rank")), f"ranked{k}")
+            scratch.drop(*made, f"held{k}", f"order{k}")
+            made = [f"ranked{k}"]
+    keys = ["rank", "further"] if steps else ["rank"]
+    last = now if steps else ranked
+    firsts = scratch.save(held(last, keys, F.min(place).alias("first")), "firsts")
+    scratch.drop()
+    again = last.join(firsts, keys).where(place != F.col("first"))
+    return again.select("doc", F.shiftright("at", 32).cast("int").alias("sub"), F.col("at").bitwiseAND(2**32 - 1).cast("int").alias("lo"), F.lit(1).alias("n"))
 
 
 def repeated_runs(docs, by_word: bool, k: int, window: int, scratch):
@@ -259,12 +285,13 @@ def repeated_runs(docs, by_word: bool, k: int, window: int, scratch):
     scratch.drop("runs")
     first = scratch.save(kept.groupBy("h", "c").agg(F.min(F.struct("doc", "sub", "lo")).alias("first")), "first")
     scratch.drop()
-    marked_ = kept.join(first, ["h", "c"]).select("h", "doc", "sub", "lo", "n", (F.struct("doc", "sub", "lo") != F.col("first")).alias("later"))
-    marked_ = scratch.save(marked_, "marked")
-    scratch.drop("kept")
-    several = first.groupBy("h").count().where("count > 1").select("h")
-    rest = marked_.where("not later").join(several, "h", "left_semi").select("doc", "sub", "lo", "n")
-    return marked_.where("later").select("doc", "sub", "lo", "n"), rest
+    several = first.groupBy("h").count().where("count > 1").select("h", F.lit(True).alias("more"))
+    first = first.join(several, "h", "left")
+    # what is neither later nor, as its anchor has one context only, in question goes here
+    marked_ = kept.join(first, ["h", "c"]).select("doc", "sub", "lo", "n", (F.struct("doc", "sub", "lo") != F.col("first")).alias("later"), "more").where("later or more")
+    marked_ = scratch.save(marked_.drop("more"), "marked")
+    scratch.drop("kept", "first")
+    return marked_.where("later").drop("later"), marked_.where("not later").drop("later")
 
 
 def with_spans(docs, spans):

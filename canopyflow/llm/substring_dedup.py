@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopyflow.llm._common import NULL_ID, Scratch, keyed
-from canopyflow.llm._repeats import doubled, marked, repeated_runs, with_spans
+from canopyflow.llm._repeats import PARTS, doubled, marked, repeated_runs, with_spans
 
 
 def repeated_spans(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
@@ -38,7 +38,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     spark = docs.sparkSession
     base, scratch = keyed(docs, id_col, text_col), Scratch(spark, "substring")
     joined = with_spans(base, scratch.save(repeated_spans(base, window, scratch), "spans"))
-    scratch.drop("marked", "keyed2")
+    scratch.drop("marked", "firsts", *(f"keyed2-{i}" for i in range(PARTS)))
 
     def cut(batches):
         import pyarrow as pa

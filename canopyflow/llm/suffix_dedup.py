@@ -1,11 +1,11 @@
 """Suffix-array dedup by distributed prefix doubling.
 
-Positions are ranked by the order of their first 50 bytes' keys, then by their first 100: Spark sorts the pairs (rank at the position, rank
-one offset further, looked up by a join on the position) and numbers them; positions whose key is unique are dropped before the offset
-doubles, and doubling ends at the length asked for (see _repeats.doubled). As a suffix array of every byte would need many times the
+Positions are ranked by their first 50 bytes, then by their first 100, by pairs of the rank at the position and the rank one offset further,
+looked up by a join on the position; positions whose rank is unique are dropped before the offset doubles, and doubling ends at the
+length asked for (see _repeats.doubled). As a suffix array of every byte would need many times the
 input, the doubling runs on what two filters before it leave: an anchor (see _repeats) that stands once in the corpus drops every string it
-stands for, and contexts that repeat whole leave by their hash. The first key is a hash of the bytes, so equal prefixes get equal
-ranks, but the order of the ranks isn't that of an alphabet, which nothing here depends on.
+stands for, and contexts that repeat whole leave by their hash. The first rank is a hash of the bytes, so equal prefixes have equal
+ranks, but their order isn't that of an alphabet, which nothing here depends on; pairs of the last length are grouped, not numbered.
 
 Defined results: a null or empty text has no bytes and loses none, as does a text shorter than the length; rows that share a doc_id are
 documents of their own, in order of text; a null doc_id comes before all others; very long texts are worked on in overlapping pieces; an
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopyflow.llm._common import NULL_ID, Scratch, keyed
-from canopyflow.llm._repeats import doubled, marked, repeated_runs, with_spans
+from canopyflow.llm._repeats import PARTS, doubled, marked, repeated_runs, with_spans
 
 
 def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
@@ -39,7 +39,7 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     base, scratch = keyed(docs, id_col, text_col), Scratch(spark, "suffix")
     joined = with_spans(base, scratch.save(repeated_spans(base, length, scratch), "spans"))
-    scratch.drop("marked", "keyed1")
+    scratch.drop("marked", "firsts", *(f"keyed1-{i}" for i in range(PARTS)))
 
     def cut(batches):
         import pyarrow as pa

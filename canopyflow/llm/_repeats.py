@@ -162,7 +162,7 @@ RUNS = "doc long, sub int, lo int, n int, h long, c long"
 #: A place in a text: its row's number among those that share the id, times 2^32, plus the symbols before it.
 POSITIONS = "doc long, at long, key long"
 #: Joins of positions go through their keys in so many parts, one after another, so that only a part's shuffle lies on the disks.
-PARTS = 4
+PARTS = 2
 
 
 def pieces(batch):
@@ -250,14 +250,14 @@ def doubled(docs, wanted, by_word: bool, first: int, length: int, scratch):
 
     def several(mine, i):
         rows = keyed0.where(mine)
-        return rows.join(scratch.save(held(rows, ["key"]), f"ranked0-held-{i}"), "key", "left_semi").select("doc", "at", F.col("key").alias("rank"))
+        return rows.join(scratch.save(held(rows, ["key"]), f"ranked0-held-{i}").hint("shuffle_hash"), "key", "left_semi").select("doc", "at", F.col("key").alias("rank"))
 
     ranked, made = by_parts("ranked0", ["keyed0"], ["key"], several)
     for k, o in enumerate(steps, 1):
 
         def paired(mine, i, ranked=ranked, o=o):
             further = ranked.select("doc", (F.col("at") - o).alias("at"), F.col("rank").alias("further"))
-            return ranked.where(mine).join(further.where(mine), ["doc", "at"])
+            return ranked.where(mine).join(further.where(mine).hint("shuffle_hash"), ["doc", "at"])
 
         now, made = by_parts(f"keyed{k}", made, ["doc"], paired)
         if k < len(steps):
@@ -270,7 +270,7 @@ def doubled(docs, wanted, by_word: bool, first: int, length: int, scratch):
     last = now if steps else ranked
     firsts = scratch.save(held(last, keys, F.min(place).alias("first")), "firsts")
     scratch.drop()
-    again = last.join(firsts, keys).where(place != F.col("first"))
+    again = last.join(firsts.hint("shuffle_hash"), keys).where(place != F.col("first"))
     return again.select("doc", F.shiftright("at", 32).cast("int").alias("sub"), F.col("at").bitwiseAND(2**32 - 1).cast("int").alias("lo"), F.lit(1).alias("n"))
 
 
@@ -281,14 +281,14 @@ def repeated_runs(docs, by_word: bool, k: int, window: int, scratch):
 
     every = scratch.save(all_runs(docs, by_word, k, window), "runs")
     twice = every.groupBy("h").count().where("count > 1").select("h")
-    kept = scratch.save(every.join(twice, "h", "left_semi").select(*every.columns), "kept")
+    kept = scratch.save(every.join(twice.hint("shuffle_hash"), "h", "left_semi").select(*every.columns), "kept")
     scratch.drop("runs")
     first = scratch.save(kept.groupBy("h", "c").agg(F.min(F.struct("doc", "sub", "lo")).alias("first")), "first")
     scratch.drop()
     several = first.groupBy("h").count().where("count > 1").select("h", F.lit(True).alias("more"))
     first = first.join(several, "h", "left")
     # what is neither later nor, as its anchor has one context only, in question goes here
-    marked_ = kept.join(first, ["h", "c"]).select("doc", "sub", "lo", "n", (F.struct("doc", "sub", "lo") != F.col("first")).alias("later"), "more").where("later or more")
+    marked_ = kept.join(first.hint("shuffle_hash"), ["h", "c"]).select("doc", "sub", "lo", "n", (F.struct("doc", "sub", "lo") != F.col("first")).alias("later"), "more").where("later or more")
     marked_ = scratch.save(marked_.drop("more"), "marked")
     scratch.drop("kept", "first")
     return marked_.where("later").drop("later"), marked_.where("not later").drop("later")

@@ -358,3 +358,19 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id", "n_links", "kept")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE ws AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, generate_subscripts(ws, 1) AS p, len(ws) AS total, unnest(ws) AS word FROM ws),
+win AS (SELECT doc_id, total, string_agg(word, ' ') OVER ahead AS gram, count(*) OVER ahead AS n
+        FROM w WINDOW ahead AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+grams AS (SELECT DISTINCT doc_id, gram FROM win WHERE n = least(total, 5)),
+size AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM both_ JOIN size x ON x.doc_id = u JOIN size y ON y.doc_id = v WHERE both_.n >= 0.8 * (x.n + y.n - both_.n)),
+reach AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+low AS (SELECT u, min(v) AS low FROM reach GROUP BY u), many AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id, coalesce(n, 0) AS n_links, doc_id <= coalesce(low, doc_id) AS kept
+FROM documents LEFT JOIN low ON doc_id = low.u LEFT JOIN many ON doc_id = many.u
+"""

@@ -246,3 +246,14 @@ def near_dedup(rows: DataFrame, threshold: float = 0.9, window: int = WINDOW, re
 
 def op8_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+low AS (SELECT u, min(v) AS low FROM reach GROUP BY u), many AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id <= coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN low ON vec_id = low.u LEFT JOIN many ON vec_id = many.u
+"""

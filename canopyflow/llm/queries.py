@@ -17,4 +17,10 @@ QUERIES = {
     "op10_packing": packing.op10_packing,
 }
 
-ORACLES = {"op6_warc": warc.OP6_SQL}
+ORACLES = {
+    "op1_substring_dedup": substring_dedup.OP1_SQL,
+    "op4_jaccard_join": chosen_path.OP4_SQL,
+    "op6_warc": warc.OP6_SQL,
+    "op7_suffix_dedup": suffix_dedup.OP7_SQL,
+    "op8_projection_dedup": projection_dedup.OP8_SQL,
+}

@@ -64,6 +64,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+OP1_SQL = r"""
+WITH w AS (SELECT doc_id, generate_subscripts(ws, 1) AS p, unnest(ws) AS word
+           FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents)),
+win AS (SELECT *, string_agg(word, ' ') OVER ahead AS words, count(*) OVER ahead AS n
+        FROM w WINDOW ahead AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+late AS (SELECT doc_id, p, word, n = 20 AND row_number() OVER (PARTITION BY words, n ORDER BY doc_id, p) > 1 AS again FROM win),
+cut AS (SELECT doc_id, p, word, max(again) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM late),
+doc AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS kept FROM cut GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN doc USING (doc_id)
+"""
+
+
 def brute_force(rows: list[tuple[int, str | None]], window: int = 20) -> list[tuple]:
     """The same by a dictionary of every window, for tests: rows are (doc_id, text), ids distinct."""
     import re

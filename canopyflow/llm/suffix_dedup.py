@@ -70,6 +70,20 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP7_SQL = r"""
+WITH raw AS (SELECT doc_id, encode(coalesce(text, '')) AS bytes FROM documents),
+place AS (SELECT doc_id, bytes, unnest(range(1, octet_length(bytes) + 1)) AS p FROM raw),
+str AS (SELECT doc_id, p, bytes[p:p] AS byte, CASE WHEN p + 99 <= octet_length(bytes) THEN bytes[p:p + 99] END AS s FROM place),
+late AS (SELECT doc_id, p, byte, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 AS again FROM str),
+cut AS (SELECT doc_id, p, byte, max(again) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM late),
+edge AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY p) AS begins FROM cut),
+doc AS (SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
+               string_agg(hex(byte), '' ORDER BY p) FILTER (WHERE NOT gone) AS kept FROM edge GROUP BY doc_id)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM documents LEFT JOIN doc USING (doc_id)
+"""
+
+
 def brute_force(rows: list[tuple[int, str | None]], length: int = 100) -> list[tuple]:
     """The same by a dictionary of every string, for tests: rows are (doc_id, text), ids distinct."""
     seen, out = set(), []

@@ -59,6 +59,38 @@ def test_repeats_on_awkward_rows(awkward):
         assert f(awkward.limit(0)).count() == 0
 
 
+def test_repeats_in_texts_longer_than_a_piece(spark):
+    rng = random.Random(8)
+    words = [f"{rng.randrange(10**6):06d}" for _ in range(160_000)]  # 1.1 MB: bytes go in two pieces
+    words[149_780:149_840] = words[100:160]  # a repeat across the end of the first
+    rows = [(1, " ".join(words)), (2, " ".join(words[1000:1060])), (2, "another text under the same id"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for f, col in ((substring_dedup.substring_dedup, "n_words"), (suffix_dedup.suffix_dedup, "n_bytes")):
+        got = sorted((r.doc_id, r[col], r.n_removed) for r in f(docs).collect())
+        if col == "n_words":
+            assert got == [(1, 160_000, 60), (2, 6, 0), (2, 60, 60), (3, 0, 0)]
+        else:  # with the blanks around the repeat
+            assert got[0][0] == 1 and 419 <= got[0][2] <= 425 and got[2] == (2, 419, 419)
+
+
+def test_doubling_from_short_lengths(spark):
+    """Three doublings, the last by less than its own length, where every position is asked for."""
+    from canopyflow.llm import _repeats
+    from canopyflow.llm._common import Scratch, keyed
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(20, 80))) for _ in range(30)]
+    docs = keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    wanted = docs.where(F.length("text") >= 11).select("doc", "sub", F.lit(0).alias("lo"), (F.length("text") - 10).alias("n"))
+    got = {(r.doc, r.lo) for r in _repeats.doubled(docs, wanted, False, 2, 11, Scratch(spark, "doubled")).collect()}
+    seen, want = set(), set()
+    for i, t in enumerate(texts):
+        for p in range(len(t) - 10):
+            want |= {(i, p)} if t[p : p + 11] in seen else set()
+            seen.add(t[p : p + 11])
+    assert got == want and want
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b) if a and b else 0.0
 

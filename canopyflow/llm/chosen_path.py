@@ -3,11 +3,11 @@
 Texts become sets of word n-grams, sketched by 128 min-hashes. A run splits all sets recursively: at each node some coordinates are sampled, by a
 hash of the node, and a set goes to the child that its value there (a sampled token of it) names; one coordinate always, a second
 with the chance that keeps the expected number of copies of a similar pair from falling. The first steps are taken together; a node with
-few sets is then a leaf, whose pairs are all compared by sketch, and one set alone is dropped before anything is joined to it. A larger node
-goes on down, and all its sets are compared with its first one, the pivot: those so like it that all their partners are linked to it as well
+few pairs that aren't of one component already is then a leaf, whose pairs are all compared by sketch, and one set alone, or sets of one
+component, are dropped before anything is joined to them. A larger node goes on down, and all its sets are compared with its first one, the pivot: those so like it that all their partners are linked to it as well
 are settled by that. The deeper a node lies, the less likeness to the pivot is asked for, so that this ends.
-Runs are repeated until a pair at the threshold has met with the recall asked for, reckoned for the depth really reached (see met). After the
-first runs, nodes whose sets are all in one component already are dropped.
+Runs are repeated until a pair at the threshold has met with the recall asked for, reckoned for the depth really reached (see met). Components
+are formed after the first runs, which unite nearly all that there is to unite, and at the end.
 
 What the sketches unite (four standard deviations below the threshold, so as to lose no pair, and far from what texts that only share a passage
 reach) is a component of candidates. Inside it all pairs are compared exactly, on the n-grams of the whole texts, by blocks of
@@ -32,8 +32,10 @@ from canopyflow.llm._common import Scratch, components
 from canopyflow.llm._repeats import flat, hashes, mix, prefix, words
 from canopyflow.llm.projection_dedup import _unite
 
-#: Coordinates of a sketch, sets of a leaf, steps taken together at first and later, runs made together at first and later.
-COORDINATES, LEAF, START, STEPS, FIRST, BATCH = 128, 128, 3, 2, 4, 10
+#: Coordinates of a sketch, steps taken together at first and later, runs made together at first and, at most, later.
+COORDINATES, START, STEPS, FIRST, BATCH = 128, 3, 2, 4, 16
+#: Pairs to compare in a leaf, and its sets, at most; a node beyond either goes on down.
+LEAF_PAIRS, LEAF_SETS = 1 << 20, 1 << 13
 #: Sets, and bytes of n-gram hashes, that a task of the exact comparison takes from each side.
 BLOCK_SETS, BLOCK_BYTES = 1024, 4 << 20
 _ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -170,6 +172,14 @@ def met(threshold: float, depth: int, runs: int) -> float:
     return float((weight * (1 - (1 - alive) ** runs)).sum())
 
 
+def runs_for(threshold: float, depth: int, recall: float) -> int:
+    """The least number of runs with which met reaches the recall."""
+    runs = 1
+    while met(threshold, depth, runs) < recall:
+        runs += 1
+    return runs
+
+
 def agreement(a: str, b: str):
     """The share of coordinates that agree."""
 
@@ -191,19 +201,24 @@ def run_links(sets: DataFrame, groups: DataFrame | None, threshold: float, runs:
     start = start.withColumn("part", F.col("node")) if groups is None else start.join(groups, "node", "left").select("node", "sketch", F.coalesce("component", "node").alias("part"))
     deep, paths, depth, leaves, links = None, scratch.save(descend(start, threshold, runs), f"{name}-paths{START}"), START, [], []
     while True:
-        # a node with one set, or with sets that are united already, ends here
-        sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"), F.min("part").alias("lo"), F.max("part").alias("hi"))
-        sizes = scratch.save(sizes.where("size > 1 and lo < hi").drop("lo", "hi"), f"{name}-sizes{depth}")
+        # a node with one set, or with sets that are united already, has no pair to compare and ends here
+        if groups is None:
+            sizes = paths.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.count(F.lit(1)).alias("same"), F.min("node").alias("pivot"))
+        else:
+            sizes = paths.groupBy("path", "part").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"))
+            sizes = sizes.groupBy("path").agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("low").alias("pivot"))
+        pairs = (F.col("size") * F.col("size") - F.col("same")) / 2
+        sizes = sizes.where(pairs > 0).select("path", "pivot", ((pairs <= LEAF_PAIRS) & (F.col("size") <= LEAF_SETS)).alias("leaf"))
+        sizes = scratch.save(sizes, f"{name}-sizes{depth}")
         here = paths.join(sizes, "path")
         if depth == START:  # from here on the few rows left carry their sketches
             here = here.join(sets.select("node", "sketch"), "node")
         here = scratch.save(here, f"{name}-here{depth}")
         scratch.drop(f"{name}-paths{depth}")
-        leaves.append(here.where(F.col("size") <= LEAF).select("path", "node", "part", "sketch"))
-        large = here.where(F.col("size") > LEAF)
-        if sizes.where(F.col("size") > LEAF).isEmpty():
+        leaves.append(here.where("leaf").select("path", "node", "part", "sketch"))
+        if sizes.where("not leaf").isEmpty():
             break
-        large = scratch.save(large.select("path", "node", "part", "pivot", "sketch"), f"{name}-large{depth}")
+        large = here.where("not leaf").select("path", "node", "part", "pivot", "sketch")
         deep = scratch.save(large.select("node").distinct(), f"{name}-deep") if deep is None else deep
         # partners of a set this like the pivot agree with the pivot in `near` themselves, but for 3.3 deviations
         near = max(0.2, floor - 0.04 * (depth - START))
@@ -213,7 +228,6 @@ def run_links(sets: DataFrame, groups: DataFrame | None, threshold: float, runs:
         rest = large.where(F.col("like") < near + 1 - threshold + 3.3 * deviation)
         depth += STEPS
         paths = scratch.save(descend(rest.select("path", "node", "part", "sketch"), threshold), f"{name}-paths{depth}")
-        scratch.drop(f"{name}-large{depth - STEPS}")
     every = leaves[0]
     for x in leaves[1:]:
         every = every.unionByName(x)
@@ -231,17 +245,25 @@ def candidate_groups(sets: DataFrame, threshold: float, recall: float, scratch:
     A pair that stands in one node after the first steps has met, unless that node is large, and then both sets go deeper. So all sets take
     the runs that the first steps ask for, and those the depth reached asks for beyond them are for sets that once went deeper.
     """
-    groups, runs, deepest, deep = None, 0, START, None
-    while runs == 0 or met(threshold, deepest if deep is not None else START, runs) < recall:
-        enough = runs > 0 and met(threshold, START, runs) >= recall
-        some = scratch.save(sets.join(deep.distinct(), "node", "left_semi"), f"run{runs}-sets") if enough else sets
-        turn = range(runs, runs + (FIRST if runs == 0 else BATCH))
+    groups, links, runs, deepest, deep = None, [], 0, START, None
+    every = runs_for(threshold, START, recall)
+    while runs < (most := every if deep is None else runs_for(threshold, deepest, recall)):
+        some = sets if runs < every else scratch.save(sets.join(deep.distinct(), "node", "left_semi"), f"run{runs}-sets")
+        turn = range(runs, min(runs + (BATCH if runs else FIRST), every if runs < every else most))
         found, went, depth = run_links(some, groups, threshold, turn, scratch, f"run{runs}")
-        edges = found if groups is None else found.unionByName(groups.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        groups = components(edges, scratch, name=f"near{runs}-").withColumnRenamed("id", "node")
+        if groups is None:
+            groups = components(found, scratch, name="first").withColumnRenamed("id", "node")
+        else:
+            links.append(found)
         deep = went if deep is None else deep if went is None else deep.unionByName(went)
         runs, deepest = turn.stop, max(deepest, depth)
-    return groups
+    links = [x for x in links if not x.isEmpty()]
+    if not links:
+        return groups
+    edges = groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    for x in links:
+        edges = edges.unionByName(x)
+    return components(edges, scratch, name="near").withColumnRenamed("id", "node")
 
 
 def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:

@@ -31,8 +31,8 @@ def test_projection_dedup_with_background_cosine(spark, topics):
 
 def test_jaccard_join_inside_a_frequent_passage(spark, monkeypatch):
     # 300 texts hold one passage, between words of their own; pairs at 0.8 lie mostly inside it. Small nodes stand in for a large table.
-    for name, value in (("LEAF", 64), ("CHUNK", 2), ("DEPTH", 2)):
-        monkeypatch.setattr(chosen_path, name, value, raising=False)
+    for name, value in (("LEAF_PAIRS", 2048), ("LEAF_SETS", 64)):
+        monkeypatch.setattr(chosen_path, name, value)
     rng = np.random.default_rng(5)
 
     def fresh(n):

@@ -75,7 +75,7 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "node", "text").mapInArrow(work, "doc_id long, node long, grams int, sketch binary")
 
 
-def _parts(at: np.ndarray, size: int = 4 << 20):
+def _parts(at: np.ndarray, size: int = 1 << 20):
     """Ranges of texts of about so many bytes together."""
     s = 0
     while s < len(at) - 1:
@@ -120,6 +120,19 @@ def descend(sets: DataFrame, threshold: float, runs: range | None = None) -> Dat
     return sets.mapInPandas(work, "path long, node long, part long" + ", sketch binary" * (not new))
 
 
+def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """label, with those of a and b that stand side by side, and what they lead to, made one."""
+    while len(a):
+        to = np.arange(int(label.max()) + 1)
+        np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+        while (to != (further := to[to])).any():
+            to = further
+        label, a, b = to[label], to[a], to[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+    return label
+
+
 def leaf_links(rows: DataFrame, floor: float) -> DataFrame:
     """(u, v): for (path, node, part, sketch), sorted by path, pairs of one path and of different parts whose sketches agree in at least
     that share, as far as they unite."""
@@ -128,15 +141,21 @@ def leaf_links(rows: DataFrame, floor: float) -> DataFrame:
         left, parent = None, {}
 
         def compare(path, node, part, sketch):
-            links, d = [], 1
-            live = np.arange(len(path) - 1) if len(path) else np.zeros(0, np.int64)
+            if not len(path):
+                return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+            # rows of one path and one part, and later those that a link has joined, share a label and need no comparing
+            order = np.lexsort((part, path))
+            new = np.concatenate([[0], (np.diff(path[order]) != 0) | (np.diff(part[order]) != 0)])
+            label, links, d, live = np.empty(len(path), np.int64), [], 1, np.arange(len(path) - 1)
+            label[order] = np.cumsum(new)
             while len(live):
                 live = live[live + d < len(path)]
                 live = live[path[live] == path[live + d]]
-                can = live[part[live] != part[live + d]]
-                same = np.concatenate([np.count_nonzero(sketch[i] == sketch[i + d], axis=1) for i in np.array_split(can, len(can) // 65_536 + 1)]) if len(can) else np.zeros(0)
-                hit = can[same >= floor * COORDINATES]
-                links += list(_unite(zip(node[hit].tolist(), node[hit + d].tolist(), strict=True), parent))
+                can = live[label[live] != label[live + d]]
+                for i in np.array_split(can, len(can) // 16_384 + 1):
+                    hit = i[np.count_nonzero(sketch[i] == sketch[i + d], axis=1) >= floor * COORDINATES]
+                    links += list(_unite(zip(node[hit].tolist(), node[hit + d].tolist(), strict=True), parent))
+                    label = joined(label, label[hit], label[hit + d])
                 d += 1
             return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
 

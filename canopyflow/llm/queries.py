@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from canopyflow.llm import ann_tree, chosen_path, mixing, packing, projection_dedup, secret_scan, substring_dedup, suffix_dedup, toxicity, warc
+from canopyflow.llm import ann_tree, chosen_path, collocations, language_id, mixing, packing, projection_dedup, secret_scan, substring_dedup, suffix_dedup, token_alignment, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_projection_dedup": projection_dedup.op8_projection_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_packing": packing.op10_packing,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_language_id": language_id.op12_language_id,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 
 ORACLES = {
@@ -23,4 +26,5 @@ ORACLES = {
     "op6_warc": warc.OP6_SQL,
     "op7_suffix_dedup": suffix_dedup.OP7_SQL,
     "op8_projection_dedup": projection_dedup.OP8_SQL,
+    "op11_collocations": collocations.OP11_SQL,
 }

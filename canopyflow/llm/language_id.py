@@ -1,6 +1,6 @@
 """Language ID by a bidirectional gated recurrent network over bytes, trained in numpy by backpropagation through time.
 
-The network reads a text word by word (a word with the blank before it, at most SPAN bytes; longer ones are cut): one layer of gated units
+The network reads a text word by word (letters with the blank before them, or a run of other bytes, at most SPAN; longer ones are cut): one layer of gated units
 reads each word's bytes forwards, another backwards, and a softmax over both labels every position. A text's probabilities are the mean
 over the positions of its letters. State starts anew at each word, so equal words have equal labels, and a task labels each word once and
 keeps it in a bounded table; a text of words that no other has costs a pass of the network over all its bytes, in the same memory.
@@ -24,7 +24,7 @@ SAMPLE, WORDS = 4_000, 60_000
 #: Bytes of a word; gated units of each direction; words that a task keeps at most, and labels together.
 SPAN, UNITS, KEPT_WORDS, TOGETHER = 24, 16, 250_000, 4_096
 STEPS, BATCH, RATE = 500, 256, 0.02
-_WORD = re.compile(rb"\s?\S{1,%d}|\s{1,%d}" % (SPAN - 1, SPAN))
+_WORD = re.compile(rb"\s?[A-Za-z\x80-\xff]{1,%d}|[^A-Za-z\x80-\xff\s]{1,%d}|\s{1,%d}" % (SPAN - 1, SPAN, SPAN))
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 #: Bytes that count as letters of a word: ASCII letters and all of other scripts' characters.
 _LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])

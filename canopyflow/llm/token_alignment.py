@@ -35,6 +35,10 @@ SLICES = 4096
 #: Ids of the second tokenizer lie below this, so a pair of ids is one number (the ids of both files fit 31 bits that way).
 SIDE_B = 32_768
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Inside a word both tokenizers also part a letter from a mark after it, and a lone line feed from a letter after it; the second's vocabulary is asked.
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+_ATOM = re.compile(rf"(?<={_LETTER})(?=[.,;:!?])|(?<=\S\n)(?={_LETTER})")
+_JOINED = re.compile(rf"{_LETTER}[.,;:!?]|\n{_LETTER}")
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
@@ -60,23 +64,41 @@ class Aligner:
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
         if len(pieces) > SIDE_B or max(self.bytes_a) >= 1 << 16:
             raise ValueError("a vocabulary is too large for pairs in one number")
+        self.parted = not any(map(_JOINED.search, pieces))
         self.forget()
 
     def forget(self) -> None:
-        # per word: its groups as text (None: unfaithful), A tokens, B tokens, groups, links, and where its pairs begin
-        self.number, self.groups = {}, []
+        # atoms of each word met; atoms that begin a word, and others
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.first: dict[str, int] = {}
+        self.inner: dict[str, int] = {}
+        # per atom: its groups as text (None: unfaithful), A tokens, B tokens, groups, links, and where its pairs begin
+        self.groups: list[str | None] = []
         self.stats, self.begin, self.pairs, self.times = array("q"), array("q", [0]), array("i"), array("i")
 
+    def inner_b(self, atoms: list[str]) -> list[list[int]]:
+        """B's ids of atoms inside a word: behind what it surely parts from them, as it puts a blank before all that it encodes."""
+        before = ["\n" if a[0].isalpha() else "x" for a in atoms]
+        return [ids[2 if x == "\n" else 1 :] for x, ids in zip(before, self.b.encode([x + a for x, a in zip(before, atoms, strict=True)], num_threads=1), strict=True)]
+
     def learn(self, words: list[str]) -> None:
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
-        for w, a, b in zip(words, ids_a, self.b.encode(words, num_threads=1), strict=True):
-            self.number[w] = len(self.groups)
-            groups, stats, pairs = self.aligned((" " + w).encode(), a, b)
+        cut = [_ATOM.split(w) if self.parted else [w] for w in words]
+        first, inner = list({a[0] for a in cut} - self.first.keys()), list({x for a in cut for x in a[1:]} - self.inner.keys())
+        blank = [" " + a for a in first]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(blank + inner, add_special_tokens=False)]
+        ids_b = (self.b.encode(first, num_threads=1) if first else []) + (self.inner_b(inner) if inner else [])
+        n = len(self.groups)
+        for text, a, b in zip(blank + inner, ids_a, ids_b, strict=True):
+            groups, stats, pairs = self.aligned(text.encode(), a, b)
             self.groups.append(groups)
             self.stats.extend(stats)
             self.pairs.extend(pairs)
             self.times.extend(pairs.values())
             self.begin.append(len(self.pairs))
+        self.first.update(zip(first, range(n, n + len(first)), strict=True))
+        self.inner.update(zip(inner, range(n + len(first), len(self.groups)), strict=True))
+        for w, a in zip(words, cut, strict=True):
+            self.known[w] = (self.first[a[0]], *[self.inner[x] for x in a[1:]])
 
     def aligned(self, want: bytes, ids_a: list[int], ids_b: list[int]) -> tuple[str | None, tuple[int, ...], dict[int, int]]:
         """(groups as text, (A tokens, B tokens, groups, links), {pair: links}) of bytes by their ids on both sides; no groups if the bytes of a side are others."""
@@ -113,12 +135,12 @@ class Aligner:
     def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """(tokens, groups and links of each text, groups as text, where each text's pairs begin, pairs, times); words not met before are encoded together."""
         cut = [self.parts(t) if t else [] for t in texts]
-        if len(self.groups) > self.keep:
+        if len(self.known) > self.keep:
             self.forget()
-        number = self.number
-        if new := {p for parts in cut for p in parts if p not in number}:
+        known = self.known
+        if new := {p for parts in cut for p in parts if p not in known}:
             self.learn(list(new))
-        words = [[number[p] for p in parts] for parts in cut]
+        words = [[w for p in parts for w in known[p]] for parts in cut]
         strings = [[self.groups[w] for w in ids] for ids in words]
         words, strings = ([[] if None in s else w for w, s in zip(words, strings, strict=True)], ["" if None in s else ";".join(s) for s in strings])
         flat = np.fromiter(chain.from_iterable(words), np.int64)

@@ -2,8 +2,8 @@
 
 All 1..max_n-grams that can be frequent become rows of a DataFrame, counted by language and phrase; prefix and suffix counts are joined to every
 cut of a candidate, scored in exact decimals; candidates that a one-word extension accounts for go by an anti-join; a window ranks the rest.
-A phrase is frequent only if every two of its neighbouring words are, so rare pairs are kept out of the rows: pairs are first counted by hash, and
-what reaches the floor goes into a bit table of bounded size that is sent to the tasks. Hash collisions and that table only let more through,
+A phrase is frequent only if every two and every three of its neighbouring words are, so rare pairs and triples are kept out of the rows: they are
+first counted by hash, and what reaches the floor goes into a bit table of bounded size that is sent to the tasks. Hash collisions and that table only let more through,
 as the phrases themselves are counted afterwards; no count, whether of words or of phrases, is estimated.
 
 A chain of one-word extensions reaches every longer phrase (each link of it is at least as frequent as the longest), so one word is enough.
@@ -25,9 +25,11 @@ from canopyflow.llm._common import Scratch
 
 LEAST, MAX_N, TOP, WHOLE = 100, 5, 2000, 100
 #: Bits of a table of hashes at the most (32 MB); bits for each entry below that.
-MOST_BITS, BITS_EACH = 1 << 28, 16
+MOST_BITS, BITS_EACH = 1 << 28, 24
 #: Words and hashes that a task sums up before it hands them on.
 HELD_WORDS, HELD_PAIRS = 200_000, 2_000_000
+#: Where in a hash its three places in a bit table begin.
+SHIFTS = (0, 18, 36)
 _UPPER, _ENDS = bytes(range(65, 91)), b".,;:!?\n\x0b\x0c\r"
 #: ASCII letters in lower case, tabs as blanks, ends of pieces as line feeds.
 _PLAIN = bytes.maketrans(_UPPER + b"\t" + _ENDS, _UPPER.lower() + b" " + b"\n" * len(_ENDS))
@@ -48,19 +50,19 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Sieve:
-    """A bit table of hashes (two bits each): tells surely what isn't in it."""
+    """A bit table of hashes (three bits each): tells surely what isn't in it."""
 
     def __init__(self, table: bytes):
         self.bytes, self.table, self.mask = table, np.frombuffer(table, np.uint8), np.uint64(len(table) * 8 - 1)
 
     def __contains__(self, h: int) -> bool:
         bits, mask = self.bytes, len(self.bytes) * 8 - 1
-        x, y = h & mask, h >> 32 & mask
-        return bool(bits[x >> 3] >> (x & 7) & bits[y >> 3] >> (y & 7) & 1)
+        return all(bits[(x := h >> s & mask) >> 3] >> (x & 7) & 1 for s in SHIFTS)
 
     def passes(self, h: np.ndarray) -> np.ndarray:
         hit = np.ones(len(h), bool)
-        for x in (h & self.mask, (h >> np.uint64(32)) & self.mask):
+        for s in SHIFTS:
+            x = (h >> np.uint64(s)) & self.mask
             hit &= (self.table[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 > 0
         return hit
 
@@ -68,7 +70,7 @@ class Sieve:
 def sieve(hashes: DataFrame, n: int) -> bytes:
     """The bit table of a column h of n hashes, of MOST_BITS at the most; Spark joins the bits, the driver the parts of 4 KB."""
     bits = min(MOST_BITS, 1 << max(15, math.ceil(math.log2(BITS_EACH * max(n, 1)))))
-    slot = F.explode(F.array(F.col("h").bitwiseAND(bits - 1), F.shiftrightunsigned("h", 32).bitwiseAND(bits - 1))).alias("slot")
+    slot = F.explode(F.array(*(F.shiftrightunsigned("h", s).bitwiseAND(bits - 1) for s in SHIFTS))).alias("slot")
     parts = hashes.select(slot).groupBy(F.shiftright("slot", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(32_767)).alias("bits"))
     out = bytearray(bits // 8)
     for r in parts.toLocalIterator():
@@ -161,21 +163,32 @@ def _numbered(batches, table: bytes, size: int = 1 << 21):
     yield from hand_on()
 
 
-def pair_hash_counts(texts: DataFrame, table) -> DataFrame:
-    """(h, f): neighbouring words by hash, where both are frequent; f is at least the count of any pair with that hash."""
+def _chains(known: Words, ids: np.ndarray, sieves: list[Sieve]):
+    """From n = 2 on, one beyond the sieves: (hashes of the n-grams that begin at each word, which of them can be frequent)."""
+    x = np.array(known.hashes, np.uint64)[ids]
+    h, may = x, x != 0
+    for n in range(2, len(sieves) + 3):
+        h, may = pair_hash(h[:-1], x[n - 1 :]), may[:-1] & may[1:]
+        if n - 2 < len(sieves):
+            may = may.copy()
+            may[may] = sieves[n - 2].passes(h[may])
+        yield h, may
+
+
+def chain_hash_counts(texts: DataFrame, words, tables: list) -> DataFrame:
+    """(h, f): chains of len(tables) + 2 words by hash, where all shorter chains in them can be frequent; f is at least the count of any chain with that hash."""
 
     def work(batches):
-        parts, n = [], 0
+        sieves, parts, n = [Sieve(t.value) for t in tables], [], 0
 
         def summed():
             h, f = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             key, at = np.unique(h, return_inverse=True)
             return key, np.bincount(at, f, len(key)).astype(np.int64)
 
-        for words, ids in _numbered(batches, table.value):
-            x = np.array(words.hashes, np.uint64)[ids]
-            both = (x[:-1] != 0) & (x[1:] != 0)
-            parts.append(np.unique(pair_hash(x[:-1][both], x[1:][both]), return_counts=True))
+        for known, ids in _numbered(batches, words.value):
+            *_, (h, may) = _chains(known, ids, sieves)
+            parts.append(np.unique(h[may], return_counts=True))
             n += len(parts[-1][0])
             if n > HELD_PAIRS:
                 parts = [summed()]
@@ -190,37 +203,43 @@ def pair_hash_counts(texts: DataFrame, table) -> DataFrame:
     return texts.mapInArrow(work, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
 
 
-def phrase_counts(texts: DataFrame, words, pairs, max_n: int) -> DataFrame:
-    """(lang, phrase binary, words, f): phrases of 2 to max_n words whose neighbours pass the table of pairs; counted exactly."""
+def phrase_counts(texts: DataFrame, words, tables: list, max_n: int) -> DataFrame:
+    """(lang, phrase binary, words, f): phrases of 2 to max_n words whose chains pass the tables; counted exactly."""
 
     def work(batches):
-        frequent = Sieve(pairs.value)
+        sieves, held = [Sieve(t.value) for t in tables], {}
+
+        def hand_on():
+            for (lang, n), counts in held.items():
+                yield _batch(([lang] * len(counts), list(counts), [n] * len(counts), list(counts.values())), ["lang", "phrase", "words", "f"])
+            held.clear()
+
         for known, ids in _numbered(batches, words.value):
-            x = np.array(known.hashes, np.uint64)[ids]
-            link = (x[:-1] != 0) & (x[1:] != 0)
-            link[link] = frequent.passes(pair_hash(x[:-1][link], x[1:][link]))
-            # at: where a phrase of n words begins; code: a number for its first n - 1 words, equal for equal words
-            at, code = np.flatnonzero(link), None
+            may = [m for (_, m), _ in zip(_chains(known, ids, sieves), sieves)]
+            # at: where a phrase of n words can begin; code: a number for its first n - 1 words, equal for equal words
+            at = np.flatnonzero(may[0])
             code = ids[at]
             for n in range(2, max_n + 1):
+                last = may[min(n - 2, len(may) - 1)]
+                # the chain that ends the phrase; those before it have been seen to
+                ends = at + max(n - 2 - (len(may) - 1), 0)
+                ok = ends < len(last)
+                ok[ok] = last[ends[ok]]
+                at, code = at[ok], code[ok]
                 if not len(at):
                     break
                 _, first, code, f = np.unique(code << 32 | ids[at + n - 1], return_index=True, return_inverse=True, return_counts=True)
-                phrases = [b" ".join([known.words[w] for w in ids[p : p + n]]) for p in at[first].tolist()]
-                yield _batch(([known.lang] * len(phrases), phrases, [n] * len(phrases), f), ["lang", "phrase", "words", "f"])
-                longer = at + n - 1 < len(link)
-                longer[longer] = link[at[longer] + n - 1]
-                at, code = at[longer], code[longer]
+                counts = held.setdefault((known.lang, n), {})
+                for p, k in zip(at[first].tolist(), f.tolist(), strict=True):
+                    phrase = b" ".join([known.words[w] for w in ids[p : p + n]])
+                    counts[phrase] = counts.get(phrase, 0) + k
+            if sum(map(len, held.values())) > HELD_WORDS:
+                yield from hand_on()
+        yield from hand_on()
 
     return texts.mapInArrow(work, "lang string, phrase binary, words int, f long").groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
-def _parts(first: int, last: int):
-    """Words first to last (from 1; negative: from the end) of a phrase."""
-    words = F.split("phrase", " ")
-    return F.array_join(F.slice(words, first, F.size(words) - last), " ")
-
-
 def collocations(docs: DataFrame, least: int = LEAST, max_n: int = MAX_N, top: int = TOP, whole: int = WHOLE, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first phrases.
 
@@ -236,11 +255,13 @@ def collocations(docs: DataFrame, least: int = LEAST, max_n: int = MAX_N, top: i
             yield _batch((np.array([word_hash(w, lang) for lang, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist())], np.uint64).view(np.int64),), ["h"])
 
     table = sc.broadcast(sieve(words.select("lang", "phrase").mapInArrow(hashed, "h long"), words.count()))
-    frequent = scratch.save(pair_hash_counts(texts, table).where(F.col("f") >= least).select("h"), "pairs")
-    pairs = sc.broadcast(sieve(frequent, frequent.count()))
-    phrases = phrase_counts(texts, table, pairs, max_n).where(F.col("f") >= least)
+    tables = []
+    for n in range(2, min(max_n, 3) + 1):
+        frequent = scratch.save(chain_hash_counts(texts, table, tables).where(F.col("f") >= least).select("h"), f"chains{n}")
+        tables.append(sc.broadcast(sieve(frequent, frequent.count())))
+        scratch.drop(f"chains{n}")
+    phrases = phrase_counts(texts, table, tables, max_n).where(F.col("f") >= least)
     counts = scratch.save(words.withColumn("words", F.lit(1)).unionByName(phrases).select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "f"), "counts")
-    scratch.drop("pairs")
     return ranked(counts, single.where(F.col("phrase") == F.lit(b"")).select("lang", F.col("f").alias("n")), top, whole)
 
 

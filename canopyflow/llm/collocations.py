@@ -28,6 +28,8 @@ LEAST, MAX_N, TOP, WHOLE = 100, 5, 2000, 100
 MOST_BITS, BITS_EACH = 1 << 28, 24
 #: Words and hashes that a task sums up before it hands them on.
 HELD_WORDS, HELD_PAIRS = 200_000, 2_000_000
+#: Occurrences of phrases in one batch of rows.
+OUT_ROWS = 100_000
 #: Where in a hash its three places in a bit table begin.
 SHIFTS = (0, 18, 36)
 _UPPER, _ENDS = bytes(range(65, 91)), b".,;:!?\n\x0b\x0c\r"
@@ -204,16 +206,12 @@ def chain_hash_counts(texts: DataFrame, words, tables: list) -> DataFrame:
 
 
 def phrase_counts(texts: DataFrame, words, tables: list, max_n: int) -> DataFrame:
-    """(lang, phrase binary, words, f): phrases of 2 to max_n words whose chains pass the tables; counted exactly."""
+    """(lang, phrase binary, words, f): phrases of 2 to max_n words whose chains pass the tables, a row for each occurrence, counted exactly by Spark."""
 
     def work(batches):
-        sieves, held = [Sieve(t.value) for t in tables], {}
-
-        def hand_on():
-            for (lang, n), counts in held.items():
-                yield _batch(([lang] * len(counts), list(counts), [n] * len(counts), list(counts.values())), ["lang", "phrase", "words", "f"])
-            held.clear()
+        import pyarrow as pa
 
+        sieves = [Sieve(t.value) for t in tables]
         for known, ids in _numbered(batches, words.value):
             may = [m for (_, m), _ in zip(_chains(known, ids, sieves), sieves)]
             # at: where a phrase of n words can begin; code: a number for its first n - 1 words, equal for equal words
@@ -228,16 +226,13 @@ def phrase_counts(texts: DataFrame, words, tables: list, max_n: int) -> DataFram
                 at, code = at[ok], code[ok]
                 if not len(at):
                     break
-                _, first, code, f = np.unique(code << 32 | ids[at + n - 1], return_index=True, return_inverse=True, return_counts=True)
-                counts = held.setdefault((known.lang, n), {})
-                for p, k in zip(at[first].tolist(), f.tolist(), strict=True):
-                    phrase = b" ".join([known.words[w] for w in ids[p : p + n]])
-                    counts[phrase] = counts.get(phrase, 0) + k
-            if sum(map(len, held.values())) > HELD_WORDS:
-                yield from hand_on()
-        yield from hand_on()
+                _, first, code = np.unique(code << 32 | ids[at + n - 1], return_index=True, return_inverse=True)
+                phrases = pa.array([b" ".join([known.words[w] for w in ids[p : p + n]]) for p in at[first].tolist()], pa.binary())
+                for k in range(0, len(code), OUT_ROWS):
+                    some = phrases.take(pa.array(code[k : k + OUT_ROWS]))
+                    yield pa.RecordBatch.from_arrays([pa.array([known.lang] * len(some), pa.string()), some, pa.array(np.full(len(some), n, np.int32))], names=["lang", "phrase", "words"])
 
-    return texts.mapInArrow(work, "lang string, phrase binary, words int, f long").groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(work, "lang string, phrase binary, words int").groupBy("lang", "phrase", "words").agg(F.count(F.lit(1)).alias("f"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, max_n: int = MAX_N, top: int = TOP, whole: int = WHOLE, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

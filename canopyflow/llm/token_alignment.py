@@ -53,17 +53,27 @@ class Aligner:
     """Both tokenizers, and a bounded table of words already aligned."""
 
     def __init__(self, path_a: str, path_b: str, keep: int = KEPT_WORDS):
+        import json
+
+        from public_tokenizers import PATTERN
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
+        from tiktoken import Encoding
 
-        self.a, self.b, self.keep = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b), keep
-        self.a.encode_special_tokens = True
+        with open(path_a, encoding="utf-8") as file:
+            vocabulary = json.load(file)["model"]["vocab"]
         letter = _byte_letters()
-        self.bytes_a = {i: bytes(letter[c] for c in w) if all(c in letter for c in w) else w.encode() for w, i in self.a.get_vocab().items()}
+        ranks = {bytes(letter[c] for c in w): i for w, i in vocabulary.items() if all(c in letter for c in w)}
+        self.b, self.keep = SentencePieceProcessor(model_file=path_b), keep
+        # numbered in order of its merges, so its ids are ranks; special tokens are left out, so their strings are plain text
+        self.a = Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.bytes_a = {i: w for w, i in ranks.items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
         if len(pieces) > SIDE_B or max(self.bytes_a) >= 1 << 16:
             raise ValueError("a vocabulary is too large for pairs in one number")
+        self.long_a, self.long_b = np.zeros(max(self.bytes_a) + 1, np.int64), np.array([len(p) for p in self.bytes_b])
+        for i, w in self.bytes_a.items():
+            self.long_a[i] = len(w)
         self.parted = not any(map(_JOINED.search, pieces))
         self.forget()
 
@@ -76,55 +86,72 @@ class Aligner:
         self.groups: list[str | None] = []
         self.stats, self.begin, self.pairs, self.times = array("q"), array("q", [0]), array("i"), array("i")
 
-    def inner_b(self, atoms: list[str]) -> list[list[int]]:
-        """B's ids of atoms inside a word: behind what it surely parts from them, as it puts a blank before all that it encodes."""
-        before = ["\n" if a[0].isalpha() else "x" for a in atoms]
-        return [ids[2 if x == "\n" else 1 :] for x, ids in zip(before, self.b.encode([x + a for x, a in zip(before, atoms, strict=True)], num_threads=1), strict=True)]
-
     def learn(self, words: list[str]) -> None:
         cut = [_ATOM.split(w) if self.parted else [w] for w in words]
         first, inner = list({a[0] for a in cut} - self.first.keys()), list({x for a in cut for x in a[1:]} - self.inner.keys())
-        blank = [" " + a for a in first]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(blank + inner, add_special_tokens=False)]
-        ids_b = (self.b.encode(first, num_threads=1) if first else []) + (self.inner_b(inner) if inner else [])
-        n = len(self.groups)
-        for text, a, b in zip(blank + inner, ids_a, ids_b, strict=True):
-            groups, stats, pairs = self.aligned(text.encode(), a, b)
-            self.groups.append(groups)
-            self.stats.extend(stats)
-            self.pairs.extend(pairs)
-            self.times.extend(pairs.values())
-            self.begin.append(len(self.pairs))
-        self.first.update(zip(first, range(n, n + len(first)), strict=True))
-        self.inner.update(zip(inner, range(n + len(first), len(self.groups)), strict=True))
+        # both put a blank before all that they encode, so an atom inside a word stands behind what they surely part from it
+        items = [(self.first, a, a, 0) for a in first] + [(self.inner, a, x + a, 1 + len(x)) for a, x in ((a, "x\n" if a[0].isalpha() else "x") for a in inner)]
+        # white space at an end of a text would run together with the blank beside it
+        loose = lambda w: not w or w[0].isspace() or w[-1].isspace()
+        solid, single = [i for i in items if not loose(i[2])], [i for i in items if loose(i[2])]
+        for n, (where, atom, _, _) in enumerate(solid + single, len(self.groups)):
+            where[atom] = n
+        for some in (solid, *([i] for i in single)):
+            self.add([w for _, _, w, _ in some], [k for _, _, _, k in some])
         for w, a in zip(words, cut, strict=True):
             self.known[w] = (self.first[a[0]], *[self.inner[x] for x in a[1:]])
 
-    def aligned(self, want: bytes, ids_a: list[int], ids_b: list[int]) -> tuple[str | None, tuple[int, ...], dict[int, int]]:
-        """(groups as text, (A tokens, B tokens, groups, links), {pair: links}) of bytes by their ids on both sides; no groups if the bytes of a side are others."""
-        got_a, got_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(got_a) != want or b"".join(got_b) != want:
-            return None, (0, 0, 0, 0), {}
-        place = {e: j for j, e in enumerate(accumulate(map(len, got_b)), 1)}
-        groups, links, pairs, i0, j0 = [], 0, {}, 0, 0
-        for i, e in enumerate(accumulate(map(len, got_a)), 1):
-            if (j := place.get(e)) is None:
-                continue
-            if i - i0 == 1 == j - j0:
-                a, b = ids_a[i0], ids_b[j0]
-                groups.append(f"{a}|{b}")
-                pairs[a * SIDE_B + b] = pairs.get(a * SIDE_B + b, 0) + 1
-                links += 1
+    def add(self, words: list[str], skip: list[int]) -> None:
+        """Align words, without their first skip bytes (a blank is put before each); all are encoded as one text, as neither side joins across single blanks."""
+        if not words:
+            return
+        joined = " ".join(words)
+        ids_a, ids_b = self.a.encode_ordinary(" " + joined), self.b.encode(joined)
+        want = (" " + joined).encode()
+        if b"".join([self.bytes_a[i] for i in ids_a]) != want or b"".join([self.bytes_b[i] for i in ids_b]) != want:
+            if len(words) > 1:  # which of them?
+                half = len(words) // 2
+                self.add(words[:half], skip[:half])
+                self.add(words[half:], skip[half:])
             else:
-                part_a, part_b = ids_a[i0:i], ids_b[j0:j]
-                groups.append(f"{','.join(map(str, part_a))}|{','.join(map(str, part_b))}")
-                links += len(part_a) * len(part_b)
-                times_b = Counter(part_b)
-                for a, n in Counter(part_a).items():
-                    for b, m in times_b.items():
-                        pairs[a * SIDE_B + b] = pairs.get(a * SIDE_B + b, 0) + n * m
-            i0, j0 = i, j
-        return ";".join(groups), (len(ids_a), len(ids_b), len(groups), links), pairs
+                self.groups.append(None)
+                self.stats.extend((0, 0, 0, 0))
+                self.begin.append(len(self.pairs))
+            return
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        end_a, end_b = np.cumsum(self.long_a[a]), np.cumsum(self.long_b[b])
+        end = np.intersect1d(end_a, end_b, assume_unique=True)
+        word_end = np.cumsum([len(w.encode()) + 1 for w in words])
+        owner = np.searchsorted(word_end, end)
+        kept = end > (np.concatenate([[0], word_end[:-1]]) + np.array(skip))[owner]
+        group_a, group_b = np.searchsorted(end, end_a), np.searchsorted(end, end_b)
+        n_a, n_b = np.bincount(group_a, minlength=len(end)), np.bincount(group_b, minlength=len(end))
+        sums = [np.bincount(owner[kept], x[kept], len(words)).astype(np.int64) for x in (n_a, n_b, np.ones(len(end), np.int64), n_a * n_b)]
+        # all pairs of occurrences of small groups at once; of large ones by different ids
+        first_b = np.cumsum(n_b) - n_b
+        small = kept & (n_a * n_b <= 256)
+        some = np.flatnonzero(small[group_a])
+        times = n_b[group_a[some]]
+        which = np.repeat(first_b[group_a[some]] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        key = np.repeat(owner[group_a[some]], times) << 31 | np.repeat(a[some], times) * SIDE_B + b[which]
+        count = np.ones(len(key), np.int64)
+        first_a = np.cumsum(n_a) - n_a
+        for g in np.flatnonzero(kept & ~small).tolist():
+            (x, nx), (y, ny) = (np.unique(ids[f : f + n], return_counts=True) for ids, f, n in ((a, first_a[g], n_a[g]), (b, first_b[g], n_b[g])))
+            key = np.concatenate([key, (owner[g] << 31 | x[:, None] * SIDE_B + y[None, :]).ravel()])
+            count = np.concatenate([count, (nx[:, None] * ny[None, :]).ravel()])
+        key, where = np.unique(key, return_inverse=True)
+        self.pairs.frombytes((key & ((1 << 31) - 1)).astype(np.int32).tobytes())
+        self.times.frombytes(np.bincount(where, count, len(key)).astype(np.int32).tobytes())
+        at = self.begin[-1]
+        self.begin.frombytes((at + np.searchsorted(key, np.arange(1, len(words) + 1) << 31)).tobytes())
+        self.stats.frombytes(np.stack(sums, 1).tobytes())
+        # groups as text
+        single = (n_a == 1) & (n_b == 1)
+        said = [f"{ids_a[i]}|{ids_b[j]}" if s else f"{','.join(map(str, ids_a[i : i + n]))}|{','.join(map(str, ids_b[j : j + m]))}" for s, i, j, n, m in zip(single.tolist(), first_a.tolist(), first_b.tolist(), n_a.tolist(), n_b.tolist(), strict=True)]
+        upto = np.searchsorted(owner, np.arange(len(words)), "right").tolist()
+        start = (np.searchsorted(owner, np.arange(len(words))) + np.bincount(owner, ~kept, len(words)).astype(np.int64)).tolist()
+        self.groups += [";".join(said[i:j]) for i, j in zip(start, upto, strict=True)]
 
     def parts(self, text: str) -> list[str]:
         """A text cut at single blanks between other characters."""

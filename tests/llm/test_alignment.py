@@ -4,21 +4,32 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
 from pyspark.sql import functions as F
 
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
 from canopyflow.llm.token_alignment import SIDE_B, Aligner, align
 
 PATHS = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 
 
+def tokenizer_a():
+    t = Tokenizer.from_file(PATHS[0])
+    t.encode_special_tokens = True
+    return t
+
+
 def brute(rows):
-    both = Aligner(*PATHS)
+    """Whole texts by the files' own libraries."""
+    both, a, b = Aligner(*PATHS), tokenizer_a(), SentencePieceProcessor(model_file=PATHS[1])
     found = []
     for doc, text in rows:
         groups = []
         if text:
-            ids_a, ids_b = both.a.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text)
+            ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
             if b"".join(both.bytes_a[i] for i in ids_a) == (" " + text).encode() == b"".join(both.bytes_b[i] for i in ids_b):
                 ends = [set(), set()]
                 for k, (ids, held) in enumerate(((ids_a, both.bytes_a), (ids_b, both.bytes_b))):
@@ -75,8 +86,17 @@ def test_tables_without_tokens(spark):
     assert rows_of(align(broken)) == [(0, 0, 0, 0, 0, 0, 0, "")]
 
 
-def test_a_long_stretch_without_shared_ends(spark):
+def test_a_group_of_many_tokens_is_counted_by_id(spark):
     both = Aligner(*PATHS)
-    # one group of many tokens on both sides: pairs are counted by id, not by occurrence
-    _, stats, pairs = both.aligned(b"x" * 3000, [k for k, v in both.bytes_a.items() if v == b"x"] * 3000, [both.bytes_b.index(b"x")] * 3000)
-    assert stats == (3000, 3000, 3000, 3000) and sum(pairs.values()) == 3000 and len(pairs) == 1 and next(iter(pairs)) % SIDE_B == both.bytes_b.index(b"x")
+    # as if no token but the last of the first side ended where one of the second does
+    both.long_a, both.bytes_a, both.a = np.array([1, 2]), {0: b" ", 1: b"xx"}, type("A", (), {"encode_ordinary": lambda self, t: [0, *[1] * 600]})()
+    both.long_b, both.bytes_b, both.b = np.array([2, 2, 1]), [b" x", b"xx", b"x"], type("B", (), {"encode": lambda self, t: [0, *[1] * 599, 2]})()
+    both.add(["x" * 1200], [0])
+    assert list(both.stats) == [601, 601, 1, 601 * 601]
+    assert dict(zip(both.pairs, both.times, strict=True)) == {0: 1, 1: 599, 2: 1, SIDE_B: 600, SIDE_B + 1: 600 * 599, SIDE_B + 2: 600}
+
+
+def test_first_side_equals_its_own_library_on_every_character():
+    both, own = Aligner(*PATHS), tokenizer_a()
+    texts = [f" a{chr(k)}b {chr(k)}1{chr(k)}{chr(k)}" for k in range(1, 0x3100) if not 0xD800 <= k < 0xE000]
+    assert [both.a.encode_ordinary(t) for t in texts] == [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]

@@ -7,14 +7,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Lengths of vectors that a table may hold; each is searched by itself.
+LENGTHS = 64
+
+
 def valid(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, v array<double>) of the vectors that take part: not null, not zero, all components finite, of the length most of these have."""
+    """(vec_id, v array<double>) of the vectors that take part: not null, not zero, all components finite."""
     v = F.col("v")
     out = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    out = out.where("vec_id is not null and v is not null and size(v) > 0").where(finite & F.exists(v, lambda x: x != 0))
-    sizes = out.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return out.where(F.size("v") == (sizes[0].d if sizes else 0))
+    return out.where("vec_id is not null and v is not null and size(v) > 0").where(finite & F.exists(v, lambda x: x != 0))
+
+
+def lengths(vectors: DataFrame) -> list[int]:
+    """The lengths of a table's vectors, as only vectors of one length can be compared; an error if there are more than LENGTHS."""
+    found = sorted(r.d for r in vectors.select(F.size("v").alias("d")).distinct().limit(LENGTHS + 1).collect())
+    if len(found) > LENGTHS:
+        raise ValueError(f"vectors of more than {LENGTHS} lengths")
+    return found
 
 
 def matrix(column) -> np.ndarray:

@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from canopyflow.llm._common import Scratch
-from canopyflow.llm._vectors import matrix, valid
+from canopyflow.llm._vectors import lengths, matrix, valid
 
 #: Bounds: rows that the tree is grown on, queries that calibrate, rows of a unit, queries that walk the tree or visit a unit together.
 SAMPLE, CALIBRATE, UNIT, TOGETHER = 20_000, 128, 8_192, 256
 #: Leaves of the first round of visits, and how many times as many each next one takes.
 FIRST, WIDER = 4, 4
+#: Queries that one task compares with a unit at the most, about.
+CALLED = 16_384
 BRANCH, LEAF = 8, 256
 
 
@@ -159,9 +161,15 @@ def nearest(rows: DataFrame, queries, k: int = 20, recall: float = 0.97, id_col:
     spark = rows.sparkSession
     scratch = Scratch(spark, "ann")
     data = scratch.save(valid(rows, id_col, vec_col), "vectors")
-    total = data.count()
-    if not total:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for d in lengths(data):  # vectors of different lengths have no product
+        out = out.unionByName(_nearest(data.where(F.size("v") == d), queries, k, recall, Scratch(spark, f"ann{d}")))
+    scratch.drop("vectors")
+    return out
+
+
+def _nearest(data: DataFrame, queries, k: int, recall: float, scratch: Scratch) -> DataFrame:
+    spark, total = data.sparkSession, data.count()
     sample = data.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(SAMPLE).collect()
     tree = grow(np.array([r.v for r in sample], np.float64), max(8, LEAF * len(sample) // max(total, len(sample))))
     del sample
@@ -235,11 +243,18 @@ def nearest(rows: DataFrame, queries, k: int = 20, recall: float = 0.97, id_col:
             q = asked.join(worst, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
         # the walk is dealt over tasks by number, which no later planning folds together
         calls = q.repartition(max(8, -(-total // (20 * TOGETHER))), "vec_id").mapInPandas(walk(lo, hi), "unit int, qids binary, qs binary, bounds binary, counts binary, leaves binary")
-        new = calls.groupBy("unit").cogroup(index.groupBy("unit")).applyInPandas(visit, FOUND)
+        calls = scratch.save(calls, f"calls{hi}")
+        # a unit that very many queries visit is a task for each so many of them
+        parts = calls.groupBy("unit").agg(F.ceil(F.sum(F.length("qids")) / (8 * CALLED)).cast("int").alias("parts"))
+        left = calls.join(parts, "unit").withColumn("part", F.pmod(F.xxhash64("qids"), F.col("parts")).cast("int")).drop("parts")
+        right = index.join(parts, "unit").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        new = left.groupBy("unit", "part").cogroup(right.groupBy("unit", "part")).applyInPandas(visit, FOUND)
         # one of the rows of an id counts, the nearest
         new = (new if out is None else out.unionByName(new)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         out = scratch.save(_top(new, k).drop("rank"), f"found{hi}")
+        scratch.drop(f"calls{hi}", f"found{lo}")
         lo, hi = hi, min(visits, hi * WIDER)
+    scratch.keep(f"found{lo}")
     return _top(out, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

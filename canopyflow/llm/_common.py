@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="canopyflow-"))
         atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
@@ -36,6 +38,13 @@ class Scratch:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep(self, *names: str) -> None:
+        """Drop all tables but these, which the result is still read from."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self.drop(*{f.getPath().getName() for f in files.listStatus(root)} - set(names))
+
     def drop(self, *names: str) -> None:
         """Delete tables, then let Spark remove the shuffle files of plans that are no longer referenced."""
         jvm, hadoop = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

@@ -4,8 +4,9 @@ Exact copies are joined first. In each pass every vector gets the signs of rando
 vectors by it and each is compared with a bounded window of those after it. Signs are of the vectors less the mean of all, as a common part
 would make them alike; the cosine is of the vectors themselves. Pairs that it confirms are united across passes. The first passes follow
 from the number of vectors, the window, the cosine left to a pair at the threshold without the mean, and the recall wanted. A bounded set of
-vectors is then compared with all, and passes are added until their partners stand in their components in that share. Where passes would
-come to as many comparisons as all pairs, these are compared block by block instead. A window can't
+vectors is then compared with all, and passes are added until their partners stand in their components in that share, at every size of table
+alike; MOST passes that don't reach it are an error. Vectors of each length are sorted apart. Windows reach over the ends of partitions: the rows at both
+ends are compared once more with those of the next one. A window can't
 hold all partners of a vector in a large group, so links are then counted exactly, block by block, within each component found.
 
 Defined results: a vector that takes no part (see _vectors.valid) links with nothing and is its own component; a null vec_id takes no part
@@ -21,11 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopyflow.llm._common import Scratch, components
-from canopyflow.llm._vectors import matrix, valid
+from canopyflow.llm._vectors import lengths, matrix, valid
 
 WINDOW, BITS, BLOCK = 64, 48, 512
 #: Passes made together, and vectors compared with all to measure the recall.
 ROUND, QUERIES = 64, 2_048
+#: Passes after which recall that is still missed is an error.
+MOST = 4_096
 #: Members of small components that share a task, about.
 SHARED = 4_096
 
@@ -110,28 +113,7 @@ def matrix_of(rows: list) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def all_links(vectors: DataFrame, threshold: float, n: int, block: int = 4 * BLOCK) -> DataFrame:
-    """(u, v): pairs of (node, v) that unite what any comparison finds; every pair of blocks is a task's."""
-    blocks = -(-n // block)
-    m = vectors.withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def compare(pdf):
-        import pandas as pd
-
-        x, own, ids = matrix(pdf.v), pdf.own.to_numpy(), pdf.node.to_numpy()
-        x = x / np.sqrt((x * x).sum(1))[:, None]
-        links, parent = [], {}
-        for s in range(0, len(x), BLOCK):
-            i, j = np.nonzero(x[s : s + BLOCK] @ x.T >= threshold)
-            i += s
-            use = (i < j) & ((own[i] != own[j]) | (pdf.own.iat[0] == pdf.other.iat[0]))
-            links += _unite(zip(ids[i[use]].tolist(), ids[j[use]].tolist(), strict=True), parent)
-        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
-
-    return m.groupBy(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).applyInPandas(compare, "u long, v long")
-
-
-def candidate_links(vectors: DataFrame, threshold: float, passes: range, window: int, mean: np.ndarray, seed: int = 11) -> DataFrame:
+def candidate_links(vectors: DataFrame, threshold: float, passes: range, window: int, mean: np.ndarray, scratch: Scratch, name: str, seed: int = 11) -> DataFrame:
     """(u, v): confirmed pairs of (node, v) that unite what the passes find."""
 
     def sign(batches):
@@ -145,29 +127,53 @@ def candidate_links(vectors: DataFrame, threshold: float, passes: range, window:
                 bits = (x @ planes > 0).astype(np.int64) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
                 yield pd.DataFrame({"turn": p, "sig": bits, "node": pdf.node, "v": pdf.v})
 
+    def near(x, ids, turn, own=None):
+        """Confirmed pairs within the window; own: only pairs of rows of two partitions."""
+        for d in range(1, min(window, len(ids) - 1) + 1):
+            close = ((x[:-d] * x[d:]).sum(1) >= threshold) & (turn[:-d] == turn[d:])
+            close = np.flatnonzero(close if own is None else close & (own[:-d] != own[d:]))
+            yield from zip(ids[close].tolist(), ids[close + d].tolist(), strict=True)
+
     def compare(batches):
         import pandas as pd
+        from pyspark import TaskContext
 
-        tail, parent = None, {}
+        part, head, tail, parent = TaskContext.get().partitionId(), None, None, {}
         for pdf in batches:
             if not len(pdf):
                 continue
             x, ids, turn = matrix(pdf.v), pdf.node.to_numpy(), pdf.turn.to_numpy()
             x = x / np.sqrt((x * x).sum(1))[:, None]
+            if head is None or len(head) < window:
+                head = pd.concat([head, pdf])[:window] if head is not None else pdf[:window]
+            last = pd.concat([last, pdf])[-window:] if tail is not None else pdf[-window:]
             if tail is not None:
                 x, ids, turn = (np.concatenate([a, b]) for a, b in zip(tail, (x, ids, turn), strict=True))
-            links = []
-            for d in range(1, min(window, len(ids) - 1) + 1):
-                close = np.flatnonzero(((x[:-d] * x[d:]).sum(1) >= threshold) & (turn[:-d] == turn[d:]))
-                links += zip(ids[close].tolist(), ids[close + d].tolist(), strict=True)
+            links = list(near(x, ids, turn))
             tail = x[-window:], ids[-window:], turn[-window:]
             if len(parent) > 1_000_000:
                 parent = {}
-            yield pd.DataFrame(list(_unite(links, parent)), columns=["u", "v"], dtype="int64")
+            out = pd.DataFrame(list(_unite(links, parent)), columns=["u", "v"], dtype="int64").reindex(columns=names)
+            yield out.assign(e=np.full(len(out), None, object))
+        if head is not None:  # what the neighbouring partitions have to see
+            for seam, some in ((part - 1, head), (part, last)):
+                yield pd.DataFrame({"u": some.node, "seam": seam, "part": part, "turn": some.turn, "sig": some.sig, "e": some.v}).reindex(columns=names)
+
+    def over_seam(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values(["turn", "sig", "u"], kind="stable")
+        x = matrix(pdf.e)
+        links = near(x / np.sqrt((x * x).sum(1))[:, None], pdf.u.to_numpy(), pdf.turn.to_numpy(), pdf.part.to_numpy())
+        return pd.DataFrame(list(_unite(links, {})), columns=["u", "v"], dtype="int64")
 
+    names = ["u", "v", "seam", "part", "turn", "sig", "e"]
     signed = vectors.mapInPandas(sign, "turn int, sig long, node long, v array<double>")
     ordered = signed.repartitionByRange("turn", "sig", "node").sortWithinPartitions("turn", "sig", "node")
-    return ordered.mapInPandas(compare, "u long, v long")
+    both = scratch.save(ordered.mapInPandas(compare, "u long, v long, seam int, part int, turn int, sig long, e array<double>"), name)
+    # a seam has two windows of rows at the most
+    seams = both.where("seam is not null").groupBy("seam").applyInPandas(over_seam, "u long, v long")
+    return both.where("seam is null").select("u", "v").unionByName(seams)
 
 
 def count_links(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
@@ -201,24 +207,27 @@ def count_links(members: DataFrame, threshold: float, block: int = BLOCK) -> Dat
     return m.groupBy("task").applyInPandas(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def find_groups(nodes: DataFrame, threshold: float, window: int, recall: float, scratch: Scratch) -> DataFrame:
-    """(id, component) of nodes (node, v) that have a partner, of passes added until the measured recall is reached."""
+def find_groups(nodes: DataFrame, threshold: float, window: int, recall: float, scratch: Scratch, label: str = "") -> DataFrame:
+    """(id, component) of nodes (node, v) of one length that have a partner, of passes added until the measured recall is reached."""
     vectors, n = nodes.select("node", "v"), nodes.count()
     mean = mean_vector(vectors)
     common = min(float(mean @ mean), 0.999)
     queries = vectors.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(QUERIES).collect()
     wanted, done, links, turn = passes_for(n, max(0.0, (threshold - common) / (1 - common)), window, recall), 0, None, 0
     while True:
-        if wanted * window >= n:
-            return components(scratch.save(all_links(vectors, threshold, n), "links"), scratch)
+        wanted = min(wanted, MOST)
         while done < wanted:
             more = range(done, min(wanted, done + ROUND))
-            got = scratch.save(candidate_links(vectors, threshold, more, window, mean), f"links{done}")
+            got = candidate_links(vectors, threshold, more, window, mean, scratch, f"{label}passes{done}")
+            got = scratch.save(got, f"{label}links{done}")
+            scratch.drop(f"{label}passes{done}")
             links, done = got if links is None else links.unionByName(got), more.stop
-        groups = components(links, scratch, name=f"cc{turn}-")
+        groups = components(links, scratch, name=f"{label}cc{turn}-")
         named = vectors.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        if measured(named, queries, threshold, window) >= recall:
+        if (got := measured(named, queries, threshold, window)) >= recall:
             return groups
+        if done >= MOST:
+            raise RuntimeError(f"{done} passes reach a recall of {got:.4f}, not {recall}")
         wanted, turn = done + max(8, done // 2), turn + 1
 
 
@@ -228,17 +237,22 @@ def near_dedup(rows: DataFrame, threshold: float = 0.9, window: int = WINDOW, re
     scratch = Scratch(spark, "projection")
     data = valid(rows, id_col, vec_col)
     nodes = scratch.save(data.groupBy("v").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("weight")).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    groups = find_groups(nodes, threshold, window, recall, scratch)
+    groups = spark.createDataFrame([], "id long, component long")
+    for d in lengths(nodes):
+        groups = groups.unionByName(find_groups(nodes.where(F.size("v") == d), threshold, window, recall, scratch, f"{d}-"))
     again = data.groupBy("vec_id").count().where("count > 1").select("vec_id")
     if not again.isEmpty():  # rows that share an id lie in one component, whatever their vectors
         held = scratch.save(data.join(again, "vec_id").join(nodes.select("v", "node"), "v").select("vec_id", "node").distinct(), "shared")
         ties = held.join(held.groupBy("vec_id").agg(F.min("node").alias("u")), "vec_id").select("u", F.col("node").alias("v")).where("u <> v")
         groups = components(groups.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(ties), scratch, name="shared-")
-    counted = count_links(nodes.join(groups.withColumnRenamed("id", "node"), "node").select("component", "node", "weight", "v"), threshold)
+    # rows that share an id may tie vectors of two lengths, which have no cosine
+    within = F.concat_ws("-", F.col("component"), F.size("v")).alias("component")
+    counted = count_links(nodes.join(groups.withColumnRenamed("id", "node"), "node").select(within, "node", "weight", "v"), threshold)
     named = nodes.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("low").alias("component_id"))
     result = named.join(least, "component").join(counted, "node", "left").select("v", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     result = scratch.save(result, "result")
+    scratch.keep("result")
     out = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
     out = out.join(result, out.v == result.v, "left").select("vec_id", F.when(F.col("vec_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

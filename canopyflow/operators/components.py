@@ -61,19 +61,28 @@ def label_components(cells: DataFrame, tile: int = 512, keys: tuple[str, ...] =
     steps = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j))).alias("s")
     near = edge.select(*keys, "r", "c", F.col("local").alias("u"), steps).select(*keys, (F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c"), "u")
     links = near.join(edge.select(*keys, "r", "c", F.col("local").alias("v")), [*keys, "r", "c"]).where("u <> v").select(*keys, "u", "v").distinct()
+    low = close(links, keys)
+    return local.join(low.select(*keys, F.col("u").alias("local"), "label"), [*keys, "local"], "left").select(*keys, "r", "c", F.coalesce("label", "local").alias("component"))
+
+
+def close(links: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, u, label): the least label reachable from each label by links (keys, u, v) that hold both ways.
+
+    Min-label rounds, each followed by a jump along the labels found, so that far ends meet in a number of rounds that grows with the logarithm.
+    """
     links = _checkpoint(links)
+    label = links.select(*keys, "u").distinct().withColumn("label", F.col("u"))
     if links.isEmpty():
-        return local.withColumnRenamed("local", "component")
-    label = _checkpoint(links.select(*keys, "u").distinct().withColumn("label", F.col("u")))
+        return label
+    label = _checkpoint(label)
     while True:
         low = links.join(label.withColumnRenamed("u", "v").withColumnRenamed("label", "other"), [*keys, "v"]).groupBy(*keys, "u").agg(F.min("other").alias("other"))
         new = label.join(low, [*keys, "u"]).select(*keys, "u", F.least("label", "other").alias("label"), F.col("label").alias("was"))
         jump = new.select(*keys, F.col("u").alias("label"), F.col("label").alias("next"))
         new = _checkpoint(new.join(jump, [*keys, "label"], "left").select(*keys, "u", F.coalesce("next", "label").alias("label"), "was"))
-        if new.where("label <> was").isEmpty():
-            break
         label = new.drop("was")
-    return local.join(new.select(*keys, F.col("u").alias("local"), "label"), [*keys, "local"], "left").select(*keys, "r", "c", F.coalesce("label", "local").alias("component"))
+        if new.where("label <> was").isEmpty():
+            return label
 
 
 def component_sizes(cells: DataFrame, **how) -> DataFrame:

@@ -9,65 +9,11 @@ from pyspark.sql import functions as F
 
 from canopyflow.functions import geo
 from canopyflow.operators import alerts, detect
+from canopyflow.operators.components import _checkpoint
+from canopyflow.operators.outline import outlines
 from canopyflow.sources import stores
 
 
-def boundary(pixels: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """(keys, component, r0, c0, r1, c1): the pixel sides between a component and what is not it, directed with the component on the right."""
-    r, c = F.col("r").cast("long"), F.col("c").cast("long")
-    side = lambda a, b, x, y: F.struct(a.alias("r0"), b.alias("c0"), x.alias("r1"), y.alias("c1"))
-    sides = F.explode(F.array(side(r, c, r, c + 1), side(r, c + 1, r + 1, c + 1), side(r + 1, c + 1, r + 1, c), side(r + 1, c, r, c))).alias("s")
-    s = pixels.select(*keys, "component", sides).select(*keys, "component", "s.*")
-    low, high = F.least(F.struct("r0", "c0"), F.struct(F.col("r1").alias("r0"), F.col("c1").alias("c0"))), F.greatest(F.struct("r0", "c0"), F.struct(F.col("r1").alias("r0"), F.col("c1").alias("c0")))
-    # a side that two pixels of a component share comes twice, once each way
-    once = s.withColumn("low", low).withColumn("high", high).groupBy(*keys, "component", "low", "high").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("r0", "c0", "r1", "c1")).alias("s"))
-    return once.where("n = 1").select(*keys, "component", "s.*")
-
-
-def rings(sides: list[tuple[int, int, int, int]]) -> list[list[tuple[int, int]]]:
-    """Closed rings of corners, the outer one (of greatest area) first. Where two pixels meet in a corner the ring crosses over, as they are joined."""
-    leave: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for a, b, x, y in sorted(sides):
-        leave.setdefault((a, b), []).append((x, y))
-    out = []
-    while leave:
-        first = min(leave)
-        ring, at, way = [first], first, None
-        while True:
-            ends = leave[at]
-            # a left turn before straight on before a right turn
-            turn = lambda e: 0 if way is None else way[1] * (e[0] - at[0]) - way[0] * (e[1] - at[1])  # noqa: B023, E731
-            to = min(ends, key=turn)
-            ends.remove(to)
-            if not ends:
-                del leave[at]
-            step = (to[0] - at[0], to[1] - at[1])
-            if step == way:
-                ring[-1] = to
-            else:
-                ring.append(to)
-            at, way = to, step
-            if at == first and (first not in leave or len(ring) > 3):
-                break
-        out.append(ring)
-    area = lambda k: abs(sum(a[1] * b[0] - b[1] * a[0] for a, b in zip(k, k[1:], strict=False)))
-    return sorted(out, key=lambda k: (-area(k), k))
-
-
-def outlines(pixels: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """(keys, component, ring, holes, sides): the outer ring of each component, as corners (r, c); only its border meets in one task."""
-    edge = boundary(pixels, keys)
-    kinds = ", ".join(f"{n} {t}" for n, t in edge.select(*keys, "component").dtypes)
-
-    def work(pdf):
-        import pandas as pd
-
-        got = rings(list(zip(pdf.r0.tolist(), pdf.c0.tolist(), pdf.r1.tolist(), pdf.c1.tolist(), strict=True)))
-        return pd.DataFrame([{**{k: pdf[k].iat[0] for k in (*keys, "component")}, "ring": [{"r": a, "c": b} for a, b in got[0]], "holes": len(got) - 1, "sides": len(pdf)}])
-
-    return edge.groupBy(*keys, "component").applyInPandas(work, f"{kinds}, ring array<struct<r: long, c: long>>, holes int, sides long")
-
-
 def large_patches(pixels: DataFrame, lat, min_ha: float, keys: tuple[str, ...] = (), pixel_m: float = 10.0) -> DataFrame:
     """(keys, component, n_px, area_ha) of components (r, c, component) whose exact area reaches the floor."""
     sized = pixels.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("n_px"), F.sum(geo.pixel_ha(lat, pixel_m)).alias("area_ha"))
@@ -75,12 +21,12 @@ def large_patches(pixels: DataFrame, lat, min_ha: float, keys: tuple[str, ...] =
 
 
 def patch_records(pixels: DataFrame, west: float, north: float, step: float, config: detect.Embedding, keys: tuple[str, ...] = (), least: int | None = None) -> DataFrame:
-    """(keys, component, area_ha, record): GeoJSON features of what changed, for pixels of a grid that begins at a corner, rows going south."""
+    """(keys, component, n_px, area_ha, record): GeoJSON features of what changed, holes as inner rings, for pixels of a grid that begins at a corner, rows going south."""
     hit = detect.embedding_disturbance(pixels, config, least=least, keys=keys)
     kept = large_patches(hit, F.lit(north) - (F.col("r") + 0.5) * step, config.min_ha, keys, config.pixel_m)
     drawn = outlines(hit.join(kept.select(*keys, "component"), [*keys, "component"], "left_semi"), keys)
-    ring = F.transform("ring", lambda p: F.array(F.lit(west) + p.c * step, F.lit(north) - p.r * step))
-    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+    every = F.transform(F.concat(F.array("ring"), "inner"), lambda ring: F.transform(ring, lambda p: F.array(F.lit(west) + p.c * step, F.lit(north) - p.r * step)))
+    geometry = F.struct(F.lit("Polygon").alias("type"), every.alias("coordinates"))
     record = F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct("area_ha", F.lit(1).alias("label")).alias("properties")))
     return drawn.join(kept, [*keys, "component"]).select(*keys, "component", "n_px", "area_ha", record.alias("record"))
 
@@ -105,11 +51,15 @@ def run_cycle(pixels: DataFrame, store: DataFrame | None, area: str, years: tupl
     if years[0] >= years[1]:
         raise ValueError(f"the year to compare with has to come first: {years}")
     records = patch_records(pixels, west, north, step, config, least=least).persist()
-    seen = stores.detections(records.select(F.lit(area).alias("aoi"), F.col("component").alias("seq"), "record"), today)
-    after = alerts.ingest(seen, store, today).persist()
+    try:
+        found = records.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("area_ha"), F.lit(0.0)).alias("ha")).first()
+        seen = stores.detections(records.select(F.lit(area).alias("aoi"), F.col("component").alias("seq"), "record"), today)
+        after = _checkpoint(alerts.ingest(seen, store, today))
+    finally:
+        records.unpersist()
     before = after.limit(0) if store is None else store
-    due = after.where(F.col("notified_on") == today).join(before.where("notified_on is not null").select("alert_id"), "alert_id", "left_anti")
-    found = records.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("area_ha"), F.lit(0.0)).alias("ha")).first()
+    due = _checkpoint(after.where(F.col("notified_on") == today).join(before.where("notified_on is not null").select("alert_id"), "alert_id", "left_anti"))
+    told = after.agg(F.count("notified_on").alias("notified"), F.count(F.lit(1)).alias("n")).first()
     if save is not None:
         save(after)
-    return Result(after, due, found.n, found.ha, alerts.pending(after).count(), alerts.notified(after).count(), save is None)
+    return Result(after, due, found.n, found.ha, told.n - told.notified, told.notified, save is None)

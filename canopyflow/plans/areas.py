@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from canopyflow.functions import geo, masks, season, spectral, stats, text
-from canopyflow.operators import alerts, area, components, cycle, detect, evaluate, raster, report
+from canopyflow.operators import alerts, area, components, cycle, detect, evaluate, outline, raster, report, stack
 from canopyflow.plans.catalog import CAND, FAR, GRID, PLACES, PX, STRATUM, _cc, _grid, _r, _t, c, candidates, known, pairs, query, sightings
 from canopyflow.sources import collections, stores
 
@@ -199,9 +199,25 @@ def _labelled(spark, d):
     return components.label_components(candidates(spark, d).where(c("distance") >= FAR).select("r", "c"), tile=8)
 
 
-@query("patch_outlines", f"{_cc(f'distance >= {FAR}')}, side AS (SELECT component, r, c, dr, dc FROM sized, (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) AS s(dr, dc)) SELECT s.component, count(*) AS sides FROM side s LEFT JOIN sized n ON n.component = s.component AND n.r = s.r + s.dr AND n.c = s.c + s.dc WHERE n.r IS NULL GROUP BY s.component")
+#: Every ring of every patch: sides with the patch on the right, each followed by the side that leaves where it ends, where two do the one to the left.
+RINGS = f"""{_cc(f"distance >= {FAR}")}, way(d, dr, dc, sr, sc, nr, nc) AS (VALUES (0, 0, 1, 0, 0, -1, 0), (1, 1, 0, 0, 1, 0, 1), (2, 0, -1, 1, 1, 1, 0), (3, -1, 0, 1, 0, 0, -1)),
+side AS (SELECT s.component, s.r + sr AS r, s.c + sc AS c, d, dr, dc FROM sized s, way LEFT JOIN sized n ON n.component = s.component AND n.r = s.r + nr AND n.c = s.c + nc WHERE n.r IS NULL),
+many AS (SELECT component, r, c, count(*) AS n FROM side GROUP BY ALL),
+tie AS (SELECT a.component, a.r, a.c, a.d, b.r AS r2, b.c AS c2, b.d AS d2 FROM side a JOIN side b ON b.component = a.component AND b.r = a.r + a.dr AND b.c = a.c + a.dc JOIN many m ON m.component = b.component AND m.r = b.r AND m.c = b.c WHERE m.n = 1 OR b.d = (a.d + 3) % 4),
+walk(component, r0, c0, d0, r, c, d, k) AS (SELECT component, r, c, d, r, c, d, 0 FROM side UNION ALL SELECT w.component, w.r0, w.c0, w.d0, t.r2, t.c2, t.d2, w.k + 1 FROM walk w JOIN tie t ON t.component = w.component AND t.r = w.r AND t.c = w.c AND t.d = w.d WHERE (t.r2, t.c2, t.d2) > (w.r0, w.c0, w.d0)),
+full_ring AS (SELECT w.component, w.r0, w.c0, w.d0 FROM walk w JOIN tie t ON t.component = w.component AND t.r = w.r AND t.c = w.c AND t.d = w.d WHERE (t.r2, t.c2, t.d2) = (w.r0, w.c0, w.d0)),
+place AS (SELECT w.*, lag(w.d) OVER (PARTITION BY w.component, w.r0, w.c0, w.d0 ORDER BY w.k) AS was FROM walk w JOIN full_ring f USING (component, r0, c0, d0)),
+ring AS (SELECT component, r0, c0, string_agg(r || ' ' || c, ', ' ORDER BY k) FILTER (WHERE was IS NULL OR was <> d) || ', ' || r0 || ' ' || c0 AS points, count(*) AS sides, sum(CASE d WHEN 0 THEN -r WHEN 1 THEN c WHEN 2 THEN r ELSE -c END) / 2.0 AS area FROM place GROUP BY component, r0, c0, d0)"""
+
+
+@query("patch_rings", f"{RINGS} SELECT component, points, sides, area FROM ring")
+def _(spark, d):
+    return outline.rings(_labelled(spark, d), tile=5).select("component", outline.text(c("points")).alias("points"), "sides", "area")
+
+
+@query("patch_outlines", f"{RINGS} SELECT component, max(points) FILTER (WHERE area > 0) AS ring, count(*) FILTER (WHERE area < 0) AS holes, sum(sides)::BIGINT AS sides FROM ring GROUP BY component")
 def _(spark, d):
-    return cycle.outlines(_labelled(spark, d)).select("component", "sides")
+    return outline.outlines(_labelled(spark, d)).select("component", outline.text(c("ring")).alias("ring"), c("holes").cast("long").alias("holes"), "sides")
 
 
 FLOOR = 0.029
@@ -334,3 +350,47 @@ def _(spark, d):
 def _(spark, d):
     o = _t(spark, d, "orders").select((c("o_custkey") % 36).alias("tile"), c("o_orderstatus").alias("loss"), "o_totalprice")
     return evaluate.stratum_areas(o, ["tile", "loss"], "o_totalprice").select("tile", "loss", _r(c("stratum_ha"), 2).alias("stratum_ha"))
+
+
+# --- thresholds at once, isolated sightings ---------------------------------------------------------------------------------------------
+
+#: Thresholds of the stand-in sweep.
+STEPS = (1.35, 1.40, 1.45, 1.50, 1.55)
+STACK = f"""WITH RECURSIVE {CAND}, t(i, t) AS (VALUES {", ".join(f"({i}, {t})" for i, t in enumerate(STEPS))}), cell AS (SELECT i, r, c FROM cand, t WHERE distance >= t AND forest),
+reach(i, r, c, r0, c0) AS (SELECT i, r, c, r, c FROM cell UNION SELECT n.i, n.r, n.c, reach.r0, reach.c0 FROM reach JOIN cell n ON n.i = reach.i AND abs(n.r - reach.r) <= 1 AND abs(n.c - reach.c) <= 1),
+size AS (SELECT i, r, c, count(*) AS n FROM reach GROUP BY ALL), stack AS (SELECT c.r, c.c, c.distance, c.p, (c.greenness_loss <= 0)::INT AS greener, {", ".join(f"coalesce(max(n) FILTER (WHERE i = {i}), 0) AS px{i}" for i in range(5))} FROM cand c LEFT JOIN size s USING (r, c) WHERE c.forest GROUP BY ALL)"""
+
+
+def _stack(spark, d):
+    return stack.build_stack(candidates(spark, d), list(STEPS), tile=6)
+
+
+@query("sweep_stack", f"{STACK} SELECT r, c, greener, px0, px1, px2, px3, px4 FROM stack")
+def _(spark, d):
+    return _stack(spark, d).select("r", "c", "greener", *(c("px")[i].alias(f"px{i}") for i in range(5)))
+
+
+@query("stack_sweep", f"""{STACK}, grid AS (SELECT gate, t.i, t.t AS threshold, k AS least FROM (VALUES (false), (true)) g(gate), t, (VALUES (2), (4), (8), (16)) l(k)),
+fire AS (SELECT grid.*, CASE i {" ".join(f"WHEN {i} THEN px{i}" for i in range(5))} END >= least AND NOT (gate AND greener = 1) AS hit, p % 3 = 0 AS lost FROM stack, grid)
+SELECT gate, threshold::DOUBLE AS threshold, "least", count(*) FILTER (WHERE hit AND lost) AS tp, count(*) FILTER (WHERE hit AND NOT lost) AS fp, count(*) FILTER (WHERE lost AND NOT hit) AS fn FROM fire GROUP BY ALL""")
+def _(spark, d):
+    samples = _stack(spark, d).withColumn("loss", (c("p") % 3 == 0).cast("int")).withColumn("w", F.lit(1.0))
+    out = evaluate.sweep(samples, list(STEPS), [2, 4, 8, 16], score="distance")
+    return out.select("gate", "threshold", "least", *(c(x).cast("long").alias(x) for x in ("tp", "fp", "fn")))
+
+
+CUBE = "floor(6371008.8 * cos(radians(lat)) * cos(radians(lon)) / 150.025)::BIGINT AS x, floor(6371008.8 * cos(radians(lat)) * sin(radians(lon)) / 150.025)::BIGINT AS y, floor(6371008.8 * sin(radians(lat)) / 150.025)::BIGINT AS z"
+
+
+@query("isolated_alerts", f"WITH {PLACES}, p AS (SELECT 'area' || (floor(lat * 10)::BIGINT % 4) AS aoi, lon, lat, {CUBE} FROM s WHERE area > 0), held AS (SELECT aoi, x, y, z, count(*) AS n FROM p GROUP BY ALL), off AS (SELECT unnest([-1, 0, 1]) AS o), around AS (SELECT h.aoi, h.x + a.o AS x, h.y + b.o AS y, h.z + e.o AS z, sum(h.n) AS n FROM held h, off a, off b, off e GROUP BY ALL) SELECT p.aoi, count(*) AS n FROM p JOIN around USING (aoi, x, y, z) WHERE around.n = 1 GROUP BY p.aoi")
+def _(spark, d):
+    s = sightings(spark, d).where("area_ha > 0").withColumn("aoi", F.concat(F.lit("area"), (F.floor(c("lat") * 10) % 4).cast("string")))
+    return alerts.isolated(s).groupBy("aoi").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("single_alerts", f"WITH {PLACES}, p AS (SELECT 'area' || (floor(lat * 10)::BIGINT % 4) AS aoi, lon, lat, {CUBE} FROM s WHERE area > 0), held AS (SELECT aoi, x, y, z, count(*) AS n FROM p GROUP BY ALL), off AS (SELECT unnest([-1, 0, 1]) AS o), around AS (SELECT h.aoi, h.x + a.o AS x, h.y + b.o AS y, h.z + e.o AS z, sum(h.n) AS n FROM held h, off a, off b, off e GROUP BY ALL) SELECT p.aoi, round(p.lon, 6) AS lon, round(p.lat, 6) AS lat, 1 AS confirmations FROM p JOIN around USING (aoi, x, y, z) WHERE around.n = 1")
+def _(spark, d):
+    """Alerts of the folded store that lie where only one sighting was made."""
+    s = sightings(spark, d).where("area_ha > 0").withColumn("aoi", F.concat(F.lit("area"), (F.floor(c("lat") * 10) % 4).cast("string"))).withColumn("seq", c("pid"))
+    one = alerts.isolated(s).select("aoi", "lon", "lat")
+    return alerts.ingest(s, None, "2026-01-01").join(one, ["aoi", "lon", "lat"], "left_semi").select("aoi", _r(c("lon")).alias("lon"), _r(c("lat")).alias("lat"), "confirmations")

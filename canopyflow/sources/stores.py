@@ -14,14 +14,32 @@ VERDICTS = ("true_positive", "false_positive", "unclear")
 VERSION = 1
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def is_there(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def put(spark: SparkSession, path: str, content: str) -> None:
+    """A small text file on any file system that Spark knows: written beside its place, then moved there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at, beside = hadoop.Path(path), hadoop.Path(f"{path}.part")
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    # no checksum beside it, as people fill in worksheets by hand
+    files.setWriteChecksum(False)
+    try:
+        out = files.create(beside, True)
+        out.write(bytearray(content.encode()))
+        out.close()
+    finally:
+        files.setWriteChecksum(True)
+    files.delete(at, False)
+    if not files.rename(beside, at):
+        raise OSError(f"{path} can't be written")
+
+
 def load_store(spark: SparkSession, path: str, aoi: str) -> DataFrame:
     """Alerts of a versioned JSON store; none where it is missing; another version is refused."""
-    if not _exists(spark, path):
+    if not is_there(spark, path):
         return spark.createDataFrame([], f"aoi string, {ALERT}")
     doc = spark.read.schema(f"version int, updated string, alerts array<struct<{', '.join(x.replace(' ', ': ', 1) for x in ALERT.split(', '))}>>").json(path, multiLine=True)
     version = doc.first().version
@@ -36,6 +54,10 @@ def dump_store(store: DataFrame, updated: str) -> str:
     return json.dumps({"version": VERSION, "updated": updated, "alerts": rows}, indent=2)
 
 
+def save_store(spark: SparkSession, store: DataFrame, path: str, updated: str) -> None:
+    put(spark, path, dump_store(store, updated))
+
+
 def detections(records: DataFrame, observed_on: str, column: str = "record") -> DataFrame:
     """GeoJSON patch records (aoi, seq, record) as detections at the mean of all vertices of the outer ring, a closing one counted twice."""
     r = records.withColumn("p", F.from_json(column, PATCH))
@@ -84,6 +106,23 @@ def nearest_release(days: DataFrame, rel: DataFrame, day: str = "target") -> Dat
     return days.select(day).distinct().crossJoin(rel).groupBy(day).agg(F.min(pick).alias("m")).select(day, "m.release", "m.captured", "m.gap")
 
 
+#: Images that a reviewer needs of an alert, by the ends of their names.
+CHIPS = ("before", "after")
+
+
+def chip_sets(alerts: DataFrame, files: DataFrame | None, needed: tuple[str, ...] = CHIPS) -> DataFrame:
+    """(alert_id, paths, missing, complete): images `<alert_id>-<kind>.png` (path, length) of each alert; empty files count as missing, and alerts without any stay."""
+    kinds = F.array(*(F.lit(k) for k in needed))
+    if files is None:
+        return alerts.select("alert_id", F.expr("map()").cast("map<string, string>").alias("paths"), kinds.alias("missing"), F.lit(False).alias("complete"))
+    name = F.regexp_extract("path", r"([^/]+)\.png$", 1)
+    found = files.where("length > 0").select(F.regexp_extract(name, r"^(.*)-[^-]+$", 1).alias("alert_id"), F.regexp_extract(name, r"-([^-]+)$", 1).alias("kind"), "path").where(F.col("kind").isin(*needed))
+    held = found.groupBy("alert_id", "kind").agg(F.min("path").alias("path")).groupBy("alert_id").agg(F.map_from_entries(F.collect_list(F.struct("kind", "path"))).alias("paths"))
+    out = alerts.select("alert_id").join(held, "alert_id", "left")
+    missing = F.array_except(kinds, F.coalesce(F.map_keys("paths"), F.array().cast("array<string>")))
+    return out.select("alert_id", F.coalesce("paths", F.expr("map()").cast("map<string, string>")).alias("paths"), missing.alias("missing"), (F.size(missing) == 0).alias("complete"))
+
+
 def missing_tiles(wanted: DataFrame, done: DataFrame, key: str = "tile") -> DataFrame:
     """What is left to do after a break."""
     return wanted.join(done.select(key), key, "left_anti")

@@ -17,9 +17,48 @@ def haversine_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colum
     return 2 * MEAN_RADIUS_M * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
+def sphere_m(lon: Column, lat: Column) -> list[Column]:
+    """A place as metres from the centre of the earth along three axes: no seam at 180 degrees, no poles."""
+    phi, lam = F.radians(lat), F.radians(lon)
+    return [MEAN_RADIUS_M * F.cos(phi) * F.cos(lam), MEAN_RADIUS_M * F.cos(phi) * F.sin(lam), MEAN_RADIUS_M * F.sin(phi)]
+
+
+def _packed(x: Column, y: Column, z: Column) -> Column:
+    """Three cell numbers, each within 20 bits either way, as one."""
+    return ((x + (1 << 20)) * (1 << 21) + (y + (1 << 20))) * (1 << 21) + (z + (1 << 20))
+
+
+def sphere_cell(lon: Column, lat: Column, width_m: float) -> Column:
+    """The cube that a place lies in, of a grid of cubes through the earth; places within width_m are in the same cube or in touching ones."""
+    if width_m * (1 << 20) < MEAN_RADIUS_M:
+        raise ValueError(f"cells of {width_m} m are too many to number")
+    return _packed(*(F.floor(v / width_m) for v in sphere_m(lon, lat)))
+
+
+def sphere_cells_within(lon: Column, lat: Column, radius_m: float, width_m: float) -> Column:
+    """The cubes that may hold places within a radius (array); eight at most for cubes twice as wide."""
+    # the straight way through the earth is never longer than the way over it
+    around = [F.sequence(F.floor((v - radius_m) / width_m), F.floor((v + radius_m) / width_m)) for v in sphere_m(lon, lat)]
+    return F.flatten(F.transform(around[0], lambda x: F.flatten(F.transform(around[1], lambda y: F.transform(around[2], lambda z: _packed(x, y, z))))))
+
+
+def cells_beside(cell: Column) -> Column:
+    """A cube's number and those of the 26 that touch it (array)."""
+    return F.array(*(cell + F.lit(((i << 21) + j << 21) + k).cast("long") for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)))
+
+
 def utm_epsg(lon: Column, lat: Column) -> Column:
     zone = F.least(F.floor((lon + 180) / 6) + 1, F.lit(60))
-    return (zone + F.when(lat >= 0, 32600).otherwise(32700)).cast("int")
+    there = lon.between(-180, 180) & lat.between(-90, 90)
+    off = F.raise_error(F.concat_ws(" ", F.lit("no place on the globe:"), lon.cast("string"), lat.cast("string")))
+    return F.when(lon.isNull() | lat.isNull() | there, (zone + F.when(lat >= 0, 32600).otherwise(32700)).cast("int")).otherwise(off)
+
+
+def zone_of(lon: float, lat: float) -> int:
+    """The code of a place's zone; a place off the globe is an error."""
+    if not (-180 <= lon <= 180 and -90 <= lat <= 90):
+        raise ValueError(f"no place on the globe: {lon}, {lat}")
+    return (32600 if lat >= 0 else 32700) + min(60, 1 + math.floor((lon + 180) / 6))
 
 
 def bbox_area_km2(west: Column, south: Column, east: Column, north: Column) -> Column:
@@ -63,5 +102,9 @@ def map_url(lat: Column, lon: Column, zoom: int = 16) -> Column:
     return F.format_string(f"https://www.openstreetmap.org/?mlat=%.6f&mlon=%.6f#map={zoom}/%.6f/%.6f", lat, lon, lat, lon)
 
 
+def slug_of(name: str) -> str:
+    return name.lower().translate({ord(" "): "-", ord("_"): "-"})
+
+
 def slug(name: Column) -> Column:
     return F.regexp_replace(F.lower(name), "[ _]", "-")

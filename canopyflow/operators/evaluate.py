@@ -34,6 +34,14 @@ def precision_report(verdicts: DataFrame) -> DataFrame:
     return out.select("ord", "stratum", "tp", "fp", "unclear", "judged", stats.ratio(F.col("tp"), F.col("judged")).alias("precision"), lo.alias("lo"), hi.alias("hi"))
 
 
+def as_rows(report: DataFrame) -> list[str]:
+    """A precision report as lines of fixed width, a stratum each."""
+    c = F.col
+    share = F.format_string("%5.2f [%4.2f, %4.2f]", "precision", "lo", "hi")
+    said = F.format_string("%-12s %4d judged  %4d true  %4d false  %4d unclear  %s", "stratum", "judged", "tp", "fp", "unclear", F.when(c("judged") > 0, share).otherwise("    -"))
+    return [r.line for r in report.orderBy("ord").select(said.alias("line")).collect()]
+
+
 def stratified_top(rows: DataFrame, classes: list[str], order: list[Column], n: int) -> DataFrame:
     """Up to n rows of each class, the first in order; Spark prunes each task's rows to n before the shuffle."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*classes).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
@@ -69,14 +77,27 @@ def weighted(samples: DataFrame, areas: DataFrame, keys: list[str]) -> DataFrame
 
 
 def sweep(samples: DataFrame, thresholds: list[float], least: list[int], score: str = "dist", truth: str = "loss", weight: str = "w", pixels: str = "px", greener: str = "greener") -> DataFrame:
-    """Weighted accuracy of every setting (gate, threshold, least pixels): the samples are exploded over the grid of settings and summed map-side."""
-    grid = samples.sparkSession.createDataFrame([(g, t, k) for g in (False, True) for t in thresholds for k in least], "gate boolean, threshold double, least int")
-    fires = (F.col(score) >= F.col("threshold")) & (F.col(pixels) >= F.col("least")) & ~(F.col("gate") & (F.col(greener) == 1))
-    s = samples.crossJoin(F.broadcast(grid)).withColumn("fires", fires)
-    w = lambda c: F.coalesce(F.sum(F.when(c, F.col(weight))), F.lit(0.0))
-    hit, loss = F.col("fires"), F.col(truth) == 1
-    out = s.groupBy("gate", "threshold", "least").agg(w(hit & loss).alias("tp"), w(hit & ~loss).alias("fp"), F.count(F.when(hit & ~loss, 1)).alias("n_fp"), w(~hit & loss).alias("fn"), F.coalesce(F.avg(F.when(~loss, F.col(weight))), F.lit(0.0)).alias("stable_w"))
+    """Weighted accuracy of every setting (gate, threshold, least pixels).
+
+    pixels: a sample's patch size, or an array with its size at each threshold. Each sample is summed once, map-side, in the bin of the size steps that
+    it reaches at each threshold; the settings are then cumulated over the bins, at most 4 x (len(least) + 1) ** len(thresholds) rows whatever the samples.
+    """
+    sized = dict(samples.dtypes)[pixels].startswith("array")
+    steps = sorted(set(least))
+    reached = lambda size: sum((F.when(size >= k, 1).otherwise(0) for k in steps[1:]), F.when(size >= steps[0], 1).otherwise(0))
+    step = F.array(*(F.when(F.col(score) >= t, reached(F.col(pixels)[i] if sized else F.col(pixels))).otherwise(0) for i, t in enumerate(thresholds)))
+    w = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
+    loss, own = F.coalesce(F.col(truth) == 1, F.lit(False)), F.col(weight)
+    bins = samples.select(step.alias("step"), F.coalesce(F.col(greener) == 1, F.lit(False)).alias("green"), loss.alias("lost"), own.alias("w")).groupBy("step", "green", "lost").agg(w(F.col("w")).alias("w"), F.count(F.lit(1)).alias("n"), F.count("w").alias("n_w"))
+    grid = F.array(*(F.struct(F.lit(g).alias("gate"), F.lit(float(t)).alias("threshold"), F.lit(int(k)).alias("least"), F.lit(i).alias("i"), F.lit(steps.index(k) + 1).alias("need")) for g in (False, True) for i, t in enumerate(thresholds) for k in least))
+    each = bins.select("*", F.explode(grid).alias("s"))
+    hit = (F.get("step", F.col("s.i")) >= F.col("s.need")) & ~(F.col("s.gate") & F.col("green"))
+    part = lambda c, v="w": F.coalesce(F.sum(F.when(c, F.col(v))), F.lit(0))
+    out = each.groupBy("s.gate", "s.threshold", "s.least").agg(
+        part(hit & F.col("lost")).alias("tp"), part(hit & ~F.col("lost")).alias("fp"), part(hit & ~F.col("lost"), "n").cast("long").alias("n_fp"), part(~hit & F.col("lost")).alias("fn"),
+        F.coalesce(F.try_divide(part(~F.col("lost")), part(~F.col("lost"), "n_w")), F.lit(0.0)).alias("stable_w"),
+    )
     lo, hi = stats.poisson(F.col("n_fp"))
-    each = F.when(F.col("n_fp") > 0, F.col("fp") / F.greatest(F.col("n_fp"), F.lit(1))).otherwise(F.col("stable_w"))
+    mean = F.when(F.col("n_fp") > 0, F.col("fp") / F.greatest(F.col("n_fp"), F.lit(1))).otherwise(F.col("stable_w"))
     c = stats.confusion(F.col("tp"), F.col("fp"), F.col("fn"))
-    return out.select("gate", "threshold", "least", "tp", "fp", "n_fp", c["precision"].alias("precision"), stats.ratio(F.col("tp"), F.col("tp") + hi * each).alias("p_lo"), stats.ratio(F.col("tp"), F.col("tp") + lo * each).alias("p_hi"), c["recall"].alias("recall"), c["f1"].alias("f1"))
+    return out.select("gate", "threshold", "least", "tp", "fp", "n_fp", c["precision"].alias("precision"), stats.ratio(F.col("tp"), F.col("tp") + hi * mean).alias("p_lo"), stats.ratio(F.col("tp"), F.col("tp") + lo * mean).alias("p_hi"), c["recall"].alias("recall"), c["f1"].alias("f1"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,12 +28,77 @@ def disc(radius_m: float, pixel_m: float) -> list[tuple[int, int]]:
     return [(i, j) for i in range(-k, k + 1) for j in range(-k, k + 1) if (i * i + j * j) * pixel_m * pixel_m <= radius_m * radius_m]
 
 
-def focal_mean(pixels: DataFrame, band: str, radius_m: float = 30.0, pixel_m: float = 10.0, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Mean over a disc, masked pixels left out; each pixel is sent to the 29 places (at 3 pixels) that it counts for and summed map-side."""
-    steps = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in disc(radius_m, pixel_m)))).alias("s")
-    sent = pixels.where(F.col(band).isNotNull()).select(*keys, "r", "c", band, steps).select(*keys, (F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c"), band)
-    means = sent.groupBy(*keys, "r", "c").agg(F.avg(band).alias(f"{band}_mean"))
-    return pixels.join(means, [*keys, "r", "c"], "left")
+def focal_mean(pixels: DataFrame, band: str, radius_m: float = 30.0, pixel_m: float = 10.0, keys: tuple[str, ...] = (), tile: int = 256) -> DataFrame:
+    """pixels with {band}_mean, the mean over a disc, masked pixels left out; null where all are masked. One row a pixel.
+
+    Tiles with a halo a radius wide, so one shuffle in which only pixels near a seam go twice or more; inside a tile each row of the disc is a difference of running sums.
+    """
+    import pandas as pd
+
+    k = math.floor(radius_m / pixel_m)
+    widths = [max(j for i2, j in disc(radius_m, pixel_m) if i2 == i) for i in range(-k, k + 1)]
+    names = pixels.columns
+    schema = ", ".join(f"`{n}` {t}" for n, t in pixels.dtypes) + f", `{band}_mean` double"
+
+    def work(key, pdf):
+        own = (pdf._tr == key[-2]) & (pdf._tc == key[-1])
+        r0, c0 = key[-2] * tile - k, key[-1] * tile - k
+        r, c = (pdf.r.to_numpy("int64") - r0), (pdf.c.to_numpy("int64") - c0)
+        value = pd.to_numeric(pdf[band]).to_numpy("float64", na_value=np.nan)
+        there = ~np.isnan(value)
+        # a column of zeros before the first, so that a run's sum is one difference
+        total, count = np.zeros((tile + 2 * k, tile + 2 * k + 1)), np.zeros((tile + 2 * k, tile + 2 * k + 1), np.int64)
+        total[r[there], c[there] + 1], count[r[there], c[there] + 1] = value[there], 1
+        total, count = total.cumsum(1), count.cumsum(1)
+        rr, cc = r[own.to_numpy()], c[own.to_numpy()]
+        s, n = np.zeros(len(rr)), np.zeros(len(rr), np.int64)
+        for i, w in zip(range(-k, k + 1), widths, strict=True):
+            s += total[rr + i, cc + w + 1] - total[rr + i, cc - w]
+            n += count[rr + i, cc + w + 1] - count[rr + i, cc - w]
+        out = pdf.loc[own, names].copy()
+        out[f"{band}_mean"] = np.where(n > 0, s / np.maximum(n, 1), np.nan)
+        return out
+
+    t = lambda x, d: F.floor((F.col(x) + d) / tile)
+    spread = pixels.withColumn("_a", F.explode(F.sequence(t("r", -k), t("r", k)))).withColumn("_b", F.explode(F.sequence(t("c", -k), t("c", k)))).withColumn("_tr", t("r", 0)).withColumn("_tc", t("c", 0))
+    out = spread.groupBy(*keys, "_a", "_b").applyInPandas(work, schema)
+    return out.withColumn(f"{band}_mean", F.when(~F.isnan(f"{band}_mean"), F.col(f"{band}_mean")))
+
+
+#: Ranges that a selection counts at a time, and values that it sorts at last.
+RANGES, SORTED = 4096, 1_000_000
+
+
+def exact_median(rows: DataFrame, band: str, ranges: int = RANGES, sort: int = SORTED) -> float | None:
+    """The median of a column, as F.median gives it, without all values in one place; null for none. Values have to be finite or null.
+
+    Counts by range find the one range that holds the middle; it is cut into ranges again until what it holds can be sorted, or is one value.
+    """
+    v = F.col(band).cast("double")
+    lo, hi, n = rows.agg(F.min(v), F.max(v), F.count(v)).first()
+    if not n:
+        return None
+
+    def at(rank: int, lo: float, hi: float, inside: int) -> float:
+        """The value of a rank (from 0) among those from lo to hi."""
+        while lo < hi and inside > sort:
+            width = (hi - lo) / ranges
+            if not 0 < width < math.inf or lo + width == lo:
+                width = max(math.ulp(lo), math.ulp(hi))
+            place = F.least(F.floor((v - lo) / width), F.lit(ranges - 1)).alias("place")
+            held = sorted(tuple(r) for r in rows.where(v.between(lo, hi)).groupBy(place).agg(F.count(F.lit(1)), F.min(v), F.max(v)).collect())
+            for _, count, low, high in held:
+                if rank < count:
+                    lo, hi, inside = low, high, count
+                    break
+                rank -= count
+        if lo == hi:
+            return lo
+        return rows.where(v.between(lo, hi)).orderBy(v).select(v).offset(rank).limit(1).first()[0]
+
+    if n % 2:
+        return at(n // 2, lo, hi, n)
+    return (at(n // 2 - 1, lo, hi, n) + at(n // 2, lo, hi, n)) / 2
 
 
 def slope_aspect(dem: DataFrame, band: str = "dem", pixel_m: float = 30.0, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -59,8 +125,9 @@ def speckle_filter(pixels: DataFrame, band: str, radius_m: float = 30.0, pixel_m
 
 
 def minus_landscape(pixels: DataFrame, band: str) -> DataFrame:
-    """The band less its median over the whole area: one number, sent along."""
-    return pixels.crossJoin(F.broadcast(pixels.agg(F.median(band).alias("landscape")))).withColumn(band, F.col(band) - F.col("landscape"))
+    """The band less its median over the whole area: one number, found by selection."""
+    middle = exact_median(pixels, band)
+    return pixels.withColumn(band, F.col(band) - F.lit(middle).cast("double"))
 
 
 def consecutive_run(passes: DataFrame, keys: list[str], flag: str, order: list[str], n: int) -> DataFrame:

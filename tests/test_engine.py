@@ -169,3 +169,82 @@ def test_streaming_notifies_once(spark, tmp_path):
     q = due_alerts(src).writeStream.format("memory").queryName("due").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.sql("select count(*) from due").first()[0] == 1
+
+
+def _stream(spark, root, name, **how):
+    from canopyflow.streaming.alerts import due_alerts
+
+    schema = "aoi string, seq long, lon double, lat double, area_ha double, observed_on string"
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    q = due_alerts(src, **how).writeStream.format("parquet").option("path", f"{root}/{name}").option("checkpointLocation", f"{root}/cp-{name}").trigger(availableNow=True).start()
+    q.awaitTermination(180)
+    return sorted((r.aoi, round(r.lon, 4), r.confirmations, r.last_seen, r.notified_on) for r in spark.read.parquet(f"{root}/{name}").collect())
+
+
+def _arrive(spark, root, *rows):
+    spark.createDataFrame(rows, "aoi string, seq long, lon double, lat double, area_ha double, observed_on string").coalesce(1).write.mode("append").json(f"{root}/in")
+
+
+def test_stream_keeps_its_state_over_a_restart_and_takes_late_sightings(spark, tmp_path):
+    _arrive(spark, tmp_path, ("a", 0, 179.99999, 10.0, 1.0, "2026-01-13"), ("b", 0, 179.99999, 10.0, 1.0, "2026-01-13"), ("a", 1, 50.0, 10.0, 1.0, "2026-01-13"))
+    assert _stream(spark, tmp_path, "due", confirmations=3) == []
+    # the other side of 180 degrees, an older day, then the first day again: three in all, and the last day moves back
+    _arrive(spark, tmp_path, ("a", 2, -179.99999, 10.0, 2.0, "2026-01-01"))
+    assert _stream(spark, tmp_path, "due", confirmations=3) == []
+    _arrive(spark, tmp_path, ("a", 3, 179.99999, 10.0, 1.0, "2026-01-13"), ("b", 1, 179.99999, 10.0, 1.0, "2026-01-13"))
+    assert _stream(spark, tmp_path, "due", confirmations=3) == [("a", 180.0, 3, "2026-01-13", "2026-01-13")]
+    _arrive(spark, tmp_path, ("a", 4, 179.99999, 10.0, 1.0, "2026-01-25"))
+    assert len(_stream(spark, tmp_path, "due", confirmations=3)) == 1
+
+
+def test_settled_cells_are_cleared_by_a_timer():
+    import pandas as pd
+
+    from canopyflow.streaming.alerts import AlertFold
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, v):
+            self.held = v
+
+        def clear(self):
+            self.held = None
+
+    class Cells(dict):
+        containsKey, getValue, updateValue, removeKey = dict.__contains__, dict.__getitem__, dict.__setitem__, dict.pop
+
+        def iterator(self):
+            return list(self.items())
+
+    class Handle:
+        timers: list[int] = []
+
+        def getMapState(self, *_):
+            return Cells()
+
+        def getValueState(self, *_):
+            return Value()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Now:
+        def getCurrentProcessingTimeInMs(self):
+            return 1000
+
+    one, handle = AlertFold(150.0, 2, 90, 50), Handle()
+    one.init(handle)
+    names = ["aoi", "seq", "lon", "lat", "area_ha", "observed_on"]
+    send = lambda *rows: [r for out in one.handleInputRows(("a",), iter([pd.DataFrame(rows, columns=names)]), Now()) for r in out.lon.tolist()]
+    assert send(("a", 0, 50.0, 10.0, 1.0, "2024-01-01"), ("a", 1, 60.0, 10.0, 1.0, "2026-01-01")) == [] and handle.timers == [1050]
+    assert send(("a", 2, 70.0, 10.0, 1.0, "2026-01-01")) == [] and handle.timers == [1050] and len(one.cells) == 3
+    assert [len(x) for x in one.handleExpiredTimer(("a",), Now(), None)] == [0] and len(one.cells) == 2
+    # the first place begins anew, the second is confirmed; what arrives sets the next timer
+    assert send(("a", 3, 50.0, 10.0, 1.0, "2026-01-13"), ("a", 4, 60.0, 10.0, 1.0, "2026-01-13")) == [60.0] and len(handle.timers) == 2

@@ -100,4 +100,4 @@ def sweep(samples: DataFrame, thresholds: list[float], least: list[int], score:
     lo, hi = stats.poisson(F.col("n_fp"))
     mean = F.when(F.col("n_fp") > 0, F.col("fp") / F.greatest(F.col("n_fp"), F.lit(1))).otherwise(F.col("stable_w"))
     c = stats.confusion(F.col("tp"), F.col("fp"), F.col("fn"))
-    return out.select("gate", "threshold", "least", "tp", "fp", "n_fp", c["precision"].alias("precision"), stats.ratio(F.col("tp"), F.col("tp") + hi * mean).alias("p_lo"), stats.ratio(F.col("tp"), F.col("tp") + lo * mean).alias("p_hi"), c["recall"].alias("recall"), c["f1"].alias("f1"))
+    return out.select("gate", "threshold", "least", "tp", "fp", "n_fp", "fn", c["precision"].alias("precision"), stats.ratio(F.col("tp"), F.col("tp") + hi * mean).alias("p_lo"), stats.ratio(F.col("tp"), F.col("tp") + lo * mean).alias("p_hi"), c["recall"].alias("recall"), c["f1"].alias("f1"))

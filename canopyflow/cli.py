@@ -159,9 +159,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "version":
         print(VERSION)
         return 0
-    from pyspark.sql import SparkSession
+    from canopyflow.settings import session
 
-    spark = SparkSession.builder.getOrCreate()
+    spark = session()
     if args.command == "doctor":
         checks = doctor(spark)
         print("\n".join(diagnosis(checks)))

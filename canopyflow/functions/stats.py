@@ -16,6 +16,8 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def confusion(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
+    """Negative counts or areas are an error when read."""
+    tp, fp, fn = (F.when(x.isNull() | (x >= 0), x).otherwise(F.raise_error(F.concat(F.lit("a count below 0: "), x.cast("string"))).cast("double")) for x in (tp, fp, fn))
     p, r = ratio(tp, tp + fp), ratio(tp, tp + fn)
     return {"precision": p, "recall": r, "f1": ratio(2 * p * r, p + r), "iou": ratio(tp, tp + fp + fn)}
 

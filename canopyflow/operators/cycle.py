@@ -40,21 +40,25 @@ class Result:
     pending: int
     notified: int
     dry_run: bool
+    rejected: DataFrame
+    n_rejected: int
 
     @property
     def lines(self) -> list[str]:
-        return [f"{self.patches} patches, {self.total_ha:.2f} ha", f"{self.due.count()} newly confirmed, {self.pending} pending, {self.notified} notified in all" + " (dry run)" * self.dry_run]
+        return [f"{self.patches} patches, {self.total_ha:.2f} ha", f"{self.due.count()} newly confirmed, {self.pending} pending, {self.notified} notified in all" + " (dry run)" * self.dry_run] + [f"{self.n_rejected} detections set aside as unfit"] * (self.n_rejected > 0)
 
 
 def run_cycle(pixels: DataFrame, store: DataFrame | None, area: str, years: tuple[int, int], today: str, west: float, north: float, step: float, config: detect.Embedding = detect.Embedding(), least: int | None = None, save=None) -> Result:  # noqa: B008
-    """Detect, confirm, record. save takes the new store; without it nothing is kept (a dry run)."""
+    """Detect, confirm, record. save takes the new store; without it nothing is kept (a dry run). Unfit detections are set aside with their reason and stop nothing."""
     if years[0] >= years[1]:
         raise ValueError(f"the year to compare with has to come first: {years}")
     records = patch_records(pixels, west, north, step, config, least=least).persist()
     try:
         found = records.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("area_ha"), F.lit(0.0)).alias("ha")).first()
         seen = stores.detections(records.select(F.lit(area).alias("aoi"), F.col("component").alias("seq"), "record"), today)
-        after = _checkpoint(alerts.ingest(seen, store, today))
+        fit, unfit = alerts.checked(seen)
+        rejected = _checkpoint(unfit)
+        after = _checkpoint(alerts.ingest(fit, store, today))
     finally:
         records.unpersist()
     before = after.limit(0) if store is None else store
@@ -62,4 +66,4 @@ def run_cycle(pixels: DataFrame, store: DataFrame | None, area: str, years: tupl
     told = after.agg(F.count("notified_on").alias("notified"), F.count(F.lit(1)).alias("n")).first()
     if save is not None:
         save(after)
-    return Result(after, due, found.n, found.ha, told.n - told.notified, told.notified, save is None)
+    return Result(after, due, found.n, found.ha, told.n - told.notified, told.notified, save is None, rejected, rejected.count())

@@ -80,22 +80,23 @@ def embedding_disturbance(pixels: DataFrame, config: Embedding = Embedding(), le
     return _large(pixels.where(hit), least or min_clearing_pixels(config.min_ha, config.pixel_m), ["distance"], keys)
 
 
-def optical_disturbance(pixels: DataFrame, config: Optical = Optical(), normalise: bool = True, least: int | None = None) -> DataFrame:  # noqa: B008
-    """(r, c, component, ndvi_drop) of pixels (r, c, before, after, n_before, n_after, forest)."""
+def optical_disturbance(pixels: DataFrame, config: Optical = Optical(), normalise: bool = True, least: int | None = None, keys: tuple[str, ...] = ()) -> DataFrame:  # noqa: B008
+    """(keys, r, c, component, ndvi_drop) of pixels (keys, r, c, before, after, n_before, n_after, forest); each area has a landscape of its own."""
     dropped = pixels.withColumn("ndvi_drop", F.col("before") - F.col("after"))
-    dropped = minus_landscape(dropped, "ndvi_drop") if normalise else dropped
-    ok = (F.col("ndvi_drop") >= config.ndvi_drop) & (F.col("before") >= config.forest_ndvi) & F.col("forest") & (F.col("n_before") >= config.min_observations) & (F.col("n_after") >= config.min_observations)
-    return _large(dropped.where(ok), least or min_clearing_pixels(config.min_ha, config.pixel_m), ["ndvi_drop"])
+    dropped = minus_landscape(dropped, "ndvi_drop", keys) if normalise else dropped
+    looks = mask_and(F.col("n_before") >= config.min_observations, F.col("n_after") >= config.min_observations)
+    ok = mask_and(mask_and(mask_and(F.col("ndvi_drop") >= config.ndvi_drop, F.col("before") >= config.forest_ndvi), F.col("forest")), looks)
+    return _large(dropped.where(ok), least or min_clearing_pixels(config.min_ha, config.pixel_m), ["ndvi_drop"], keys)
 
 
 def radar_drops(passes: DataFrame, baseline: DataFrame, keys: list[str], value: str, ts: str, config: Radar = Radar()) -> DataFrame:  # noqa: B008
     """Per pixel: run of passes, first_drop, n_dropped, drop_db (mean over all passes), against a baseline (keys, base)."""
     fell = passes.join(baseline, keys).withColumn("fall", F.col("base") - F.col(value)).withColumn("dropped", F.coalesce(F.col("fall") >= config.drop_db, F.lit(False)))
-    runs = consecutive_run(fell, keys, "dropped", [ts, *([c for c in ("event_id",) if c in passes.columns])], config.passes)
+    runs = consecutive_run(fell, keys, "dropped", [ts, *([c for c in ("event_id", "scene") if c in passes.columns])], config.passes)
     stats = fell.groupBy(*keys).agg(F.min(F.when(F.col("dropped"), F.col(ts))).alias("first_drop"), F.sum(F.col("dropped").cast("int")).alias("n_dropped"), F.avg("fall").alias("drop_db"))
     return stats.join(runs, keys)
 
 
 def radar_disturbance(drops: DataFrame, least: int, keys: tuple[str, ...] = ()) -> DataFrame:
-    """(r, c, component, drop_db, n_dropped) of radar drops (r, c, forest, run, ...)."""
-    return _large(drops.where(F.col("run") & F.col("forest")), least, ["drop_db", "n_dropped"], keys)
+    """(r, c, component, drop_db, n_dropped, first_drop) of radar drops (r, c, forest, run, ...)."""
+    return _large(drops.where(F.col("run") & F.col("forest")), least, ["drop_db", "n_dropped", "first_drop"], keys)

@@ -59,6 +59,11 @@ def stratified_sample(alerts: list[dict], per_stratum: int = 25, seed: int = 42)
     return out
 
 
+def sample_id(sample: DataFrame, keys: list[str], alert: Column) -> DataFrame:
+    """(keys, sample_id): twelve digits that name a drawn sample whatever the order of its rows. A sample is what people review, so it fits a row."""
+    return sample.groupBy(*keys).agg(F.substring(F.sha2(F.array_join(F.array_sort(F.collect_list(alert.cast("string"))), ","), 256), 1, 12).alias("sample_id"))
+
+
 def pooled(report: DataFrame) -> DataFrame:
     """One row for all strata of a precision report."""
     out = report.agg(*(F.sum(n).alias(n) for n in ("tp", "fp", "unclear", "judged")))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopyflow.functions import spectral
+from canopyflow.operators.components import _checkpoint
 
 
 def composite(scenes: DataFrame, keys: list[str], bands: dict[str, Column], count_of: Column | None = None) -> DataFrame:
@@ -101,6 +102,30 @@ def exact_median(rows: DataFrame, band: str, ranges: int = RANGES, sort: int = S
     return (at(n // 2 - 1, lo, hi, n) + at(n // 2, lo, hi, n)) / 2
 
 
+def exact_medians(rows: DataFrame, band: str, keys: tuple[str, ...], ranges: int = RANGES, sort: int = SORTED) -> DataFrame:
+    """(keys, median) as F.median gives it, whatever share of the rows one key holds; finite or null values, keys without nulls.
+
+    Every key's middle is narrowed down at once: counts by range, summed map-side, pick the range that holds it, until what is inside can be sorted.
+    A key without a value has no row.
+    """
+    at = [*keys, "_half"]
+    own = rows.select(*keys, F.col(band).cast("double").alias("_v")).where("_v is not null")
+    sized = own.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("_v").alias("_inside"))
+    middle = F.array(F.floor((F.col("_inside") - 1) / 2), F.floor(F.col("_inside") / 2))
+    want = _checkpoint(sized.select(*keys, "_lo", "_hi", "_inside", F.posexplode(middle).alias("_half", "_rank")))
+    wide = (F.col("_lo") < F.col("_hi")) & (F.col("_inside") > sort)
+    inside = lambda w: own.join(w, list(keys)).where("_v between _lo and _hi")
+    while not want.where(wide).isEmpty():
+        width = F.col("_hi") / ranges - F.col("_lo") / ranges
+        place = F.when(F.col("_lo") + width == F.col("_lo"), (F.col("_v") > F.col("_lo")).cast("long")).otherwise(F.least(F.floor(F.col("_v") / width - F.col("_lo") / width), F.lit(ranges - 1)))
+        held = inside(want.where(wide)).groupBy(*at, "_rank", place.alias("_place")).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_inside"))
+        held = held.withColumn("_before", F.sum("_inside").over(Window.partitionBy(*at).orderBy("_place")) - F.col("_inside"))
+        found = held.where("_before <= _rank and _rank < _before + _inside").withColumn("_rank", F.col("_rank") - F.col("_before"))
+        want = _checkpoint(want.where(~wide).unionByName(found.select(want.columns)))
+    ordered = inside(want.where("_lo < _hi")).withColumn("_k", F.row_number().over(Window.partitionBy(*at).orderBy("_v")) - 1).where("_k = _rank")
+    return want.where("_lo = _hi").select(*keys, F.col("_lo").alias("_v")).unionByName(ordered.select(*keys, "_v")).groupBy(*keys).agg(F.avg("_v").alias("median"))
+
+
 def slope_aspect(dem: DataFrame, band: str = "dem", pixel_m: float = 30.0, keys: tuple[str, ...] = ()) -> DataFrame:
     """Slope and aspect in degrees from the four neighbours; null on the border and beside a hole, where a neighbour is missing."""
 
@@ -124,8 +149,10 @@ def speckle_filter(pixels: DataFrame, band: str, radius_m: float = 30.0, pixel_m
     return linear.withColumn(f"{band}_mean", spectral.to_db(F.col("_power_mean"))).drop("_power", "_power_mean")
 
 
-def minus_landscape(pixels: DataFrame, band: str) -> DataFrame:
-    """The band less its median over the whole area: one number, found by selection."""
+def minus_landscape(pixels: DataFrame, band: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The band less its median over the whole area, each area's own where keys name areas; found by selection."""
+    if keys:
+        return pixels.join(exact_medians(pixels, band, keys), list(keys), "left").withColumn(band, F.col(band) - F.col("median")).drop("median")
     middle = exact_median(pixels, band)
     return pixels.withColumn(band, F.col(band) - F.lit(middle).cast("double"))
 

@@ -37,6 +37,19 @@ def years_to_compare(vectors: DataFrame, season: Season, today: date, gap: int =
     return target - gap, target
 
 
+def change_stack(vectors: DataFrame, years: tuple[int, int], keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, r, c, base, change, l2, cosine) of vectors (year, r, c, v): what a pixel was, how it moved, and how far. Pixels without both years are masked."""
+    base, target = years
+    if base >= target:
+        raise ValueError(f"the year to compare with has to come first: {years}")
+    if lacking := sorted({base, target} - set(years_held(vectors))):
+        raise ValueError(f"no vectors of {', '.join(map(str, lacking))}")
+    at = [*keys, "r", "c"]
+    of = lambda year, name: vectors.where(F.col("year") == year).select(*at, F.col("v").cast("array<double>").alias(name))
+    both, x, y = of(base, "base").join(of(target, "_y"), at), F.col("base"), F.col("_y")
+    return both.select(*at, "base", spectral.difference(y, x).alias("change"), spectral.l2_distance(x, y).alias("l2"), spectral.cosine_distance(x, y).alias("cosine"))
+
+
 def change_pixels(vectors: DataFrame, land: DataFrame, scenes: DataFrame | None, season: Season, years: tuple[int, int], optical: detect.Optical = detect.Optical(), keys: tuple[str, ...] = ()) -> DataFrame:  # noqa: B008
     """(keys, r, c, distance, forest, greenness_loss) between two years, one row for each pixel with vectors of both.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from canopyflow.functions import geo, masks, season, spectral, stats, text
-from canopyflow.operators import alerts, area, components, cycle, detect, evaluate, outline, raster, report, stack
+from canopyflow.operators import alerts, area, components, cycle, detect, evaluate, outline, radar, raster, report, scenes, stack
 from canopyflow.plans.catalog import CAND, FAR, GRID, PLACES, PX, STRATUM, _cc, _grid, _r, _t, c, candidates, known, pairs, query, sightings
-from canopyflow.sources import collections, stores
+from canopyflow.sources import aligned, collections, stores
 
 BOX = area.Box(74.60, 14.85, 74.80, 15.00)
 INSIDE = "lon BETWEEN 74.60 AND 74.80 AND lat BETWEEN 14.85 AND 15.00"
@@ -72,29 +74,33 @@ def _(spark, d):
 
 @query("first_scene", "SELECT user_id, min_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
 def _(spark, d):
-    return _t(spark, d, "events").groupBy("user_id").agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+    return collections.first_scene(_t(spark, d, "events"), ["user_id"], scene="event_id")
 
 
 @query("property_list", "SELECT o_orderstatus, array_to_string(list_sort(list(DISTINCT year(o_orderdate))), ',') AS years FROM orders GROUP BY o_orderstatus")
 def _(spark, d):
-    return _t(spark, d, "orders").groupBy("o_orderstatus").agg(F.array_join(F.array_sort(F.collect_set(F.year("o_orderdate"))), ",").alias("years"))
+    held = collections.property_list(_t(spark, d, "orders"), ["o_orderstatus"], F.year("o_orderdate"))
+    return held.select("o_orderstatus", F.array_join("values", ",").alias("years"))
 
 
 @query("scene_properties", "SELECT event_id, event_type AS sensor, strftime(ts, '%Y') AS year, 'median' AS reducer FROM events")
 def _(spark, d):
-    return _t(spark, d, "events").select("event_id", c("event_type").alias("sensor"), F.date_format("ts", "yyyy").alias("year"), F.lit("median").alias("reducer"))
+    return collections.with_properties(_t(spark, d, "events"), {"reducer": "median"}).select("event_id", c("event_type").alias("sensor"), "year", "reducer")
+
 
+BANDS_SQL = "SELECT unnest(['vec_id', 'embedding', 'label', 'text']) AS band, unnest([count(vec_id), count(embedding), count(label), NULL]) AS n FROM embeddings"
 
-@query("missing_bands", "SELECT b AS band FROM (VALUES ('vec_id'), ('embedding'), ('A00'), ('A63')) AS t(b) WHERE b NOT IN (SELECT column_name FROM (DESCRIBE embeddings))")
+
+@query("missing_bands", f"WITH b AS ({BANDS_SQL}) SELECT band FROM b WHERE coalesce(n, 0) = 0")
 def _(spark, d):
-    bands = _t(spark, d, "embeddings").columns
-    need = F.array_except(F.array(*map(F.lit, ("vec_id", "embedding", "A00", "A63"))), F.array(*map(F.lit, bands)))
-    return spark.range(1).select(F.explode(need).alias("band"))
+    held = collections.valid_counts(_t(spark, d, "embeddings"), ["vec_id", "embedding", "label", "text"])
+    return held.where("n = 0").select("band")
 
 
-@query("band_names", "SELECT column_name AS band FROM (DESCRIBE embeddings)")
+@query("band_names", f"WITH b AS ({BANDS_SQL}) SELECT band, n FROM b WHERE n IS NOT NULL")
 def _(spark, d):
-    return spark.createDataFrame([(b,) for b in _t(spark, d, "embeddings").columns], "band string")
+    e = _t(spark, d, "embeddings")
+    return collections.valid_counts(e, e.columns)
 
 
 @query("newest_basemap", "SELECT o_orderkey, o_orderdate::DATE AS captured FROM orders WHERE o_orderdate::DATE BETWEEN DATE '1995-01-01' AND DATE '1995-12-30' QUALIFY row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) = 1")
@@ -113,7 +119,7 @@ def _(spark, d):
 @query("newest_release", "SELECT s_suppkey AS release, DATE '2015-01-01' + (s_suppkey * 37 % 900)::INT AS captured FROM supplier QUALIFY row_number() OVER (ORDER BY s_suppkey * 37 % 900 DESC, s_suppkey) = 1")
 def _(spark, d):
     rel = _t(spark, d, "supplier").select(c("s_suppkey").alias("release"), F.date_add(F.lit("2015-01-01").cast("date"), (c("s_suppkey") * 37 % 900).cast("int")).alias("captured"))
-    return rel.orderBy(F.desc("captured"), "release").limit(1)
+    return stores.newest_release(rel)
 
 
 # --- masks and codes -----------------------------------------------------------------------------------------------------------------
@@ -295,8 +301,7 @@ def _(spark, d):
 
 @query("sample_ids", "SELECT o_orderstatus, substr(sha256(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR)), 1, 12) AS sample_id FROM orders GROUP BY o_orderstatus")
 def _(spark, d):
-    ids = F.array_join(F.array_sort(F.collect_list(c("o_orderkey").cast("string"))), ",")
-    return _t(spark, d, "orders").groupBy("o_orderstatus").agg(F.substring(F.sha2(ids, 256), 1, 12).alias("sample_id"))
+    return evaluate.sample_id(_t(spark, d, "orders"), ["o_orderstatus"], c("o_orderkey"))
 
 
 @query("alert_lines", f"WITH {PLACES} SELECT pid, '  Location      : ' || printf('%.5f, %.5f', lat, lon) AS location, '  Confirmations : ' || (pid % 4 + 1) || CASE WHEN pid % 4 = 0 THEN ' separate satellite pass' ELSE ' separate satellite passes' END AS confirmed FROM s")
@@ -311,16 +316,9 @@ def _(spark, d):
     return report.features(_store(spark, d)).select(at("$.properties.alert_id").alias("alert_id"), _r(at("$.geometry.coordinates[0]").cast("double")).alias("lon"), _r(at("$.geometry.coordinates[1]").cast("double")).alias("lat"), at("$.properties.confirmations").cast("long").alias("confirmations"))
 
 
-@query("digest_order", f"WITH {PLACES} SELECT row_number() OVER (ORDER BY area DESC, pid) AS place, pid FROM s WHERE pid % 3 = 0 QUALIFY place <= 20")
+@query("digest_order", f"WITH {PLACES} SELECT row_number() OVER (ORDER BY area DESC, pid) AS place, pid FROM s WHERE pid % 3 = 0")
 def _(spark, d):
-    first = _store(spark, d).where("notified_on is not null").orderBy(F.desc("area_ha"), "pid").limit(20)
-    return first.select(F.row_number().over(_by_area()).cast("long").alias("place"), "pid")
-
-
-def _by_area():
-    from pyspark.sql import Window
-
-    return Window.orderBy(F.desc("area_ha"), "pid")  # over 20 rows
+    return report.ranked(alerts.notified(_store(spark, d)), "pid").select("place", "pid")
 
 
 @query("confirmations_of_fixed", "WITH d AS (SELECT user_id, ts::DATE AS day, lag(ts::DATE) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) SELECT user_id, count(*) FILTER (WHERE before IS NULL OR before <> day) AS confirmations FROM d GROUP BY user_id")
@@ -394,3 +392,87 @@ def _(spark, d):
     s = sightings(spark, d).where("area_ha > 0").withColumn("aoi", F.concat(F.lit("area"), (F.floor(c("lat") * 10) % 4).cast("string"))).withColumn("seq", c("pid"))
     one = alerts.isolated(s).select("aoi", "lon", "lat")
     return alerts.ingest(s, None, "2026-01-01").join(one, ["aoi", "lon", "lat"], "left_semi").select("aoi", _r(c("lon")).alias("lon"), _r(c("lat")).alias("lat"), "confirmations")
+
+
+# --- radar from scenes, change stacks, overlaid masks, unfit sightings ---------------------------------------------------------------------
+
+#: The stand-in: vectors as pixels of two areas, a component a pass, nations as scenes, heights on pixels twice as wide.
+RADAR_SCENES = """e AS (SELECT vec_id // 25 AS r, vec_id % 25 AS c, CASE WHEN vec_id % 25 < 12 THEN 'west' ELSE 'east' END AS aoi, embedding::DOUBLE[] AS x FROM embeddings),
+sc AS (SELECT aoi, n_nationkey AS scene, TIMESTAMP '2024-01-01' + n_nationkey * INTERVAL 20 DAY AS ts FROM nation, (VALUES ('west'), ('east')) v(aoi) WHERE n_nationkey % 4 <> 0 AND n_nationkey % 5 <> 0 AND n_nationkey % 7 <> 0),
+px AS (SELECT e.aoi, scene, ts, r, c, 40 * x[scene + 1] - 14 AS vh, 35 + 0.05 * c * (1 + r % 3) + 0.02 * r + 0.001 * scene * r AS angle FROM e JOIN sc USING (aoi)),
+dem AS (SELECT aoi, r // 2 AS r, c // 2 AS c, avg(x[40]) * 200 AS v FROM e GROUP BY ALL)"""
+RADAR_DAY = "TIMESTAMP '2024-10-27'"
+
+
+def _slopes(table: str, name: str, step: int) -> str:
+    beside = " ".join(f"LEFT JOIN {table} {n} ON {n}.aoi = a.aoi AND {n}.r = a.r + {i} AND {n}.c = a.c + {j}" for n, i, j in (("e", 0, 1), ("w", 0, -1), ("s", 1, 0), ("n", -1, 0)))
+    return f"{name} AS (SELECT aoi, r, c, atan(sqrt(dx * dx + dy * dy)) AS slope, (degrees(atan2(-dx, dy)) + 360) % 360 AS aspect FROM (SELECT a.aoi, a.r, a.c, (e.v - w.v) / {2 * step} AS dx, (s.v - n.v) / {2 * step} AS dy FROM {table} a {beside}))"
+
+
+def _prepared_sql(k: str, when: str) -> str:
+    """Passes of some days, prepared, as table done{k}."""
+    return f"""kept{k} AS (SELECT * FROM px WHERE {when}), one{k} AS (SELECT aoi, min_by(scene, (ts, scene)) AS scene FROM kept{k} GROUP BY aoi),
+wide{k} AS (SELECT aoi, r // 4 AS r, c // 4 AS c, avg(angle) AS v FROM kept{k} SEMI JOIN one{k} USING (aoi, scene) GROUP BY ALL), {_slopes(f"wide{k}", f"tilt{k}", 40)}, look{k} AS (SELECT aoi, radians(avg(aspect)) AS look FROM tilt{k} GROUP BY aoi),
+{_slopes("dem", f"hill{k}", 20)}, ground{k} AS (SELECT aoi, r, c, atan(tan(slope) * cos(look - radians(aspect))) AS ar FROM hill{k} JOIN look{k} USING (aoi)),
+turned{k} AS (SELECT p.*, ar, radians(angle) AS th, radians(90 - angle) AS h FROM kept{k} p LEFT JOIN ground{k} g ON g.aoi = p.aoi AND g.r = p.r // 2 AND g.c = p.c // 2),
+flat{k} AS (SELECT aoi, scene, ts, r, c, CASE WHEN ar < th AND ar > -h THEN pow(10, vh / 10) / cos(th) / (tan(h + ar) / tan(h)) END AS power FROM turned{k}),
+off{k} AS (SELECT i, j FROM range(-3, 4) a(i), range(-3, 4) b(j) WHERE i * i + j * j <= 9),
+done{k} AS (SELECT a.aoi, a.scene, a.ts, a.r, a.c, CASE WHEN avg(b.power) > 0 THEN 10 * log10(avg(b.power)) END AS vh FROM flat{k} a, off{k} o LEFT JOIN flat{k} b ON b.aoi = a.aoi AND b.scene = a.scene AND b.r = a.r + o.i AND b.c = a.c + o.j GROUP BY ALL)"""
+
+
+RADAR_GRID = {"pixel_m": 10.0, "dem_m": 20.0, "coarse_m": 40.0}
+RADAR_CONFIG = detect.Radar(drop_db=1.0)
+
+
+def _radar(spark, d):
+    """(scenes, pixels, dem) of the stand-in."""
+    e = _t(spark, d, "embeddings").select(F.floor(c("vec_id") / 25).alias("r"), (c("vec_id") % 25).alias("c"), F.when(c("vec_id") % 25 < 12, "west").otherwise("east").alias("aoi"), c("embedding").cast("array<double>").alias("x"))
+    k = c("n_nationkey").cast("int")
+    pols = F.when(k % 7 == 0, F.array(F.lit("VV"))).otherwise(F.array(F.lit("VV"), F.lit("VH")))
+    passes = _t(spark, d, "nation").select(F.explode(F.array(F.lit("west"), F.lit("east"))).alias("aoi"), k.alias("scene"), F.date_add(F.lit("2024-01-01").cast("date"), k * 20).cast("timestamp_ntz").alias("ts"), F.when(k % 4 == 0, "ASCENDING").otherwise("DESCENDING").alias("orbit_pass"), F.when(k % 5 == 0, "EW").otherwise("IW").alias("mode"), pols.alias("pols"))
+    angle = 35 + 0.05 * c("c") * (1 + c("r") % 3) + 0.02 * c("r") + 0.001 * c("scene") * c("r")
+    pixels = e.join(passes.select("aoi", "scene"), "aoi").select("aoi", "scene", "r", "c", (40 * F.get("x", c("scene")) - 14).alias("vh"), angle.alias("angle"))
+    dem = raster.overview(e.select("aoi", "r", "c", F.get("x", F.lit(39)).alias("dem")), "dem", 2, ("aoi",)).withColumn("dem", c("dem") * 200)
+    return passes, pixels, dem
+
+
+@query("radar_collection", f"WITH {RADAR_SCENES}, {_prepared_sql('', f'ts < {RADAR_DAY}')} SELECT aoi, scene, r, c, round(vh, 6) AS vh FROM done")
+def _(spark, d):
+    out = radar.prepared(*_radar(spark, d), date(2023, 10, 28), date(2024, 10, 27), RADAR_CONFIG, bands=("vh",), **RADAR_GRID)
+    return out.select("aoi", "scene", "r", "c", _r(c("vh")).alias("vh"))
+
+
+@query("radar_change", f"""WITH {RADAR_SCENES}, {_prepared_sql('0', f'ts < {RADAR_DAY}')}, {_prepared_sql('1', f'ts >= {RADAR_DAY}')}, base AS (SELECT aoi, r, c, median(vh) AS base FROM done0 GROUP BY ALL),
+fell AS (SELECT aoi, r, c, scene, ts, base - vh AS fall, coalesce(base - vh >= 1, false) AS dropped FROM done1 JOIN base USING (aoi, r, c)),
+run AS (SELECT *, dropped AND coalesce(lead(dropped) OVER (PARTITION BY aoi, r, c ORDER BY ts, scene), false) AS hit FROM fell)
+SELECT aoi, r, c, bool_or(hit) AS run, sum(dropped::INT)::BIGINT AS n_dropped, min(scene) FILTER (WHERE dropped) AS first_scene, round(avg(fall), 6) + 0.0 AS drop_db FROM run GROUP BY ALL""")
+def _(spark, d):
+    out = radar.drops(*_radar(spark, d), date(2024, 10, 27), date(2026, 1, 1), RADAR_CONFIG, **RADAR_GRID)
+    first = (F.datediff("first_drop", F.lit("2024-01-01")) / 20).cast("int")
+    return out.select("aoi", "r", "c", "run", "n_dropped", first.alias("first_scene"), _r(c("drop_db")).alias("drop_db"))
+
+
+@query("change_stack", "WITH n AS (SELECT count(*) // 2 AS h FROM embeddings) SELECT b.vec_id // 25 AS r, b.vec_id % 25 AS c, round(b.embedding[3]::DOUBLE, 6) + 0.0 AS base_2, round(t.embedding[3]::DOUBLE - b.embedding[3]::DOUBLE, 6) + 0.0 AS change_2, round(list_distance(b.embedding::DOUBLE[], t.embedding::DOUBLE[]), 6) AS l2, round(1 - list_inner_product(b.embedding::DOUBLE[], t.embedding::DOUBLE[]), 6) + 0.0 AS cosine FROM embeddings b, n, embeddings t WHERE b.vec_id < n.h AND t.vec_id = b.vec_id + n.h")
+def _(spark, d):
+    e = _t(spark, d, "embeddings")
+    half = e.count() // 2
+    at = c("vec_id") % half
+    vectors = e.where(c("vec_id") < 2 * half).select(F.when(c("vec_id") < half, 2024).otherwise(2025).alias("year"), F.floor(at / 25).alias("r"), (at % 25).alias("c"), c("embedding").alias("v"))
+    out = scenes.change_stack(vectors, (2024, 2025))
+    return out.select("r", "c", _r(c("base")[2]).alias("base_2"), _r(c("change")[2]).alias("change_2"), _r(c("l2")).alias("l2"), _r(c("cosine")).alias("cosine"))
+
+
+@query("mask_overlap", "WITH a AS (SELECT p_partkey // 50 AS r, p_partkey % 50 AS c, CASE p_size % 3 WHEN 0 THEN true WHEN 1 THEN false END AS m FROM part), b AS (SELECT c_custkey // 50 AS r, c_custkey % 50 AS c, c_nationkey % 2 = 0 AS m FROM customer WHERE c_custkey % 3 <> 0) SELECT r, c, coalesce(a.m, false) AS predicted, coalesce(b.m, false) AS truth FROM a FULL JOIN b USING (r, c)")
+def _(spark, d):
+    at = lambda k: (F.floor(c(k) / 50).alias("r"), (c(k) % 50).alias("c"))
+    a = _t(spark, d, "part").select(*at("p_partkey"), F.when(c("p_size") % 3 == 0, True).when(c("p_size") % 3 == 1, False).alias("set"))
+    b = _t(spark, d, "customer").where("c_custkey % 3 <> 0").select(*at("c_custkey"), (c("c_nationkey") % 2 == 0).alias("set"))
+    return aligned.mask_overlap(a, b)
+
+
+@query("unfit_sightings", f"WITH {PLACES}, m AS (SELECT CASE pid % 11 WHEN 1 THEN NULL WHEN 2 THEN lon + 200 ELSE lon END AS lon, CASE pid % 11 WHEN 3 THEN NULL ELSE lat END AS lat, CASE pid % 11 WHEN 4 THEN 0 WHEN 5 THEN NULL ELSE area END AS area, pid % 11 = 6 AS no_day FROM s) SELECT CASE WHEN lon IS NULL OR lat IS NULL THEN 'no place' WHEN lon > 180 THEN 'off the globe' WHEN area IS NULL OR area <= 0 THEN 'no area' WHEN no_day THEN 'no day' ELSE 'fit' END AS reason, count(*) AS n FROM m GROUP BY ALL")
+def _(spark, d):
+    k = c("pid") % 11
+    s = sightings(spark, d).select(F.when(k == 1, None).when(k == 2, c("lon") + 200).otherwise(c("lon")).alias("lon"), F.when(k != 3, c("lat")).alias("lat"), F.when(k == 4, 0.0).when(k != 5, c("area_ha")).alias("area_ha"), F.when(k == 6, "soon").otherwise("2026-01-01").alias("observed_on"))
+    fit, unfit = alerts.checked(s)
+    return unfit.select("reason").unionByName(fit.select(F.lit("fit").alias("reason"))).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

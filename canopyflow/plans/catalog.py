@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from canopyflow.functions import geo, spectral, stats, text
-from canopyflow.operators import alerts, components, detect, evaluate, raster
+from canopyflow.functions import geo, season, spectral, stats, text
+from canopyflow.operators import alerts, area, components, detect, evaluate, raster
 from canopyflow.sources import stores
 
 QUERIES, SQL = {}, {}
@@ -291,9 +291,10 @@ def _(spark, d):
     return _codes(spark, d).select("p_partkey", detect.loss(c("ly"), 2010, 2015).alias("lost"))
 
 
-@query("loss_code_roundtrip", "SELECT y AS year, y - 2000 AS code, (y - 2000) + 2000 AS back FROM range(2001, 2026) t(y)")
+@query("loss_code_roundtrip", "SELECT p_partkey, (p_size % 25 + 2001)::INT AS year, (p_size % 25 + 1)::INT AS code, (p_size % 25 + 2001)::INT AS back FROM part")
 def _(spark, d):
-    return spark.range(2001, 2026).select(c("id").alias("year"), detect.loss_code(c("id")).alias("code"), (detect.loss_code(c("id")) + 2000).alias("back"))
+    year = (c("p_size") % 25 + 2001).cast("int")
+    return _t(spark, d, "part").select("p_partkey", year.alias("year"), season.code_of_year(year).alias("code"), season.year_of_code(season.code_of_year(year)).alias("back"))
 
 
 # --- accuracy ------------------------------------------------------------------------------------------------------------------------
@@ -480,7 +481,8 @@ def _(spark, d):
 
 @query("grid_tiles", f"WITH {PLACES} SELECT floor((lon::DOUBLE - 74.55) / 0.0875)::BIGINT AS i, floor((lat::DOUBLE - 14.8) / 0.0875)::BIGINT AS j, count(*) AS n FROM k GROUP BY ALL")
 def _(spark, d):
-    return known(spark, d).groupBy(F.floor((c("lon") - 74.55) / 0.0875).alias("i"), F.floor((c("lat") - 14.8) / 0.0875).alias("j")).agg(F.count(F.lit(1)).alias("n"))
+    i, j = area.cell_of(74.55, 14.8, 0.0875, c("lon"), c("lat"))
+    return known(spark, d).groupBy(i.alias("i"), j.alias("j")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("tile_union_antijoin", "WITH t AS (SELECT DISTINCT c_custkey % 36 AS tile FROM customer UNION SELECT s_suppkey % 40 FROM supplier) SELECT tile FROM t WHERE tile NOT IN (SELECT n_nationkey FROM nation)")
@@ -492,7 +494,7 @@ def _(spark, d):
 @query("worksheet_semijoin", "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def _(spark, d):
     w = _t(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(c("c_custkey").alias("o_custkey"))
-    return _t(spark, d, "orders").join(w, "o_custkey", "left_semi").select("o_orderkey")
+    return stores.on_worksheet(_t(spark, d, "orders"), w, "o_custkey").select("o_orderkey")
 
 
 # --- dates and texts -----------------------------------------------------------------------------------------------------------------
@@ -501,19 +503,21 @@ def _(spark, d):
 @query("season_windows", "SELECT DISTINCT y, make_date(y, 10, 1) AS season_start, make_date(y + 1, 1, 1) AS season_end FROM (SELECT year(o_orderdate)::INT AS y FROM orders)")
 def _(spark, d):
     y = _t(spark, d, "orders").select(F.year("o_orderdate").alias("y")).distinct()
-    return y.select("y", F.make_date(c("y"), F.lit(10), F.lit(1)).alias("season_start"), F.add_months(F.make_date(c("y"), F.lit(12), F.lit(1)), 1).alias("season_end"))
+    start, end = season.Season(10, 12).dates(c("y"))
+    return y.select("y", start.alias("season_start"), end.alias("season_end"))
 
 
 @query("complete_year", "SELECT o_orderkey, (CASE WHEN month(o_orderdate) > 3 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END)::INT AS complete, (CASE WHEN month(o_orderdate) > 3 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END - 1)::INT AS base FROM orders")
 def _(spark, d):
-    y = F.when(F.month("o_orderdate") > 3, F.year("o_orderdate")).otherwise(F.year("o_orderdate") - 1)
-    return _t(spark, d, "orders").select("o_orderkey", y.alias("complete"), (y - 1).alias("base"))
+    base, complete = season.Season(1, 3).compared_years(c("o_orderdate"))
+    return _t(spark, d, "orders").select("o_orderkey", complete.alias("complete"), base.alias("base"))
 
 
 @query("baseline_window", "SELECT o_orderkey, (o_orderdate::DATE - 365) AS window_start, o_orderdate::DATE AS window_end FROM orders")
 def _(spark, d):
     day = c("o_orderdate").cast("date")
-    return _t(spark, d, "orders").select("o_orderkey", F.date_sub(day, 365).alias("window_start"), day.alias("window_end"))
+    start, end = season.baseline(day, 365)
+    return _t(spark, d, "orders").select("o_orderkey", start.alias("window_start"), end.alias("window_end"))
 
 
 @query("nearest_release", "WITH r AS (SELECT s_suppkey AS release, DATE '1995-01-01' + (s_suppkey * 37 % 2400)::INT AS captured FROM supplier), t AS (SELECT DISTINCT o_orderdate::DATE AS target FROM orders) SELECT target, release, captured, abs(target - captured)::INT AS gap FROM t, r QUALIFY row_number() OVER (PARTITION BY target ORDER BY abs(target - captured), captured DESC, release) = 1")

@@ -100,6 +100,16 @@ def releases(titles: DataFrame) -> DataFrame:
     return titles.select("release", F.try_to_timestamp(F.regexp_extract("title", r"(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd")).cast("date").alias("captured")).where("captured is not null")
 
 
+def newest_release(rel: DataFrame) -> DataFrame:
+    """One row: the release captured last, ties to the smaller id."""
+    return rel.orderBy(F.desc("captured"), "release").limit(1)
+
+
+def on_worksheet(rows: DataFrame, listed: DataFrame, key: str = "alert_id") -> DataFrame:
+    """Rows whose id a worksheet lists."""
+    return rows.join(listed.select(key), key, "left_semi")
+
+
 def nearest_release(days: DataFrame, rel: DataFrame, day: str = "target") -> DataFrame:
     """For each day the release nearest in time, ties to the newest. Releases are a few hundred; the dimension is broadcast by size."""
     pick = F.struct(F.abs(F.datediff(F.col(day), F.col("captured"))).alias("gap"), (-F.unix_date("captured")).alias("newest"), "release", "captured")

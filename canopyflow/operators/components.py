@@ -1,26 +1,51 @@
 """8-connected components of a raster given as rows.
 
 Each tile is labelled by union-find in one Arrow group; only pixels on tile edges then meet those of neighbouring tiles, and the small graph of
-labels is closed by min-label rounds with pointer jumping. No tile seam is left. Lineage is cut by checkpoint() in every round.
+labels is closed by min-label rounds with pointer jumping. No tile seam is left. Lineage is cut in every round by a table written and read again.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
+def _folder(spark: SparkSession) -> str:
+    """The folder of this session's tables: in that of checkpoints, which all executors share; it goes when the session ends."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="canopyflow-"))
-    return df.checkpoint()
+    root = f"{sc.getCheckpointDir()}/canopyflow"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return root
+
+
+def _checkpoint(df: DataFrame, *earlier: DataFrame) -> DataFrame:
+    """df written and read again; earlier: tables of this kind that nothing needs any more.
+
+    checkpoint() cuts the lineage but keeps the estimate of its size, and that of a join is the product of its sides: a table joined with itself
+    round by round doubles the digits of a number that the driver works with, until it has no memory or time left. A table read from files is as large as they are.
+    """
+    spark = df.sparkSession
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    for x in earlier:
+        # a table's files lie in one folder
+        for at in {f.rpartition("/")[0] for f in x.inputFiles()}:
+            old = spark._jvm.org.apache.hadoop.fs.Path(at)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def label_components(cells: DataFrame, tile: int = 512, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -79,7 +104,7 @@ def close(links: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
         low = links.join(label.withColumnRenamed("u", "v").withColumnRenamed("label", "other"), [*keys, "v"]).groupBy(*keys, "u").agg(F.min("other").alias("other"))
         new = label.join(low, [*keys, "u"]).select(*keys, "u", F.least("label", "other").alias("label"), F.col("label").alias("was"))
         jump = new.select(*keys, F.col("u").alias("label"), F.col("label").alias("next"))
-        new = _checkpoint(new.join(jump, [*keys, "label"], "left").select(*keys, "u", F.coalesce("next", "label").alias("label"), "was"))
+        new = _checkpoint(new.join(jump, [*keys, "label"], "left").select(*keys, "u", F.coalesce("next", "label").alias("label"), "was"), label)
         label = new.drop("was")
         if new.where("label <> was").isEmpty():
             return label

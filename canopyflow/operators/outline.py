@@ -101,9 +101,11 @@ def rings(pixels: DataFrame, keys: tuple[str, ...] = (), tile: int = 512) -> Dat
     if not ties.isEmpty():
         # the least id of each ring, over stretches that double
         low = ties.select(*own, "id", "next", F.col("id").alias("ring"))
+        rounds = 0
         while True:
             ahead = low.select(*own, F.col("id").alias("next"), F.col("next").alias("then"), F.col("ring").alias("other"))
-            low = _checkpoint(low.join(ahead, [*own, "next"]).select(*own, "id", F.col("then").alias("next"), F.least("ring", "other").alias("ring"), (F.col("other") < F.col("ring")).alias("moved")))
+            low = _checkpoint(low.join(ahead, [*own, "next"]).select(*own, "id", F.col("then").alias("next"), F.least("ring", "other").alias("ring"), (F.col("other") < F.col("ring")).alias("moved")), *([low] if rounds else []))
+            rounds += 1
             moved = not low.where("moved").isEmpty()
             low = low.drop("moved")
             if not moved:
@@ -113,7 +115,7 @@ def rings(pixels: DataFrame, keys: tuple[str, ...] = (), tile: int = 512) -> Dat
         far = _checkpoint(far)
         while not far.where("next is not null").isEmpty():
             ahead = far.select(*own, F.col("id").alias("next"), F.col("next").alias("then"), F.col("steps").alias("more"))
-            far = _checkpoint(far.join(ahead, [*own, "next"], "left").select(*own, "ring", "id", F.col("then").alias("next"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")))
+            far = _checkpoint(far.join(ahead, [*own, "next"], "left").select(*own, "ring", "id", F.col("then").alias("next"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), far)
         # a chain's first place is no corner if the chain before it runs straight into it
         run_in = ties.where("straight").select(*own, F.col("next").alias("id"), F.lit(True).alias("straight"))
         loose = loose.join(far.select(*own, "ring", "id", "steps"), [*own, "id"]).join(run_in, [*own, "id"], "left")

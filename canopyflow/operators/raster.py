@@ -32,7 +32,7 @@ def disc(radius_m: float, pixel_m: float) -> list[tuple[int, int]]:
 def focal_mean(pixels: DataFrame, band: str, radius_m: float = 30.0, pixel_m: float = 10.0, keys: tuple[str, ...] = (), tile: int = 256) -> DataFrame:
     """pixels with {band}_mean, the mean over a disc, masked pixels left out; null where all are masked. One row a pixel.
 
-    Tiles with a halo a radius wide, so one shuffle in which only pixels near a seam go twice or more; inside a tile each row of the disc is a difference of running sums.
+    Tiles with a halo a radius wide, so one shuffle in which only pixels near a seam go twice or more; inside a tile each row of the disc is a few sums of runs.
     """
     import pandas as pd
 
@@ -47,14 +47,23 @@ def focal_mean(pixels: DataFrame, band: str, radius_m: float = 30.0, pixel_m: fl
         r, c = (pdf.r.to_numpy("int64") - r0), (pdf.c.to_numpy("int64") - c0)
         value = pd.to_numeric(pdf[band]).to_numpy("float64", na_value=np.nan)
         there = ~np.isnan(value)
-        # a column of zeros before the first, so that a run's sum is one difference
-        total, count = np.zeros((tile + 2 * k, tile + 2 * k + 1)), np.zeros((tile + 2 * k, tile + 2 * k + 1), np.int64)
-        total[r[there], c[there] + 1], count[r[there], c[there] + 1] = value[there], 1
-        total, count = total.cumsum(1), count.cumsum(1)
+        # a column of zeros before the first, so that a run's count is one difference; values are added by runs of 1, 2, 4, ... pixels and never
+        # subtracted, as the difference of two large sums would lose a small one
+        runs, count = [np.zeros((tile + 2 * k, tile + 2 * k))], np.zeros((tile + 2 * k, tile + 2 * k + 1), np.int64)
+        runs[0][r[there], c[there]], count[r[there], c[there] + 1] = value[there], 1
+        count = count.cumsum(1)
+        while 2 ** len(runs) <= 2 * k + 1:
+            half = 2 ** (len(runs) - 1)
+            runs.append(runs[-1].copy())
+            runs[-1][:, :-half] += runs[-2][:, half:]
         rr, cc = r[own.to_numpy()], c[own.to_numpy()]
         s, n = np.zeros(len(rr)), np.zeros(len(rr), np.int64)
         for i, w in zip(range(-k, k + 1), widths, strict=True):
-            s += total[rr + i, cc + w + 1] - total[rr + i, cc - w]
+            at = cc - w
+            for j, run in enumerate(runs):
+                if (2 * w + 1) >> j & 1:
+                    s += run[rr + i, at]
+                    at = at + 2**j
             n += count[rr + i, cc + w + 1] - count[rr + i, cc - w]
         out = pdf.loc[own, names].copy()
         out[f"{band}_mean"] = np.where(n > 0, s / np.maximum(n, 1), np.nan)

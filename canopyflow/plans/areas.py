@@ -430,7 +430,8 @@ def _radar(spark, d):
     k = c("n_nationkey").cast("int")
     pols = F.when(k % 7 == 0, F.array(F.lit("VV"))).otherwise(F.array(F.lit("VV"), F.lit("VH")))
     passes = _t(spark, d, "nation").select(F.explode(F.array(F.lit("west"), F.lit("east"))).alias("aoi"), k.alias("scene"), F.date_add(F.lit("2024-01-01").cast("date"), k * 20).cast("timestamp_ntz").alias("ts"), F.when(k % 4 == 0, "ASCENDING").otherwise("DESCENDING").alias("orbit_pass"), F.when(k % 5 == 0, "EW").otherwise("IW").alias("mode"), pols.alias("pols"))
-    angle = 35 + 0.05 * c("c") * (1 + c("r") % 3) + 0.02 * c("r") + 0.001 * c("scene") * c("r")
+    # in thousandths of a degree, as the SQL adds them up as decimals: 90 is 90
+    angle = (35000 + 50 * c("c") * (1 + c("r") % 3) + 20 * c("r") + c("scene") * c("r")) / 1000.0
     pixels = e.join(passes.select("aoi", "scene"), "aoi").select("aoi", "scene", "r", "c", (40 * F.get("x", c("scene")) - 14).alias("vh"), angle.alias("angle"))
     dem = raster.overview(e.select("aoi", "r", "c", F.get("x", F.lit(39)).alias("dem")), "dem", 2, ("aoi",)).withColumn("dem", c("dem") * 200)
     return passes, pixels, dem

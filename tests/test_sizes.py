@@ -1,5 +1,14 @@
 """What grows with the tables: estimates, tables of rounds, views along the ground, calendars."""
 
+import math
+import shutil
+from collections import Counter
+
+import __spark_entry__
+import duckdb
+from pyspark.sql import functions as F
+
+from canopyflow.functions import spectral
 from canopyflow.operators import components, outline
 
 
@@ -30,3 +39,30 @@ def test_tables_of_earlier_rounds_are_dropped(spark):
     components.close(links)
     # the links and the last round's labels
     assert count() - before == 2
+
+
+def test_a_volume_seen_along_the_ground_returns_no_power(spark):
+    rows = [(-10.0, math.pi / 2, 0.1), (None, math.pi / 2, 0.1), (-10.0, math.pi / 2, 0.0), (-10.0, math.pi / 2, None), (-10.0, 0.7, math.pi / -2 + 0.7)]
+    px = spark.createDataFrame(rows, "db double, theta double, a double")
+    for model, want in (("volume", [-math.inf, None, -math.inf, None]), ("surface", None)):
+        flat, valid = spectral.slope_correction(F.col("db"), F.col("theta"), F.col("a"), F.lit(0.0), model)
+        got = [x.flat for x in px.select(flat.alias("flat"), valid.alias("valid")).collect()]
+        assert want is None or got[:4] == want
+
+
+def same(spark, root, name):
+    con = duckdb.connect()
+    for f in root.glob("*.parquet"):
+        con.sql(f"create view {f.stem} as select * from '{f}{'/*.parquet' if f.is_dir() else ''}'")
+    want = con.sql(__spark_entry__.oracle_sql()[name])
+    got = __spark_entry__.queries()[name](spark, str(root)).select(*want.columns)
+    return Counter(map(tuple, got.collect())), Counter(want.fetchall())
+
+
+def test_radar_of_an_area_so_long_that_it_is_seen_along_the_ground(spark, tmp_path):
+    shutil.copy("/root/testdata/sf0.001/nation.parquet", tmp_path)
+    v = spark.range(1600 * 25, 1630 * 25).select(F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.sin(F.col("id") * 7 + k * k).cast("float")).alias("embedding"))
+    v.write.parquet(str(tmp_path / "embeddings.parquet"))
+    for name in ("radar_collection", "radar_change"):
+        got, want = same(spark, tmp_path, name)
+        assert got == want and got

@@ -211,7 +211,9 @@ def _(spark, d):
 @query("radar_detect", f"WITH {DROPS} SELECT user_id, run, n_dropped, round(drop_db, 6) + 0.0 AS drop_db, epoch_ms(first_drop)::BIGINT AS first_drop_millis FROM g WHERE run AND user_id % 10 <> 0")
 def _(spark, d):
     g = _drops(spark, d).where(c("run") & (c("user_id") % 10 != 0))
-    return g.select("user_id", "run", "n_dropped", _r(c("drop_db")).alias("drop_db"), F.unix_millis(c("first_drop").cast("timestamp")).alias("first_drop_millis"))
+    # the nearest millisecond, as in the SQL, not the one before
+    millis = F.expr("round(unix_micros(cast(first_drop AS timestamp)), -3) div 1000")
+    return g.select("user_id", "run", "n_dropped", _r(c("drop_db")).alias("drop_db"), millis.alias("first_drop_millis"))
 
 
 # --- radar geometry and neighbourhoods ------------------------------------------------------------------------------------------------

@@ -66,3 +66,13 @@ def test_radar_of_an_area_so_long_that_it_is_seen_along_the_ground(spark, tmp_pa
     for name in ("radar_collection", "radar_change"):
         got, want = same(spark, tmp_path, name)
         assert got == want and got
+
+
+def test_first_drops_are_told_in_the_nearest_millisecond(spark, tmp_path):
+    day = "timestamp_ntz'2024-01-{} 00:00:00.{}'"
+    rows = [(u, 1, "05", "0", 90.0) for u in (1, 2, 3)] + [(u, 10 + k, 12 + k, part, 10.0) for u, part in ((1, "0004"), (2, "0005"), (3, "000999")) for k in (0, 1)]
+    events = " UNION ALL ".join(f"SELECT {u}L AS user_id, {e}L AS event_id, {day.format(d, part)} AS ts, {v}D AS value" for u, e, d, part, v in rows)
+    spark.sql(events).write.parquet(str(tmp_path / "events.parquet"))
+    got, want = same(spark, tmp_path, "radar_detect")
+    assert got == want
+    assert sorted(x[4] % 1000 for x in got) == [0, 1, 1]

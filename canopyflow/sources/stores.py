@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ALERT = "alert_id string, lon double, lat double, area_ha double, first_seen string, last_seen string, confirmations int, notified_on string"
@@ -110,10 +110,30 @@ def on_worksheet(rows: DataFrame, listed: DataFrame, key: str = "alert_id") -> D
     return rows.join(listed.select(key), key, "left_semi")
 
 
+#: Days of the calendar that are searched together for the nearest release.
+SPAN = 64
+
+
 def nearest_release(days: DataFrame, rel: DataFrame, day: str = "target") -> DataFrame:
-    """For each day the release nearest in time, ties to the newest. Releases are a few hundred; the dimension is broadcast by size."""
-    pick = F.struct(F.abs(F.datediff(F.col(day), F.col("captured"))).alias("gap"), (-F.unix_date("captured")).alias("newest"), "release", "captured")
-    return days.select(day).distinct().crossJoin(rel).groupBy(day).agg(F.min(pick).alias("m")).select(day, "m.release", "m.captured", "m.gap")
+    """For each day the release nearest in time, ties to the newest, then to the smaller id; for a null day the newest. Releases without a date are never the nearest.
+
+    Of releases of one day only the smallest id can win. What is left, a row a day at most, is searched by spans of days: the last release up
+    to a day and the first from it on; where a span holds none, that of the nearest span, found over one row a span.
+    """
+    c = F.col
+    own = rel.where("captured is not null").groupBy("captured").agg(F.min("release").alias("release")).select(c("captured").alias("at"), F.struct("captured", "release").alias("r"), F.lit(False).alias("asked"))
+    asked = days.select(c(day).alias("at")).distinct()
+    rows = own.unionByName(asked.where("at is not null").withColumn("asked", F.lit(True)), allowMissingColumns=True).withColumn("span", F.floor(F.unix_date("at") / SPAN))
+    upward, downward = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy(F.desc("span")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy("span").agg(F.min("r").alias("first"), F.max("r").alias("last"))
+    around = ends.select("span", F.last("last", True).over(upward).alias("before"), F.last("first", True).over(downward).alias("after"))
+    inside = Window.partitionBy("span").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    near = rows.select("at", "asked", "span", F.last("r", True).over(inside.orderBy("at")).alias("low"), F.last("r", True).over(inside.orderBy(F.desc("at"))).alias("high")).where("asked").join(around, "span")
+    pick = lambda r: F.when(r.isNotNull(), F.struct(F.abs(F.datediff("at", r.captured)).alias("gap"), (-F.unix_date(r.captured)).alias("newest"), r.release.alias("release"), r.captured.alias("captured")))
+    found = near.select("at", F.least(pick(F.coalesce("low", "before")), pick(F.coalesce("high", "after"))).alias("m")).where("m is not null")
+    newest = own.agg(F.max("r").alias("r")).where("r is not null").select("r.release", "r.captured")
+    undated = asked.where("at is null").crossJoin(newest).select("at", "release", "captured", F.lit(None).cast("int").alias("gap"))
+    return found.select("at", "m.release", "m.captured", "m.gap").unionByName(undated).withColumnRenamed("at", day)
 
 
 #: Images that a reviewer needs of an alert, by the ends of their names.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from canopyflow.functions import spectral
 from canopyflow.operators import components, outline
+from canopyflow.sources import stores
 
 
 def bits(df):
@@ -76,3 +77,18 @@ def test_first_drops_are_told_in_the_nearest_millisecond(spark, tmp_path):
     got, want = same(spark, tmp_path, "radar_detect")
     assert got == want
     assert sorted(x[4] % 1000 for x in got) == [0, 1, 1]
+
+
+def test_days_and_releases_are_not_multiplied(spark):
+    day = lambda k: F.date_add(F.lit("2000-01-01").cast("date"), k)
+    days = spark.range(0, 3000, 7).select(day(F.col("id").cast("int")).alias("target")).unionByName(spark.sql("SELECT cast(NULL AS date) AS target"))
+    rel = spark.range(0, 400).select(F.col("id").alias("release"), F.when(F.col("id") % 50 != 0, day((F.col("id") * F.col("id") % 2500 - 300).cast("int"))).alias("captured"))
+    got = stores.nearest_release(days, rel)
+    # only a null day is joined without a key, with the newest release
+    assert got._jdf.queryExecution().executedPlan().toString().count("NestedLoop") + got._jdf.queryExecution().executedPlan().toString().count("Cartesian") == 1
+    dated = [x for x in rel.collect() if x.captured]
+    newest = max(dated, key=lambda x: (x.captured, -x.release))
+    want = {(d.target, *min((abs((d.target - x.captured).days), -x.captured.toordinal(), x.release, x.captured) for x in dated)[:3:2]) for d in days.collect() if d.target}
+    assert {(x.target, x.gap, x.release) for x in got.collect() if x.target} == want
+    assert [(x.release, x.captured, x.gap) for x in got.where("target is null").collect()] == [(newest.release, newest.captured, None)]
+    assert stores.nearest_release(days, rel.limit(0)).count() == 0

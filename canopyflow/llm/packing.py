@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from canopyflow.llm._common import Scratch
 
 CAPACITY, SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 2048, 16_384, 3, 2, 4, 4, 2
-#: Chunks, and words, whose ids a worker remembers; beyond that it keeps those of the texts at hand and goes on.
-REMEMBERED = 400_000
+#: Chunks, and words, whose ids a worker remembers in each of two ages, see Remembered; a batch of texts may pass it.
+REMEMBERED = 300_000
+#: The pattern for which a chunk of plain letters and signs needs no search, and its signs of one byte, but the one that added tokens begin with.
+LETTERS_OR_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGNS = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
 #: Bytes of text that a worker splits at a time, and of a chunk that it remembers.
 TOGETHER, CHUNK = 1 << 20, 64
 #: By tokenizer file, what this worker remembers from task to task.
@@ -44,6 +47,28 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
 
 
+class Remembered(dict):
+    """What a function gave by key, in two ages: the elder goes when the younger is full, and what is asked for again moves to the younger."""
+
+    def __init__(self, find, longest: int):
+        super().__init__()
+        self.find, self.longest, self.elder = find, longest, {}
+
+    def __missing__(self, key):
+        found = self.elder.get(key)
+        if found is None:
+            found = self.find(key)
+            if len(key) > self.longest:
+                return found
+        self[key] = found
+        return found
+
+    def age(self, most: int) -> None:
+        if len(self) > most:
+            self.elder = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Token ids, as little-endian unsigned 32-bit numbers, of the blank-separated chunks of texts.
 
@@ -58,7 +83,8 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer
 
-        self.tok, self.chunks, self.words = Tokenizer.from_file(path), {}, {}
+        self.tok, self.chunks, self.words = Tokenizer.from_file(path), Remembered(self.chunk, CHUNK), Remembered(self.word, CHUNK)
+        self.merge = self.tok.model.tokenize
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps, cuts = (spec.get("normalizer") or {}).get("normalizers", []), (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
@@ -66,44 +92,38 @@ class Encoder:
         plain = plain and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and "Regex" in cuts[0]["pattern"] and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
         plain = plain and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
         self.split = regex.compile(cuts[0]["pattern"]["Regex"]).findall if plain else None
-        begins = "".join(regex.escape(x["content"][:1]) for x in spec.get("added_tokens", []))
+        first = {x["content"][:1] for x in spec.get("added_tokens", [])}
+        begins = "".join(regex.escape(x) for x in sorted(first))
+        # whether the pattern has a run of letters as one word and any signs behind it as another, and no added token begins with one of them
+        self.bare = plain and cuts[0]["pattern"]["Regex"] == LETTERS_OR_SIGNS and first <= {"<"}
         self.latin = regex.compile(f"[\x21-\x7e\xa1-\u012f\u0131-\u024f--[{begins}\u0130]]+", regex.V1).fullmatch
         self.letters = _byte_letters()
 
-    def learn(self, new: list[bytes]) -> None:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        whole, chunks, words, cut, latin = [], self.chunks, self.words, self.split, self.latin
-        merge = self.tok.model.tokenize
-        for chunk in new:
-            text = chunk.decode()
-            if cut is None or len(chunk) > CHUNK or not latin(text):
-                whole.append((chunk, text))
-                continue
-            parts = cut(text.lower())
-            for word in parts:
-                if word not in words:
-                    shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-                    words[word] = array("I", [t.id for t in merge(shown)]).tobytes()
-            chunks[chunk] = words[parts[0]] if len(parts) == 1 else b"".join([words[w] for w in parts])
-        for i in range(0, len(whole), 5_000):
-            part = whole[i : i + 5_000]
-            for (chunk, _), e in zip(part, self.tok.encode_batch_fast([t for _, t in part], add_special_tokens=False), strict=True):
-                self.chunks[chunk] = np.array(e.ids, "<u4").tobytes()
+    def word(self, word: str) -> bytes:
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.merge(shown)]).tobytes()
+
+    def chunk(self, chunk: bytes) -> bytes:
+        words = self.words
+        if self.bare:
+            # letters of one byte, and signs behind them, are a word each
+            body = chunk.rstrip(SIGNS)
+            if body.isalpha():
+                head = words[body.lower().decode()]
+                return head if len(body) == len(chunk) else head + words[chunk[len(body) :].decode()]
+        text = chunk.decode()
+        if len(chunk) > CHUNK or not self.latin(text):
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join([words[w] for w in ([text.lower()] if text.isalpha() else self.split(text.lower()))])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text; where the tokenizer isn't known to drop blanks, of the text as a whole."""
         if self.split is None:
             return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
-        split = [t.split() for t in texts]
-        every = {c for t in split for c in t}
-        if len(self.chunks) + len(every) > REMEMBERED:
-            self.chunks = {c: self.chunks[c] for c in every if c in self.chunks}
-        self.learn(list(every.difference(self.chunks)))
-        out = [b"".join(map(self.chunks.__getitem__, t)) for t in split]
-        for c in every:
-            if len(c) > CHUNK:
-                del self.chunks[c]
+        ids = self.chunks.__getitem__
+        out = [b"".join(map(ids, t.split())) for t in texts]
+        self.chunks.age(REMEMBERED)
+        self.words.age(REMEMBERED)
         return out
 
 

@@ -9,6 +9,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from canopyflow.functions import spectral
+from canopyflow.llm import packing
 from canopyflow.operators import components, outline
 from canopyflow.sources import stores
 
@@ -92,3 +93,20 @@ def test_days_and_releases_are_not_multiplied(spark):
     assert {(x.target, x.gap, x.release) for x in got.collect() if x.target} == want
     assert [(x.release, x.captured, x.gap) for x in got.where("target is null").collect()] == [(newest.release, newest.captured, None)]
     assert stores.nearest_release(days, rel.limit(0)).count() == 0
+
+
+def test_what_texts_use_again_is_not_tokenized_again(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    coder = packing.Encoder(packing.tokenizer_path())
+    asked, word = Counter(), coder.word
+    coder.words.find = lambda w: (asked.update([w]), word(w))[1]
+    for k in range(20):
+        coder.encode([b"common " + b" ".join(b"w%s" % bytes(97 + int(d) for d in str(k * 40 + i)) for i in range(40))])
+    assert asked["common"] == 1 and len(coder.chunks) <= 100
+
+
+def test_chunks_of_letters_and_signs_are_encoded_as_by_the_tokenizer():
+    coder = packing.Encoder(packing.tokenizer_path())
+    texts = ["Don't it's 's 'S x's, x', \"quoted\" a.b, END!!! (a) b<c <|endoftext|> a<|endoftext|>, 12a a12 ...'s ~~~' Ünder, straße! ﬁne ét́ İx 中文, 中。 word word " + "Q" * 90 + "!?" * 50, "", "\t a \n"]
+    got = [list(memoryview(x).cast("I")) for x in coder.encode([t.encode() for t in texts])]
+    assert got == [coder.tok.encode(t, add_special_tokens=False).ids for t in texts]

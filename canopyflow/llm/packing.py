@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 from canopyflow.llm._common import Scratch
 
 CAPACITY, SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 2048, 16_384, 3, 2, 4, 4, 2
-#: Chunks, and words, whose ids a worker remembers in each of two ages, see Remembered; a batch of texts may pass it.
-REMEMBERED = 300_000
+#: Chunks, and words, whose ids a task remembers in each of two ages, see Remembered; a batch of texts may pass it.
+REMEMBERED = 100_000
 #: The pattern for which a chunk of plain letters and signs needs no search, and its signs of one byte, but the one that added tokens begin with.
 LETTERS_OR_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SIGNS = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
 #: Bytes of text that a worker splits at a time, and of a chunk that it remembers.
 TOGETHER, CHUNK = 1 << 20, 64
-#: By tokenizer file, what this worker remembers from task to task.
+#: By tokenizer file, the encoder that this worker keeps from task to task, without what it remembered.
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -68,6 +68,10 @@ class Remembered(dict):
             self.elder = dict(self)
             self.clear()
 
+    def forget(self) -> None:
+        self.elder = {}
+        self.clear()
+
 
 class Encoder:
     """Token ids, as little-endian unsigned 32-bit numbers, of the blank-separated chunks of texts.
@@ -126,6 +130,11 @@ class Encoder:
         self.words.age(REMEMBERED)
         return out
 
+    def forget(self) -> None:
+        """A worker outlives its task, and later stages' memory would have to hold what this one remembered."""
+        self.chunks.forget()
+        self.words.forget()
+
 
 def _cut(text: bytes, most: int):
     """Parts of a text, cut before blanks, of about so many bytes."""
@@ -162,20 +171,24 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
                     out.append((doc, k, s, len(x), zlib.crc32(x.tobytes()), *([x.tolist()] if with_ids else [])))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)] if out else [pa.array([], k) for k in kinds[: len(names)]], names=names)
 
-        for batch in batches:
-            ids, texts, held = [], [], 0
-            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                text = (text.as_py() or "").encode()
-                if len(text) > TOGETHER:
-                    yield emit([doc.as_py()], [b"".join(coder.encode([part])[0] for part in (_cut(text, TOGETHER) if coder.split else [text]))])
-                    continue
-                ids.append(doc.as_py())
-                texts.append(text)
-                held += len(text)
-                if held > TOGETHER:
-                    yield emit(ids, coder.encode(texts))
-                    ids, texts, held = [], [], 0
-            yield emit(ids, coder.encode(texts))
+        try:
+            for batch in batches:
+                ids, texts, held = [], [], 0
+                for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                    text = (text.as_py() or "").encode()
+                    if len(text) > TOGETHER:
+                        yield emit([doc.as_py()], [b"".join(coder.encode([part])[0] for part in (_cut(text, TOGETHER) if coder.split else [text]))])
+                        continue
+                    ids.append(doc.as_py())
+                    texts.append(text)
+                    held += len(text)
+                    if held > TOGETHER:
+                        yield emit(ids, coder.encode(texts))
+                        ids, texts, held = [], [], 0
+                yield emit(ids, coder.encode(texts))
+        finally:
+            coder.forget()
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, schema)
 

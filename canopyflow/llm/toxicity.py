@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,8 +146,6 @@ def train(docs: DataFrame, labels: DataFrame, penalty: float = 1.0, sample: int
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def brief(batches):  # only what the fit reads goes to the driver
-        import pyarrow as pa
-
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([" ".join(sorted(set(_WORD.findall((t.as_py() or "").lower())))) for t in b.column("text")], pa.string()), b.column("toxic")], names=["doc_id", "text", "toxic"])
 
@@ -156,15 +155,13 @@ def train(docs: DataFrame, labels: DataFrame, penalty: float = 1.0, sample: int
 
 
 def score_documents(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """docs with a column for the score; each batch is scored whole, with the model sent along (at most FEATURES weights and the groups)."""
+    """docs with a column for the score; the model is sent along (at most FEATURES weights and the groups), and a batch's texts become strings one at a time."""
     held = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         m = Model(*held.value)
-        return pd.Series([m.score(t) for t in texts], dtype="float64")
+        return pa.array([m.score(t.as_py()) for t in texts], pa.float64())
 
     return docs.withColumn(name, score(F.col(text_col).cast("string")))
 

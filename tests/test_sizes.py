@@ -110,3 +110,19 @@ def test_chunks_of_letters_and_signs_are_encoded_as_by_the_tokenizer():
     texts = ["Don't it's 's 'S x's, x', \"quoted\" a.b, END!!! (a) b<c <|endoftext|> a<|endoftext|>, 12a a12 ...'s ~~~' Ünder, straße! ﬁne ét́ İx 中文, 中。 word word " + "Q" * 90 + "!?" * 50, "", "\t a \n"]
     got = [list(memoryview(x).cast("I")) for x in coder.encode([t.encode() for t in texts])]
     assert got == [coder.tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_worker_does_not_keep_what_an_ended_task_remembered(spark):
+    texts = spark.range(0, 3_000, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("common"), F.md5(F.col("id").cast("string"))).alias("text"))
+    assert packing.token_pieces(texts, packing.tokenizer_path()).count() == 3_000
+
+    def left(batches):
+        import pyarrow as pa
+
+        from canopyflow.llm import packing as here
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pylist([{"kept": sum(len(t) + len(t.elder) for e in here._ENCODERS.values() for t in (e.chunks, e.words)), "encoders": len(here._ENCODERS)}])
+
+    got = spark.range(0, 8, 1, 8).mapInArrow(left, "kept long, encoders long").collect()
+    assert any(r.encoders for r in got) and not any(r.kept for r in got)

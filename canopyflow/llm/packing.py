@@ -24,12 +24,12 @@ from canopyflow.llm._common import Scratch
 
 CAPACITY, SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION, ELITES = 2048, 16_384, 3, 2, 4, 4, 2
 #: Chunks, and words, whose ids a task remembers in each of two ages, see Remembered; a batch of texts may pass it.
-REMEMBERED = 100_000
-#: The pattern for which a chunk of plain letters and signs needs no search, and its signs of one byte, but the one that added tokens begin with.
+REMEMBERED = 200_000
+#: The pattern for which a chunk of Latin letters and signs needs no search, and such a chunk; its signs are those of one byte, but the one that added tokens begin with.
 LETTERS_OR_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-SIGNS = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
+HEAD_AND_TAIL = "^(?P<head>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)(?P<tail>[!-/:;=>?@\\[-`{-~]*)$"
 #: Bytes of text that a worker splits at a time, and of a chunk that it remembers.
-TOGETHER, CHUNK = 1 << 20, 64
+TOGETHER, CHUNK = 1 << 21, 64
 #: By tokenizer file, the encoder that this worker keeps from task to task, without what it remembered.
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -47,30 +47,46 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
 
 
-class Remembered(dict):
-    """What a function gave by key, in two ages: the elder goes when the younger is full, and what is asked for again moves to the younger."""
+class Remembered:
+    """What a function gave by name, in two ages: the elder goes when the younger is full, and what is asked for again moves to the younger.
+
+    Both are columns of Arrow, which need a fraction of a dict's memory, and are asked for many names at once.
+    """
 
     def __init__(self, find, longest: int):
-        super().__init__()
-        self.find, self.longest, self.elder = find, longest, {}
-
-    def __missing__(self, key):
-        found = self.elder.get(key)
-        if found is None:
-            found = self.find(key)
-            if len(key) > self.longest:
-                return found
-        self[key] = found
+        self.find, self.longest = find, longest
+        self.forget()
+
+    def __len__(self) -> int:
+        return len(self.younger)
+
+    def __getitem__(self, names):
+        """The column of what a column of distinct names without blanks gives."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        known, ids = (pa.concat_arrays([self.younger.column(k), self.elder.column(k)]) for k in (0, 1))
+        at = pc.index_in(names, value_set=known)
+        new = names.filter(at.is_null())
+        if len(new):
+            # as one string, names come over to Python much faster than each alone
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(new)], pa.int32()), new), " ")[0].as_py()
+            ids = pa.concat_arrays([ids, pa.array(map(self.find, joined.split(" ")), pa.binary())])
+        at, missed = at.fill_null(0).to_numpy(), np.asarray(at.is_null())
+        at = np.where(missed, len(known) + np.cumsum(missed) - 1, at)
+        found = ids.take(pa.array(at))
+        moved = (at >= len(self.younger)) & (pc.binary_length(names).to_numpy() <= self.longest)
+        self.younger = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y.filter(pa.array(moved))]) for x, y in zip(self.younger.columns, (names, found), strict=True)], ["name", "ids"])
         return found
 
     def age(self, most: int) -> None:
         if len(self) > most:
-            self.elder = dict(self)
-            self.clear()
+            self.elder, self.younger = self.younger, self.younger.slice(0, 0)
 
     def forget(self) -> None:
-        self.elder = {}
-        self.clear()
+        import pyarrow as pa
+
+        self.younger = self.elder = pa.RecordBatch.from_arrays([pa.array([], pa.string()), pa.array([], pa.binary())], ["name", "ids"])
 
 
 class Encoder:
@@ -78,7 +94,8 @@ class Encoder:
 
     The tokenizer drops blanks and never joins across them, so a chunk's ids are its own, and are remembered. Where the file names the steps
     composing, one blank for many, lower case, splitting by a pattern and bytes as letters, a new chunk of Latin letters, on which the first two
-    do nothing, is split here, and only words not met yet go through the merges; any other chunk goes through the whole tokenizer.
+    do nothing, is split here, and its words go through the merges, those of letters with signs behind them only if not met yet; any other chunk
+    goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -107,28 +124,45 @@ class Encoder:
         shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.merge(shown)]).tobytes()
 
-    def chunk(self, chunk: bytes) -> bytes:
-        words = self.words
-        if self.bare:
-            # letters of one byte, and signs behind them, are a word each
-            body = chunk.rstrip(SIGNS)
-            if body.isalpha():
-                head = words[body.lower().decode()]
-                return head if len(body) == len(chunk) else head + words[chunk[len(body) :].decode()]
-        text = chunk.decode()
-        if len(chunk) > CHUNK or not self.latin(text):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join([words[w] for w in ([text.lower()] if text.isalpha() else self.split(text.lower()))])
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text; where the tokenizer isn't known to drop blanks, of the text as a whole."""
+    def chunk(self, chunk: str) -> bytes:
+        if len(chunk.encode()) > CHUNK or not self.latin(chunk):
+            return np.array(self.tok.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.word, self.split(chunk.lower())))
+
+    def distinct(self, chunks):
+        """The ids of a column of distinct chunks. Of letters with or without signs behind them, each of both is a word; Arrow cuts them apart."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not self.bare:
+            return self.chunks[chunks]
+        parts = pc.extract_regex(chunks, HEAD_AND_TAIL)
+        plain = np.asarray(parts.is_valid())
+        words, n = parts.filter(pa.array(plain)).flatten(), int(plain.sum())
+        words = pa.concat_arrays([pc.utf8_lower(words[0]), words[1]]).dictionary_encode()
+        ids = self.words[words.dictionary].take(words.indices)
+        ids = pa.concat_arrays([pc.binary_join_element_wise(ids[:n], ids[n:], b""), self.chunks[chunks.filter(pa.array(~plain))]])
+        return ids.take(pa.array(np.where(plain, np.cumsum(plain), n + np.cumsum(~plain)) - 1))
+
+    def encode(self, texts) -> list[bytes]:
+        """The ids of each text, of a list or a column of Arrow; where the tokenizer isn't known to drop blanks, of the text as a whole.
+
+        Each chunk that the texts hold is looked up once, however often they hold it, and its ids are put in all its places by Arrow.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         if self.split is None:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
-        ids = self.chunks.__getitem__
-        out = [b"".join(map(ids, t.split())) for t in texts]
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        cut = pc.ascii_split_whitespace(texts)
+        held = cut.flatten().dictionary_encode()
+        ids = self.distinct(held.dictionary.cast(pa.string())).take(held.indices)
         self.chunks.age(REMEMBERED)
         self.words.age(REMEMBERED)
-        return out
+        ends = cut.offsets.to_numpy()
+        at, data = np.frombuffer(ids.buffers()[1], np.int32)[ends - ends[0]].tolist(), memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip(at, at[1:])]
 
     def forget(self) -> None:
         """A worker outlives its task, and later stages' memory would have to hold what this one remembered."""
@@ -153,6 +187,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
         import os
 
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from canopyflow.llm import packing as here  # the worker's own module, which outlives a task
@@ -173,19 +208,18 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int
 
         try:
             for batch in batches:
-                ids, texts, held = [], [], 0
-                for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                    text = (text.as_py() or "").encode()
-                    if len(text) > TOGETHER:
-                        yield emit([doc.as_py()], [b"".join(coder.encode([part])[0] for part in (_cut(text, TOGETHER) if coder.split else [text]))])
-                        continue
-                    ids.append(doc.as_py())
-                    texts.append(text)
-                    held += len(text)
-                    if held > TOGETHER:
-                        yield emit(ids, coder.encode(texts))
-                        ids, texts, held = [], [], 0
-                yield emit(ids, coder.encode(texts))
+                ids, texts = batch.column("doc_id"), pc.fill_null(batch.column("text").cast(pa.string()), "")
+                lengths = pc.binary_length(texts).to_numpy().astype(np.int64)
+                ends, a = np.cumsum(lengths), 0
+                while a < len(texts):
+                    # as many texts as fit together, or one alone
+                    b = max(a + 1, int(np.searchsorted(ends, ends[a] - lengths[a] + TOGETHER, "right")))
+                    if lengths[a] > TOGETHER and coder.split:
+                        got = [b"".join(coder.encode([part])[0] for part in _cut(texts[a].as_py().encode(), TOGETHER))]
+                    else:
+                        got = coder.encode(texts[a:b])
+                    yield emit(ids[a:b].to_pylist(), got)
+                    a = b
         finally:
             coder.forget()
             pa.default_memory_pool().release_unused()

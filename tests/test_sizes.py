@@ -6,6 +6,7 @@ from collections import Counter
 
 import __spark_entry__
 import duckdb
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from canopyflow.functions import spectral
@@ -126,3 +127,38 @@ def test_a_worker_does_not_keep_what_an_ended_task_remembered(spark):
 
     got = spark.range(0, 8, 1, 8).mapInArrow(left, "kept long, encoders long").collect()
     assert any(r.encoders for r in got) and not any(r.kept for r in got)
+
+
+def test_a_chunk_that_texts_hold_often_is_looked_up_once_and_not_kept_as_an_object_of_python():
+    coder = packing.Encoder(packing.tokenizer_path())
+    asked, cut = Counter(), Counter()
+    word, chunk = coder.word, coder.chunk
+    coder.words.find = lambda w: (asked.update([w]), word(w))[1]
+    coder.chunks.find = lambda c: (cut.update([c]), chunk(c))[1]
+    texts = ["Common COMMON, common! it's 12 été, | " * 50, "common? ÉTÉ 中文 it's", ""]
+    for _ in range(2):
+        got = [list(memoryview(x).cast("I")) for x in coder.encode([t.encode() for t in texts])]
+        assert got == [coder.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    # letters with signs behind them are cut in columns, so chunk() sees the others alone, and nothing at a text's end
+    assert set(cut) == {"it's", "12", "|", "中文", ""} and {*cut.values(), *asked.values()} == {1}
+    assert set(asked) == {"common", "été", "", ",", "!", "?"}
+    names = pa.array([f"w{k}" for k in range(10_000)])
+    table = packing.Remembered(lambda w: w.encode() * 2, 64)
+    assert table[names].to_pylist() == [f"w{k}w{k}".encode() for k in range(10_000)] == table[names].to_pylist()
+    assert len(table) == 10_000 and table.younger.nbytes < 30 * 10_000
+
+
+def test_texts_are_encoded_alike_however_they_lie_in_batches(spark, monkeypatch):
+    words = F.transform(F.sequence(F.lit(1), (F.col("id") * 37 % 90).cast("int")), lambda i: F.concat(F.lit("Wörd"), F.translate(F.md5((F.col("id") * i).cast("string")), "0123456789", "ghijklmnop"), F.lit(",")))
+    docs = spark.range(0, 300, 1, 2).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 11 != 0, F.concat_ws(" ", words)).alias("text"))
+    tok = packing.Encoder(packing.tokenizer_path()).tok
+    want = {r.doc_id: [*tok.encode(r.text or "", add_special_tokens=False).ids, 0] for r in docs.collect()}
+    for rows in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        try:
+            got = {}
+            for r in packing.token_pieces(docs, packing.tokenizer_path(), 64, with_ids=True).orderBy("doc_id", "piece").collect():
+                got.setdefault(r.doc_id, []).extend(r.ids)
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert got == want
